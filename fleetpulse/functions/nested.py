@@ -24,54 +24,57 @@ def _as_map(v: Column) -> Column:
     return F.try_variant_get(v, "$", "map<string,variant>")
 
 
-def _kind(v: Column) -> Column:
-    shape = F.schema_of_variant(v)
-    return (
+def _described(x: Column) -> Column:
+    """path, kind, value, text of a node with its ``shape`` (the schema text of its variant)."""
+    shape, node = x["shape"], x["node"]
+    kind = (
         F.when(shape.startswith("OBJECT"), "object")
         .when(shape.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|BOOLEAN)"), "number")
         .otherwise("other")
     )
-
-
-def _number(v: Column) -> Column:
-    flag = F.try_variant_get(v, "$", "boolean").cast("int").cast("double")
-    plain = F.try_variant_get(v, "$", "double")
-    return F.when(F.schema_of_variant(v) == "BOOLEAN", flag).otherwise(plain)
+    flag = F.try_variant_get(node, "$", "boolean").cast("int").cast("double")
+    number = F.when(shape == "BOOLEAN", flag).otherwise(F.try_variant_get(node, "$", "double"))
+    return F.struct(
+        x["path"].alias("path"),
+        kind.alias("kind"),
+        F.when(kind == "number", number).alias("value"),
+        F.when(kind == "other", F.to_json(node)).alias("text"),
+    )
 
 
 def nodes(json_text: Column, max_depth: int = DEFAULT_MAX_DEPTH) -> Column:
     """Every node of a JSON object: ``array<struct<path, kind, value double, text string>>``.
 
     ``kind`` is ``number``, ``object`` or ``other``. An object below ``max_depth`` levels raises.
+    The fold goes down one level per step, so the text is parsed once.
     """
-    level = F.coalesce(_children(json_text), F.array().cast(_NODE))
-    seen = level
-    for _ in range(max_depth - 1):
-        level = F.flatten(F.transform(
-            level,
-            lambda x: F.coalesce(
-                F.transform(
-                    F.map_entries(_as_map(x["node"])),
-                    lambda e: F.struct(
-                        F.concat(x["path"], F.array(e["key"])).alias("path"),
-                        e["value"].alias("node")),
-                ),
-                F.array().cast(_NODE),
-            ),
-        ))
-        seen = F.concat(seen, level)
-    too_deep = F.exists(level, lambda x: F.coalesce(F.size(_as_map(x["node"])) > 0, F.lit(False)))
-    described = F.transform(seen, lambda x: F.struct(
-        x["path"].alias("path"),
-        _kind(x["node"]).alias("kind"),
-        F.when(_kind(x["node"]) == "number", _number(x["node"])).alias("value"),
-        F.when(_kind(x["node"]) == "other", F.to_json(x["node"])).alias("text"),
-    ))
-    return F.when(
-        too_deep,
-        F.raise_error(F.lit(f"JSON object nested deeper than {max_depth} levels"))
-        .cast("array<struct<path:array<string>,kind:string,value:double,text:string>>"),
-    ).otherwise(described)
+    empty = F.array().cast(_NODE)
+    top = F.struct(
+        F.coalesce(_children(json_text), empty).alias("level"), empty.alias("seen"))
+
+    def below(level: Column) -> Column:
+        return F.flatten(F.transform(level, lambda x: F.coalesce(
+            F.transform(
+                F.map_entries(_as_map(x["node"])),
+                lambda e: F.struct(
+                    F.concat(x["path"], F.array(e["key"])).alias("path"),
+                    e["value"].alias("node"))),
+            empty)))
+
+    def down(acc: Column, _: Column) -> Column:
+        return F.struct(
+            F.when(F.size(acc["level"]) > 0, below(acc["level"])).otherwise(empty).alias("level"),
+            F.concat(acc["seen"], acc["level"]).alias("seen"))
+
+    def finish(acc: Column) -> Column:
+        shaped = F.transform(acc["seen"], lambda x: F.struct(
+            x["path"].alias("path"), x["node"].alias("node"),
+            F.schema_of_variant(x["node"]).alias("shape")))
+        fail = F.raise_error(F.lit(f"JSON object nested deeper than {max_depth} levels"))
+        return F.when(F.size(acc["level"]) == 0, F.transform(shaped, _described)).otherwise(
+            fail.cast("array<struct<path:array<string>,kind:string,value:double,text:string>>"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max_depth)), top, down, finish)
 
 
 def explode_nodes(
@@ -90,35 +93,55 @@ def overwrite_at_path(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.groupBy(*keys, "path").agg(F.max_by("value", order).alias("value"))
 
 
-def deep_sum(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+def deep_sum(df: DataFrame, keys: list[str], order: str, clashes: str = "resolve") -> DataFrame:
     """Recursive sum of nested maps, given their nodes (see :func:`explode_nodes`).
 
     Input: ``keys..., order, path, kind, value, text``. Numbers at the same path add up. Where a
     path changes kind (number, object, other), what came before the change is discarded, and a
     non-number is replaced by the newer one. Output: ``keys..., path, value, text``.
 
-    The first aggregation finds, per path, the last record of another kind than the newest
-    (``cut``); only such paths reach the right side of the join, so with steady layouts it is
-    empty. The join keeps the raw side on the left, where a hot key can be split at run time.
+    ``resolve`` first finds, per path, the last record of another kind than the newest (``cut``),
+    and drops what lies before it. Only paths that changed kind reach the right side of the join;
+    with steady layouts it is empty and the join is removed at run time. The raw side is on the
+    left, where a hot key can be split. ``fail`` saves the first pass: one aggregation, and an
+    error if any path has two kinds.
     """
-    newest = [
-        F.max(F.when(F.col("kind") == k, F.col(order))) for k in ("number", "object", "other")
-    ]
-    per_path = df.groupBy(*keys, "path").agg(
-        F.array_sort(F.array_compact(F.array(*newest))).alias("newest"))
+    def last_of(kind):
+        return F.max(F.when(F.col("kind") == kind, F.col(order)))
+
+    if clashes == "fail":
+        mixed = F.count_if(F.col("kind") == "number") * F.count_if(F.col("kind") != "number") + (
+            F.count_if(F.col("kind") == "object") * F.count_if(F.col("kind") == "other"))
+        error = F.raise_error(F.concat(F.lit("path of two kinds: "), F.array_join("path", ".")))
+        return (
+            df.groupBy(*keys, "path")
+            .agg(F.sum("value").alias("value"), F.max_by("text", order).alias("text"),
+                 mixed.alias("mixed"))
+            .withColumn("value", F.when(F.col("mixed") > 0, error.cast("double"))
+                        .otherwise(F.col("value")))
+            .filter(F.col("value").isNotNull() | F.col("text").isNotNull()).drop("mixed")
+        )
+    if clashes != "resolve":
+        raise ValueError("clashes must be 'resolve' or 'fail'")
+
+    newest = F.array(*[last_of(k) for k in ("number", "object", "other")])
     cuts = (
-        per_path.filter(F.size("newest") > 1)
-        .select(*keys, "path", F.element_at("newest", -2).alias("cut"))
+        df.groupBy(*keys, "path").agg(F.array_sort(F.array_compact(newest)).alias("newest"))
+        .filter(F.size("newest") > 1)
         .groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
-        .agg(F.collect_list(F.struct("path", "cut")).alias("cuts"))
+        .agg(F.collect_list(F.struct(
+            "path", F.element_at("newest", -2).alias("cut"))).alias("cuts"))
     )
-    same_keys = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     alive = F.forall(
-        F.coalesce("cuts", F.array()),
-        lambda c: (F.slice(F.col("path"), 1, F.size(c["path"])) != c["path"])
+        F.col("cuts"),
+        lambda c: (F.slice("path", 1, F.size(c["path"])) != c["path"])
         | (F.col(order) > c["cut"]),
     )
-    leaves = df.filter(F.col("kind") != "object").join(cuts, same_keys, "left").filter(alive)
+    leaves = (
+        df.filter(F.col("kind") != "object")
+        .join(cuts, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left")
+        .filter(F.col("cuts").isNull() | alive)
+    )
     return leaves.groupBy(*keys, "path").agg(
         F.sum("value").alias("value"), F.max_by("text", order).alias("text"))
 

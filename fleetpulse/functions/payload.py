@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: JSON texts that count as "no bag" (null, empty text, zero, false, empty containers).
-FALSY_JSON = r'^(null|""|false|\[\]|\{\}|-?0(\.0*)?([eE][-+]?[0-9]+)?)$'
+# Fixed value: JSON texts that count as "no bag" (null, empty text, zero, false, empty containers),
+# as a variant is written back.
+FALSY_JSON = ("null", '""', "0", "0.0", "-0.0", "false", "[]", "{}")
 
 
 def mode_of(config: Column) -> Column:
@@ -22,15 +23,18 @@ def bag_list(workflow_output: Column) -> Column:
 
 
 def truthy(v: Column) -> Column:
-    return ~F.coalesce(F.to_json(v), F.lit("null")).rlike(FALSY_JSON)
+    return ~F.coalesce(F.to_json(v), F.lit("null")).isin(*FALSY_JSON)
 
 
-def count_truthy(bags: Column) -> Column:
-    return F.size(F.filter(bags, truthy)).cast("bigint")
+def count_bags(bags: Column) -> Column:
+    """``struct<n_ok, n_bad>``: truthy and other elements, in one pass."""
+    zero = F.struct(F.lit(0).cast("bigint").alias("n_ok"), F.lit(0).cast("bigint").alias("n_bad"))
 
+    def add(acc: Column, v: Column) -> Column:
+        ok = truthy(v).cast("bigint")
+        return F.struct((acc["n_ok"] + ok).alias("n_ok"), (acc["n_bad"] + 1 - ok).alias("n_bad"))
 
-def count_falsy(bags: Column) -> Column:
-    return F.size(F.filter(bags, lambda v: ~truthy(v))).cast("bigint")
+    return F.aggregate(bags, zero, add)
 
 
 def profile_of(metric: Column) -> Column:

@@ -41,42 +41,56 @@ KEYS = ["stat_date", "workflow_id"]
 
 def reshape(messages: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Decoded messages (plus ``seq``, their arrival order) to the columns the metrics need."""
-    updated = times.parse_text(F.col("update_time"))
     bags = payload.bag_list(F.col("workflow_output"))
-    return messages.select(
+    read = messages.withColumns({
+        "_updated": times.parse_text(F.col("update_time")), "_bags": payload.count_bags(bags)})
+    return read.select(
         "seq", *(extra or []),
-        updated.alias("ts"),
-        F.to_date(updated).alias("stat_date"),
+        F.col("_updated").alias("ts"),
+        F.to_date("_updated").alias("stat_date"),
         "workflow_id", "workflow_type", "category", "device", "workflow_status",
         F.col("bag_nums").cast("bigint").alias("bag_nums"),
         F.upper(payload.mode_of(F.col("workflow_input"))).alias("mode"),
-        payload.count_truthy(bags).alias("n_ok"),
-        payload.count_falsy(bags).alias("n_bad"),
+        F.col("_bags.n_ok").alias("n_ok"),
+        F.col("_bags.n_bad").alias("n_bad"),
         payload.profile_of(F.col("metric")).alias("profile"),
     ).filter(F.col("stat_date").isNotNull())
 
 
+def _is_decided() -> Column:
+    return F.coalesce(F.col("workflow_status").isin(*DECIDED), F.lit(False))
+
+
 def accepted_events(
     events: DataFrame,
     order: list[str] | None = None,
     chunk: Column | None = None,
     late_dedupe: bool = True,
+    with_undecided: bool = False,
 ) -> DataFrame:
     """Accepted SUCCESS/FAILURE events with ``nxt.seq``, the event that took them back (or null).
 
     With ``late_dedupe=False`` (needs ``is_today`` from :func:`open_days`) records that arrive for
-    yesterday are all accepted and neither compared nor taken back.
+    yesterday are all accepted and neither compared nor taken back. ``with_undecided`` also keeps
+    replay events of other statuses (their profiles count). Rows that are not compared are keys of
+    their own, so everything comes from one pass over the messages.
     """
     order = order or ["seq"]
-    decided = events.filter(F.col("workflow_status").isin(*DECIDED))
     if chunk is None:
         chunk = sequence_chunk("seq")
-    if late_dedupe:
-        return status_runs(decided, KEYS, order, "workflow_status", ["seq"], chunk)
-    live = status_runs(
-        decided.filter("is_today"), KEYS, order, "workflow_status", ["seq"], chunk)
-    none = F.lit(None).cast(live.schema["nxt"].dataType)
-    return live.unionByName(decided.filter(~F.col("is_today")).withColumn("nxt", none))
+    compared = _is_decided()
+    if with_undecided:
+        wanted = _is_decided() | (F.col("workflow_type") == REPLAY)
+    else:
+        wanted = _is_decided()
+    if not late_dedupe:
+        compared = compared & F.col("is_today")
+    rows = events.filter(wanted)
+    if not with_undecided and late_dedupe:
+        return status_runs(rows, KEYS, order, "workflow_status", ["seq"], chunk)
+    alone = rows.withColumn("_alone", F.when(~compared, F.col("seq")))
+    return status_runs(
+        alone, [*KEYS, "_alone"], order, "workflow_status", ["seq"], chunk).drop("_alone")
 
 
 def transitions(accepted: DataFrame) -> DataFrame:
@@ -101,14 +115,10 @@ def _entry(when: Column, name: Column | str, key: Column, value: Column) -> Colu
         value.cast("double").alias("value")))
 
 
-def counter_deltas(
-    accepted: DataFrame, metrics: tuple[str, ...] = COUNTERS, retract_key: str = "type"
-) -> DataFrame:
-    """Long rows ``(seq, stat_date, name, path, value)`` for the eight counters.
-
-    ``retract_key='category'`` takes a status change back under the category instead of the type.
-    A stream hands in take-backs as rows of their own, marked by ``sign = -1``.
-    """
+def counter_entries(
+    accepted: DataFrame, metrics: tuple[str, ...], retract_key: str
+) -> list[Column]:
+    """Per accepted row: what it adds to (or takes back from) each chosen counter, or null."""
     if retract_key not in ("type", "category"):
         raise ValueError("retract_key must be 'type' or 'category'")
     cols = set(accepted.columns)
@@ -141,34 +151,50 @@ def counter_deltas(
         OK_BAGS_BY_TYPE: [_entry(add & no_probe, OK_BAGS_BY_TYPE, typ, good_bags)],
         BAD_BAGS_BY_TYPE: [_entry(add & no_probe, BAD_BAGS_BY_TYPE, typ, bad_bags)],
     }
-    entries = [e for m in metrics for e in candidates[m]]
-    return accepted.select(
-        "seq", "stat_date", F.inline(F.array_compact(F.array(*entries))))
-
-
-def profile_nodes(events: DataFrame, accepted: DataFrame, max_depth: int) -> DataFrame:
-    """Profile nodes of every replay record that was not dropped as a same-status duplicate."""
-    keep = ["seq", "stat_date", "device", "category"]
-    is_replay = (F.col("workflow_type") == REPLAY) & F.col("profile").isNotNull()
-    undecided = ~F.coalesce(F.col("workflow_status").isin(*DECIDED), F.lit(False))
-    rows = (
-        events.filter(is_replay & undecided).select(*keep, "profile")
-        .unionByName(accepted.filter(is_replay).select(*keep, "profile"))
-        .withColumn("device", F.coalesce("device", F.lit("null")))
-        .withColumn("category", F.coalesce("category", F.lit("null")))
-    )
-    return nested.explode_nodes(rows, "profile", keep, max_depth)
+    return [e for m in metrics if m in candidates for e in candidates[m]]
 
 
-def time_consuming(
-    events: DataFrame, accepted: DataFrame, max_depth: int = nested.DEFAULT_MAX_DEPTH
+def counter_deltas(
+    accepted: DataFrame, metrics: tuple[str, ...] = COUNTERS, retract_key: str = "type"
 ) -> DataFrame:
-    """Deep sum of profiles per (day, device, category): ``path`` starts with device, category."""
-    nodes = profile_nodes(events, accepted, max_depth)
-    summed = nested.deep_sum(nodes, ["stat_date", "device", "category"], "seq")
-    return summed.filter(F.col("value").isNotNull()).select(
-        "stat_date", F.lit(TIME_CONSUMING).alias("name"),
-        F.concat(F.array("device", "category"), F.col("path")).alias("path"), "value")
+    """Long rows ``(seq, stat_date, name, path, value)`` for the eight counters.
+
+    ``retract_key='category'`` takes a status change back under the category instead of the type.
+    A stream hands in take-backs as rows of their own, marked by ``sign = -1``.
+    """
+    entries = counter_entries(accepted, metrics, retract_key)
+    return accepted.select("seq", "stat_date", F.inline(F.array_compact(F.array(*entries))))
+
+
+def long_rows(
+    accepted: DataFrame,
+    metrics: tuple[str, ...] = ALL_METRICS,
+    retract_key: str = "type",
+    max_depth: int = nested.DEFAULT_MAX_DEPTH,
+) -> DataFrame:
+    """All chosen metrics as node rows ``(seq, stat_date, name, device, category, path, kind,
+    value, text)``; device and category are set for profile nodes only."""
+    lone = F.lit(None).cast("string")
+    entries = F.transform(
+        F.array_compact(F.array(*counter_entries(accepted, metrics, retract_key))),
+        lambda e: F.struct(
+            e["name"].alias("name"), lone.alias("device"), lone.alias("category"),
+            e["path"].alias("path"), F.lit("number").alias("kind"), e["value"].alias("value"),
+            lone.alias("text")))
+    profile = F.when(F.col("workflow_type") == REPLAY, F.col("profile"))
+    profiles = F.transform(nested.nodes(profile, max_depth), lambda x: F.struct(
+        F.lit(TIME_CONSUMING).alias("name"),
+        F.coalesce("device", F.lit("null")).alias("device"),
+        F.coalesce("category", F.lit("null")).alias("category"),
+        x["path"].alias("path"), x["kind"].alias("kind"), x["value"].alias("value"),
+        x["text"].alias("text")))
+    if TIME_CONSUMING not in metrics:
+        body = entries
+    elif len(metrics) == 1:
+        body = profiles
+    else:
+        body = F.concat(entries, profiles)
+    return accepted.select("seq", "stat_date", F.inline(body))
 
 
 def statistics(
@@ -181,27 +207,28 @@ def statistics(
     as_of: date | None = None,
     drop_late: bool = False,
     prev_seen_day: bool = False,
+    clashes: str = "resolve",
 ) -> DataFrame:
     """``(stat_date, name, path, value)`` for the chosen metrics.
 
-    ``drop_late`` applies the open-day rule by arrival first.
+    ``drop_late`` applies the open-day rule by arrival first; ``clashes`` says what to do with
+    profiles whose layout changes (see :func:`nested.deep_sum`).
     """
     order = order or ["seq"]
     if drop_late or not late_dedupe:
         events = open_days(events, order, as_of=as_of, prev_seen_day=prev_seen_day)
-    accepted = accepted_events(events, order, chunk, late_dedupe)
-    parts = []
-    counters = tuple(m for m in metrics if m in COUNTERS)
-    if counters:
-        deltas = counter_deltas(accepted, counters, retract_key)
-        parts.append(nested.add_at_path(deltas, ["stat_date", "name"])
-                     .select("stat_date", "name", "path", "value"))
-    if TIME_CONSUMING in metrics:
-        parts.append(time_consuming(events, accepted))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    with_profiles = TIME_CONSUMING in metrics
+    accepted = accepted_events(events, order, chunk, late_dedupe, with_profiles)
+    if not with_profiles:
+        deltas = counter_deltas(accepted, metrics, retract_key)
+        return nested.add_at_path(deltas, ["stat_date", "name"]).select(
+            "stat_date", "name", "path", "value")
+    keys = ["stat_date", "name", "device", "category"]
+    summed = nested.deep_sum(long_rows(accepted, metrics, retract_key), keys, "seq", clashes)
+    place = F.when(F.col("name") == TIME_CONSUMING, F.array("device", "category")).otherwise(
+        F.array().cast("array<string>"))
+    return summed.filter(F.col("value").isNotNull()).select(
+        "stat_date", "name", F.concat(place, F.col("path")).alias("path"), "value")
 
 
 def records(stats: DataFrame, depth: int = 2 + nested.DEFAULT_MAX_DEPTH) -> DataFrame:

@@ -30,6 +30,8 @@ def session_conf(timezone: str = "UTC", extra: Mapping[str, str] | None = None)
         "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        # call sites of column expressions are not looked up: building a plan takes a third
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     conf.update(extra or {})
     return conf

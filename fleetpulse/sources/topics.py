@@ -77,14 +77,17 @@ def decode(raw: DataFrame, schema: StructType, mode: str = "PERMISSIVE") -> Data
     """Envelope columns plus the message fields. Missing fields are null.
 
     PERMISSIVE keeps a malformed text in ``_corrupt_record`` with all fields null; FAILFAST fails.
+    The row is taken out through ``inline``, which later filters are not pushed through: each text
+    is parsed once, not once more per filter.
     """
     meta = [c for c in raw.columns if c != "value"]
     if mode == "FAILFAST":
         row = F.from_json("value", schema, {"mode": "FAILFAST"})
-        return raw.select(*meta, row.alias("_m")).select(*meta, "_m.*")
-    wide = StructType(list(schema.fields)).add(CORRUPT, "string")
-    row = F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return raw.select(*meta, row.alias("_m")).select(*meta, "_m.*")
+    else:
+        wide = StructType(list(schema.fields)).add(CORRUPT, "string")
+        row = F.from_json(
+            "value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return raw.select(*meta, F.inline(F.array(row)))
 
 
 def good(decoded: DataFrame) -> DataFrame:
