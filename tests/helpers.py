@@ -16,7 +16,8 @@ def rows(df, *columns):
 
 def write_topic(raw, folder, parts, by="seq"):
     """Write a topic as ``parts`` JSON files whose modification times follow ``by``."""
-    bounds = raw.approxQuantile(by, [i / parts for i in range(1, parts)], 0.0)
+    cuts = [i / parts for i in range(1, parts)]
+    bounds = raw.approxQuantile(by, cuts, 0.0) if cuts else []
     edges = [float("-inf"), *bounds, float("inf")]
     for i in range(parts):
         part = raw.filter((F.col(by) > edges[i]) & (F.col(by) <= edges[i + 1])).select(
