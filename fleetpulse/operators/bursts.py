@@ -146,8 +146,9 @@ def burst_alerts(
         .withColumnRenamed("block", "_block")
     )
     replayed = blocks.join(
+        # null-safe on both: no filter is inferred for one side, so both read the same blocks
         entries, F.col("node_name").eqNullSafe(F.col("_node"))
-        & (F.col("block") == F.col("_block")), "inner",
+        & F.col("block").eqNullSafe(F.col("_block")), "inner",
     ).withColumn("seen", _last_alerts(F.col("w.f"), F.col("w.l"), F.col("entry"), wait))
     # an alert moves the last alert forward, a cooling window leaves it
     before = F.concat(F.array("entry"), F.slice("seen", F.lit(1), F.size("seen") - 1))
@@ -179,7 +180,7 @@ def window_results(windows: DataFrame, alerts: DataFrame) -> DataFrame:
                             "last_alert", "outcome")
     joined = windows.join(
         decided, F.col("node_name").eqNullSafe(F.col("_node"))
-        & (F.col("window_start") == F.col("_ws")), "left")
+        & F.col("window_start").eqNullSafe(F.col("_ws")), "left")
     return joined.select(
         "node_name", "window_start", "n", "last_alert",
         F.coalesce("outcome", F.lit("normal")).alias("outcome"),
@@ -208,25 +209,25 @@ def burst_actions(
     starts with an alert; with ``clear_after`` the memory is cleared only after the alerting
     window itself was handled, so the next window acts again.
     """
-    periods = _periods(alerts, clear_after)
-    cordon = (
-        periods.groupBy("node_name", "period").agg(F.min("window_start").alias("window_start"))
-        .select("node_name", "window_start", F.lit("cordon").alias("kind"),
-                F.col("node_name").alias("target"))
-    )
     present = failures.select("node_name", pane_start("ts", slide).alias("pane"),
                               "workflow").distinct()
     spread = over_windows(present, size, slide).select(
         F.col("node_name").alias("_node"), F.col("window_start").alias("_ws"), "workflow")
-    raised = (
-        periods.join(spread, F.col("node_name").eqNullSafe(F.col("_node"))
-                     & (F.col("window_start") == F.col("_ws")))
+    first_seen = (
+        _periods(alerts, clear_after)
+        .join(spread, F.col("node_name").eqNullSafe(F.col("_node"))
+              & (F.col("window_start") == F.col("_ws")))
         .groupBy("node_name", "period", "workflow")
         .agg(F.min("window_start").alias("window_start"))
-        .select("node_name", "window_start", F.lit("raise_priority").alias("kind"),
-                F.col("workflow").alias("target"))
     )
-    return cordon.unionByName(raised)
+    # every burst window holds a workflow, so the period's first window is among these
+    cordon = first_seen.groupBy("node_name", "period").agg(
+        F.min("window_start").alias("window_start"))
+    raised = first_seen.select("node_name", "window_start", F.lit("raise_priority").alias("kind"),
+                               F.col("workflow").alias("target"))
+    return raised.unionByName(cordon.select(
+        "node_name", "window_start", F.lit("cordon").alias("kind"),
+        F.col("node_name").alias("target")))
 
 
 def action_records(actions: DataFrame) -> DataFrame:

@@ -3,11 +3,31 @@
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Factor that makes room for a 63-bit sequence number behind a time in microseconds.
+_ROOM = 2**63
+
+
+def arrival_number(df: DataFrame, order: list[str]) -> Column:
+    """The arrival order as one value: the column itself, or (time, sequence) as one decimal.
+
+    A plain value keeps the minimum per day a hash aggregate; over a struct it would sort all rows.
+    The second column must be a non-negative whole number.
+    """
+    if len(order) == 1:
+        return F.col(order[0])
+    first, second = order
+    kind = df.schema[first].dataType.typeName()
+    number = F.unix_micros(F.col(first).cast("timestamp")) if "timestamp" in kind else F.col(first)
+    wide = number.cast("decimal(19,0)") * F.lit(Decimal(_ROOM)).cast("decimal(19,0)")
+    return (wide + F.col(second).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def open_days(
     df: DataFrame,
     order: list[str],
@@ -17,7 +37,7 @@ def open_days(
 ) -> DataFrame:
     """Keep the records whose day is open on arrival; add ``is_today``.
 
-    ``order`` is the total arrival order. "Today" is the greatest day among the records up to and
+    ``order`` is the total arrival order: one column, or a time and a sequence number. "Today" is the greatest day among the records up to and
     including this one (at least ``as_of``). "Yesterday" is the calendar day before it, or with
     ``prev_seen_day`` the day that was "today" before it.
 
@@ -25,7 +45,7 @@ def open_days(
     day arrives, so one row per calendar day (its first arrival) decides every record. That table
     holds at most one row per calendar day, which is why it may be broadcast.
     """
-    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    place = arrival_number(df, order)
     later = Window.orderBy(F.col("day_no").desc())
 
     firsts = df.groupBy(F.col(day).alias("day")).agg(F.min(place).alias("opened"))

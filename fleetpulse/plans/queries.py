@@ -263,7 +263,7 @@ def recon_stats(spark, sf_dir):
 
 def recon_time_profile(spark, sf_dir):
     stats = wf.statistics(_workflow_events(spark, sf_dir), (wf.TIME_CONSUMING,))
-    return reconcile.totals(wf.records(stats)).select(
+    return reconcile.totals(wf.records(stats, 4)).select(
         "name", "key", F.round("value", 4).alias("value"))
 
 
