@@ -13,6 +13,7 @@ from fleetpulse import schemas
 from fleetpulse.functions import times
 from fleetpulse.operators import replication
 from fleetpulse.sources import topics
+from fleetpulse.sources.lake import spread
 
 TIME_SCALE = 600
 BASE_MILLIS = 1_704_067_200_000  # 2024-01-01T00:00:00Z
@@ -22,6 +23,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read(spark, sf_dir, "events"))
+
+
 def _text(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
@@ -139,24 +144,24 @@ def pod_topic(events: DataFrame) -> DataFrame:
 
 
 def workflow_messages(spark, sf_dir, *extra: Column) -> DataFrame:
-    raw = workflow_topic(read(spark, sf_dir, "events"), *extra)
+    raw = workflow_topic(events(spark, sf_dir), *extra)
     return topics.messages(raw, schemas.WORKFLOW_MESSAGE)
 
 
 def bag_messages(spark, sf_dir) -> DataFrame:
-    return topics.messages(bag_topic(read(spark, sf_dir, "events")), schemas.BAG_MESSAGE)
+    return topics.messages(bag_topic(events(spark, sf_dir)), schemas.BAG_MESSAGE)
 
 
 def node_messages(spark, sf_dir) -> DataFrame:
-    return topics.messages(node_topic(read(spark, sf_dir, "events")), schemas.NODE_MESSAGE)
+    return topics.messages(node_topic(events(spark, sf_dir)), schemas.NODE_MESSAGE)
 
 
 def job_messages(spark, sf_dir) -> DataFrame:
-    return topics.messages(job_topic(read(spark, sf_dir, "events")), schemas.JOB_MESSAGE)
+    return topics.messages(job_topic(events(spark, sf_dir)), schemas.JOB_MESSAGE)
 
 
 def pod_messages(spark, sf_dir) -> DataFrame:
-    return topics.messages(pod_topic(read(spark, sf_dir, "events")), schemas.POD_MESSAGE)
+    return topics.messages(pod_topic(events(spark, sf_dir)), schemas.POD_MESSAGE)
 
 
 def _typed(df: DataFrame, schema, fields: dict[str, Column]) -> DataFrame:
@@ -164,8 +169,8 @@ def _typed(df: DataFrame, schema, fields: dict[str, Column]) -> DataFrame:
         fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def workflow_table(spark, sf_dir) -> DataFrame:
-    orders = read(spark, sf_dir, "orders")
+def workflow_table(spark, sf_dir, prepare=lambda df: df) -> DataFrame:
+    orders = prepare(read(spark, sf_dir, "orders"))
     segment = read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     status = F.col("o_orderstatus")
     rows = orders.join(segment, F.col("o_custkey") == F.col("c_custkey"), "left")
@@ -213,7 +218,7 @@ def lake_copy(spark, sf_dir) -> DataFrame:
 
 def change_log(spark, sf_dir) -> DataFrame:
     """JSON change rows: insert all, update every third, delete every tenth as its last change."""
-    table = workflow_table(spark, sf_dir)
+    table = workflow_table(spark, sf_dir, spread)
     key = F.col("workflow_id").cast("bigint")
     fields = [F.col(c) for c in table.columns]
     changed = [
