@@ -209,14 +209,20 @@ def burst_actions(
     starts with an alert; with ``clear_after`` the memory is cleared only after the alerting
     window itself was handled, so the next window acts again.
     """
-    present = failures.select("node_name", pane_start("ts", slide).alias("pane"),
-                              "workflow").distinct()
-    spread = over_windows(present, size, slide).select(
-        F.col("node_name").alias("_node"), F.col("window_start").alias("_ws"), "workflow")
+    # per pane and period: the first burst window of the period that covers the pane
+    step = F.explode(F.sequence(F.lit(0), F.lit(size // slide - 1)))
+    ahead = F.make_dt_interval(secs=(F.col("_step") * slide).cast("decimal(18,6)"))
+    covered = (
+        _periods(alerts, clear_after).withColumn("_step", step)
+        .groupBy("node_name", (F.col("window_start") + ahead).alias("pane"), "period")
+        .agg(F.min("window_start").alias("window_start"))
+    )
+    present = failures.select(
+        F.col("node_name").alias("_node"), pane_start("ts", slide).alias("_pane"),
+        "workflow").distinct()
     first_seen = (
-        _periods(alerts, clear_after)
-        .join(spread, F.col("node_name").eqNullSafe(F.col("_node"))
-              & (F.col("window_start") == F.col("_ws")))
+        covered.join(present, F.col("node_name").eqNullSafe(F.col("_node"))
+                     & (F.col("pane") == F.col("_pane")))
         .groupBy("node_name", "period", "workflow")
         .agg(F.min("window_start").alias("window_start"))
     )

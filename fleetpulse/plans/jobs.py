@@ -12,7 +12,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from fleetpulse import schemas
@@ -60,6 +60,14 @@ def day_before(as_of: date) -> datetime:
     return datetime(as_of.year, as_of.month, as_of.day) - timedelta(days=1)
 
 
+def start(writer: DataStreamWriter, every: str | None = None) -> StreamingQuery:
+    """Run a stream: at an interval (``wf_stream.REFRESH``, ``replication_stream.COMMIT``), or over
+    what is there now and then stop."""
+    if every:
+        return writer.trigger(processingTime=every).start()
+    return writer.trigger(availableNow=True).start()
+
+
 def decoded_table(
     spark: SparkSession, topic: Topic, schema: StructType, target: str, rejects: str
 ) -> None:

@@ -17,6 +17,7 @@ from fleetpulse.schemas import layout
 
 ENVELOPE = layout("seq long, record_ts timestamp, value string")
 CORRUPT = "_corrupt_record"
+PARTITION_ROOM = 4096
 
 
 def start_options(
@@ -47,15 +48,18 @@ def kafka_topic(
 ) -> DataFrame:
     """``(seq, record_ts, value)``; ``seq`` follows the offsets, so it orders each partition.
 
-    Producers must key the topic by workflow or machine, as any per-key order needs. Up to 4096
-    partitions get distinct numbers.
+    Producers must key the topic by workflow or machine, as any per-key order needs. Up to
+    ``PARTITION_ROOM`` partitions get distinct numbers; a chunk of such numbers should be that many
+    times wider (``sequence_chunk("seq", CHUNK_ROWS * PARTITION_ROOM)``).
     """
     reader = spark.readStream if stream else spark.read
+    if start is None and not stream:
+        start = "earliest"
     opts = {"kafka.bootstrap.servers": servers, "subscribe": topic, **start_options(start),
             **(options or {})}
     raw = reader.format("kafka").options(**opts).load()
     return raw.select(
-        (F.col("offset") * 4096 + F.col("partition")).alias("seq"),
+        (F.col("offset") * PARTITION_ROOM + F.col("partition")).alias("seq"),
         F.col("timestamp").alias("record_ts"), F.col("value").cast("string").alias("value"))
 
 

@@ -63,6 +63,15 @@ def test_monitor_jobs(spark, events, tmp_path):
         ("cordon", None), ("raise_priority", 3)}
 
 
+def test_burst_monitor_by_processing_time(spark, events, tmp_path):
+    work = topic(fx.job_topic(events), tmp_path / "job")
+    writer = jobs.burst_monitor(spark, work, str(tmp_path / "a"), str(tmp_path / "x"),
+                                str(tmp_path / "c"), processing_time=True)
+    query = jobs.start(writer)
+    query.awaitTermination()
+    assert query.exception() is None
+
+
 def test_pod_and_crash_jobs(spark, events, tmp_path):
     pods = topic(fx.pod_topic(events), tmp_path / "pod")
     run_available(jobs.pod_failures(spark, pods, str(tmp_path / "f"), str(tmp_path / "c1")))
