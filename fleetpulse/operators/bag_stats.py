@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import nested, payload, text
+from fleetpulse.operators.days import open_days
 
 # Statistic names and the record type they cover.
 DURATION_BY_MODE = "stat_replay_success_bag_duration_group_by_mode"
@@ -15,11 +18,13 @@ REPLAY = "replay"
 ALL_METRICS = (DURATION_BY_MODE, DURATION_BY_GROUP, ERRORS_BY_GROUP)
 
 
-def reshape(messages: DataFrame, record_ts: str = "record_ts") -> DataFrame:
+def reshape(
+    messages: DataFrame, record_ts: str = "record_ts", extra: list[str] | None = None
+) -> DataFrame:
     """Replay messages with the fields the metrics need; the day is that of the topic record."""
-    extra = [c for c in ("seq",) if c in messages.columns]
+    kept = [c for c in ("seq",) if c in messages.columns] + (extra or [])
     return messages.filter(F.col("type") == REPLAY).select(
-        *extra,
+        *kept,
         F.date_trunc("second", F.col(record_ts)).cast("timestamp_ntz").alias("ts"),
         F.to_date(record_ts).alias("stat_date"),
         payload.mode_of(F.col("config")).alias("mode"),
@@ -53,6 +58,16 @@ def deltas(bags: DataFrame, metrics: tuple[str, ...] = ALL_METRICS) -> DataFrame
     return bags.select(*extra, "stat_date", F.inline(F.array_compact(F.array(*entries))))
 
 
-def statistics(bags: DataFrame, metrics: tuple[str, ...] = ALL_METRICS) -> DataFrame:
+def statistics(
+    bags: DataFrame,
+    metrics: tuple[str, ...] = ALL_METRICS,
+    drop_late: bool = False,
+    order: list[str] | None = None,
+    as_of: date | None = None,
+    prev_seen_day: bool = False,
+) -> DataFrame:
+    """``(stat_date, name, path, value)``; ``drop_late`` applies the open-day rule first."""
+    if drop_late:
+        bags = open_days(bags, order or ["seq"], as_of=as_of, prev_seen_day=prev_seen_day)
     return nested.add_at_path(deltas(bags, metrics), ["stat_date", "name"]).select(
         "stat_date", "name", "path", "value")

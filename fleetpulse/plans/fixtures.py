@@ -6,7 +6,7 @@ so the same figures can be computed from the raw columns by another engine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetpulse import schemas
@@ -88,7 +88,7 @@ def arrival(ts: str = "ts") -> Column:
     return F.col(ts) + F.coalesce(late, F.expr("INTERVAL 0 HOURS"))
 
 
-def bag_topic(events: DataFrame) -> DataFrame:
+def bag_topic(events: DataFrame, *extra: Column) -> DataFrame:
     n, u, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")
     return _envelope(events, schemas.BAG_MESSAGE, {
         "result_id": _text("r-", n),
@@ -104,7 +104,7 @@ def bag_topic(events: DataFrame) -> DataFrame:
             F.to_json(F.struct(F.col("value").alias("bag_duration")))),
         "backtrace": F.when(n % 2 != 0, F.when(n % 9 == 0, "").otherwise(_text("trace ", n))),
         "config": _mode_json(n % 11 == 0),
-    })
+    }, *extra)
 
 
 def node_topic(events: DataFrame) -> DataFrame:
@@ -203,6 +203,32 @@ def result_table(spark, sf_dir) -> DataFrame:
     })
 
 
+def numbered_results(spark, sf_dir) -> DataFrame:
+    """Results with a unique id: repeated (order, line) pairs are numbered by their other columns."""
+    lines = read(spark, sf_dir, "lineitem")
+    pair = ["l_orderkey", "l_linenumber"]
+    n = F.row_number().over(Window.partitionBy(*pair).orderBy(
+        *[c for c in lines.columns if c not in pair]))
+    rows = lines.withColumn("n", n)
+    return _typed(rows, schemas.RESULT_TABLE, {
+        "id": F.concat_ws("-", *pair, "n"),
+        "log": F.col("l_linestatus"),
+        "create_time": F.col("l_shipdate"),
+        "update_time": F.col("l_shipdate"),
+        "workflow_id_id": F.col("l_orderkey"),
+        "error_type": F.col("l_returnflag"),
+    })
+
+
+def altered_results(results: DataFrame) -> DataFrame:
+    """The other side of a results check: orders left out, a changed log, a missing error type."""
+    key = F.col("workflow_id_id").cast("bigint")
+    return results.filter(key % 97 != 0).withColumns({
+        "log": F.when(key % 89 == 0, "changed").otherwise(F.col("log")),
+        "error_type": F.when(key % 83 != 0, F.col("error_type")),
+    })
+
+
 def lake_copy(spark, sf_dir) -> DataFrame:
     """The lake side of the workflow table with gaps, changes and rows of its own."""
     key = F.col("workflow_id").cast("bigint")

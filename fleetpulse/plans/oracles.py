@@ -118,7 +118,9 @@ bag AS (SELECT event_id AS seq, CAST(ts AS DATE) AS stat_date, event_type,
     CASE user_id % 4 WHEN 0 THEN 'CP' WHEN 1 THEN 'CP' WHEN 2 THEN 'g2' END AS grp,
     CASE event_type WHEN 'error' THEN 'E' || (event_id % 3) WHEN 'view' THEN NULL ELSE '' END AS err,
     's' || (event_id % 2) AS stage,
-    CASE WHEN event_id % 6 <> 0 THEN value END AS duration
+    CASE WHEN event_id % 6 <> 0 THEN value END AS duration,
+    ts + CASE event_id % 50 WHEN 0 THEN INTERVAL 60 HOUR
+        WHEN 1 THEN INTERVAL 20 HOUR ELSE INTERVAL 0 HOUR END AS arrival
   FROM events WHERE event_type <> 'click')"""
 _BAG_OUT = "event_type <> 'error' AND duration IS NOT NULL"
 _BAG_GROUP = _part(bag_stats.DURATION_BY_GROUP, "coalesce(grp, 'null')", "duration", _BAG_OUT, "bag")
@@ -150,6 +152,16 @@ SELECT name, 'daily' AS period, strftime(stat_date, '%Y-%m-%d 00:00:00') AS stat
   '{{' || string_agg(t, ',' ORDER BY t) || '}}' AS info
 FROM s GROUP BY name, s.stat_date"""
 
+_BAG_LATE = """
+seen AS (SELECT *, max(stat_date) OVER (ORDER BY arrival, seq) AS today FROM bag),
+kept AS (SELECT * FROM seen WHERE stat_date = today OR stat_date = today - 1)"""
+
+_NUMBERED = """
+num AS (SELECT l_orderkey || '-' || l_linenumber || '-' || row_number() OVER (
+    PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity,
+    l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS id,
+    l_orderkey AS k, l_linestatus AS log, l_returnflag AS error_type FROM lineitem)"""
+
 _NODE = """
 node AS (SELECT event_id AS seq, 'c' || (user_id % 2) AS cluster_name,
     'n' || (user_id % 20) AS node_name, 'f' || (event_id % 3) AS fault_type,
@@ -255,6 +267,9 @@ ORACLES: dict[str, str] = {
     "bag_duration_by_mode": _stats([_BAG_MODE], _BAG),
     "bag_error_nested": _stats([_BAG_ERR], _BAG),
     "bag_error_info": _BAG_INFO,
+    "bag_late_statistics": _stats([
+        p.replace(" FROM bag ", " FROM kept ") for p in (_BAG_GROUP, _BAG_MODE, _BAG_ERR)
+    ], f"{_BAG}, {_BAG_LATE}"),
     "wf_transitions": f"""WITH {_WF}, {_ACC}
         SELECT stat_date, workflow_id, seq, 1 AS sign, status AS workflow_status,
           typ AS workflow_type FROM acc
@@ -362,6 +377,12 @@ ORACLES: dict[str, str] = {
           CAST(bag_nums + 1 AS VARCHAR) FROM wt WHERE k % 97 <> 0 AND k % 89 = 0
         UNION ALL SELECT workflow_id, 'tag', tag, NULL FROM wt
         WHERE k % 97 <> 0 AND k % 83 = 0 AND tag IS NOT NULL""",
+    "recon_result_fields": f"""WITH {_NUMBERED}
+        SELECT id, '<missing right>' AS "column", id AS left_value,
+          CAST(NULL AS VARCHAR) AS right_value FROM num WHERE k % 97 = 0
+        UNION ALL SELECT id, 'log', log, 'changed' FROM num WHERE k % 97 <> 0 AND k % 89 = 0
+        UNION ALL SELECT id, 'error_type', error_type, NULL FROM num
+        WHERE k % 97 <> 0 AND k % 83 = 0""",
     "recon_stats": _TOTALS,
     "recon_time_profile": f"""WITH {_WF}, {_ACC}, {_PROFILE}
         SELECT split_part(place, '.', 1) AS name, split_part(place, '.', 2) AS key,

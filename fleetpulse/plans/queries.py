@@ -251,6 +251,20 @@ def recon_fields(spark, sf_dir):
         replication.LAKE_RENAMES, {"upload_ttl": replication.whole_number})
 
 
+def recon_result_fields(spark, sf_dir):
+    results = fx.numbered_results(spark, sf_dir)
+    return reconcile.compare_fields(
+        results, fx.altered_results(results), "id", schemas.RESULT_TABLE.fieldNames())
+
+
+def bag_late_statistics(spark, sf_dir):
+    """Bags whose day is still open when they arrive, in order of the late arrival."""
+    events = fx.events(spark, sf_dir)
+    raw = fx.bag_topic(events, fx.arrival().alias("arrival"))
+    bags = bag_stats.reshape(topics.messages(raw, schemas.BAG_MESSAGE), extra=["arrival"])
+    return _flat(bag_stats.statistics(bags, drop_late=True, order=["arrival", "seq"]))
+
+
 def recon_stats(spark, sf_dir):
     stats = bag_stats.statistics(
         _bags(spark, sf_dir), (bag_stats.DURATION_BY_GROUP, bag_stats.DURATION_BY_MODE))
@@ -291,6 +305,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bag_duration_by_mode": _bag_query(bag_stats.DURATION_BY_MODE),
     "bag_error_nested": _bag_query(bag_stats.ERRORS_BY_GROUP),
     "bag_error_info": bag_error_info,
+    "bag_late_statistics": bag_late_statistics,
     "wf_transitions": wf_transitions,
     "wf_pods_by_type": _workflow_query(wf.SUCCESS_PODS, wf.FAILURE_PODS),
     "wf_pods_category_retraction": _workflow_query(
@@ -330,6 +345,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recon_counts": recon_counts,
     "recon_child_counts": recon_child_counts,
     "recon_fields": recon_fields,
+    "recon_result_fields": recon_result_fields,
     "recon_stats": recon_stats,
     "recon_time_profile": recon_time_profile,
     "time_buckets": time_buckets,
