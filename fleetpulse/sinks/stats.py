@@ -6,6 +6,7 @@ statistics are their sum. A repeated micro-batch replaces its own partition, so
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,11 +30,13 @@ def write_newest_day(day, spark: SparkSession, store: str, batch_id: int) -> Non
 
 def newest_day(spark: SparkSession, store: str, before_batch: int):
     """The newest day that earlier micro-batches have seen, or None."""
-    path = f"{store}/{STATE_DAYS}"
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path):
-        return None
-    rows = spark.read.schema(f"newest_day date, {BATCH} bigint").parquet(path)
+    try:
+        rows = spark.read.schema(f"newest_day date, {BATCH} bigint").parquet(
+            f"{store}/{STATE_DAYS}")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
     return rows.filter(F.col(BATCH) < before_batch).agg(F.max("newest_day")).first()[0]
 
 
