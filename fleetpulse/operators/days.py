@@ -37,9 +37,10 @@ def open_days(
 ) -> DataFrame:
     """Keep the records whose day is open on arrival; add ``is_today``.
 
-    ``order`` is the total arrival order: one column, or a time and a sequence number. "Today" is the greatest day among the records up to and
-    including this one (at least ``as_of``). "Yesterday" is the calendar day before it, or with
-    ``prev_seen_day`` the day that was "today" before it.
+    ``order`` is the total arrival order: one column, or a time and a sequence number. "Today" is
+    the greatest day among the records up to and including this one (at least ``as_of``).
+    "Yesterday" is the calendar day before it, or with ``prev_seen_day`` the day that was "today"
+    before it.
 
     No running maximum over all records is needed: a day closes when the first record of a later
     day arrives, so one row per calendar day (its first arrival) decides every record. That table

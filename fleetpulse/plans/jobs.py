@@ -39,18 +39,25 @@ from fleetpulse.streaming import workflow_stats as wf_stream
 
 @dataclass(frozen=True)
 class Topic:
-    """A Kafka topic (``servers`` given) or a folder of JSON files."""
+    """A Kafka topic (``servers`` given) or a folder of JSON files.
+
+    A stream takes at most ``batch_rows`` records (or ``files_per_trigger`` files) at a time; the
+    rest waits for the next micro-batch. The stream processors put one key's records of one
+    micro-batch in order in memory, so this also bounds what a hot key can bring to one task.
+    """
 
     name: str
     servers: str | None = None
     start: datetime | str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
     files_per_trigger: int | None = None
+    batch_rows: int = 2_000_000
 
     def read(self, spark: SparkSession, stream: bool = True) -> DataFrame:
         if self.servers:
+            limit = {"maxOffsetsPerTrigger": str(self.batch_rows)} if stream else {}
             return topics.kafka_topic(
-                spark, self.servers, self.name, self.start, self.options, stream)
+                spark, self.servers, self.name, self.start, {**limit, **self.options}, stream)
         start = self.start if isinstance(self.start, datetime) else None
         return topics.file_topic(spark, self.name, start, self.files_per_trigger, stream)
 

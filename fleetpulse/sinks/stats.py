@@ -45,6 +45,13 @@ def read_statistics(spark: SparkSession, store: str) -> DataFrame:
     return add_at_path(deltas, ["stat_date", "name"]).select("stat_date", "name", "path", "value")
 
 
+def compact(spark: SparkSession, store: str, fresh: str) -> None:
+    """Sum a store's deltas into a new store, as its batch -1; run it while the stream is stopped."""
+    write_batch(read_statistics(spark, store), f"{fresh}/{STATE_DELTAS}", -1)
+    newest = spark.read.parquet(f"{store}/{STATE_DAYS}").agg(F.max("newest_day")).first()[0]
+    write_newest_day(newest, spark, fresh, -1)
+
+
 def upsert_records(stats: DataFrame, target: str) -> None:
     """Statistics of whole days as records; each day replaces what was there."""
     overwrite_parts(records(stats), target, ["stat_date"])

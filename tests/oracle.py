@@ -31,7 +31,8 @@ def _rows(table):
 
 def _kind(t):
     s = str(t)
-    for a, b in (("large_string", "string"), ("timestamp[us]", "timestamp"), ("timestamp[ns]", "timestamp")):
+    for a, b in (("large_string", "string"), ("timestamp[us]", "timestamp"),
+                 ("timestamp[ns]", "timestamp")):
         s = s.replace(a, b)
     return s
 

@@ -77,6 +77,9 @@ def test_statistics_store(spark, tmp_path):
     assert [r.value for r in stats.read_statistics(spark, store).collect()] == [6.0]
     assert stats.newest_day(spark, store, 1) == day
     assert stats.newest_day(spark, store, 2) == day + timedelta(days=1)
+    stats.compact(spark, store, f"{store}-fresh")
+    assert [r.value for r in stats.read_statistics(spark, f"{store}-fresh").collect()] == [6.0]
+    assert stats.newest_day(spark, f"{store}-fresh", 0) == day + timedelta(days=1)
     for _ in range(2):
         stats.upsert_records(stats.read_statistics(spark, store), f"{store}/records")
     assert lake.lake_table(spark, f"{store}/records").count() == 1
