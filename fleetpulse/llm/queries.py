@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from fleetpulse.llm import quality_rules
+from fleetpulse.llm import mixing, quality_rules
 from fleetpulse.llm.common import table
 
 
+def op3_mix_sources(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
 def op4_quality_rules(spark, sf_dir):
     judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -13,6 +17,7 @@ def op4_quality_rules(spark, sf_dir):
 
 
 REGISTRY = {
+    "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
 }
 
