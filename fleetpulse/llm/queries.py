@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetpulse.llm import mixing, quality_rules
+from fleetpulse.llm import mixing, packing, quality_rules
 from fleetpulse.llm.common import table
 
 
@@ -16,7 +16,12 @@ def op4_quality_rules(spark, sf_dir):
                          "n_repeat_words", "base_failed", "kept")
 
 
+def op9_pack(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
+    "op9_pack": op9_pack,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
 }
