@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetpulse.llm import mixing, packing, quality_rules
+from fleetpulse.llm import mixing, near_dedup, packing, quality_rules
 from fleetpulse.llm.common import table
 
 
@@ -16,11 +16,17 @@ def op4_quality_rules(spark, sf_dir):
                          "n_repeat_words", "base_failed", "kept")
 
 
+def op5_near_dedup(spark, sf_dir):
+    found = near_dedup.classes(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", found.doc_id == found.class_id)
+
+
 def op9_pack(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 REGISTRY = {
+    "op5_near_dedup": op5_near_dedup,
     "op9_pack": op9_pack,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
