@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from fleetpulse.llm import mixing, near_dedup, packing, quality_rules
+from fleetpulse.llm import mixing, near_dedup, packing, pii, quality_rules
 from fleetpulse.llm.common import table
 
 
+def op1_pii(spark, sf_dir):
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -26,6 +30,7 @@ def op9_pack(spark, sf_dir):
 
 
 REGISTRY = {
+    "op1_pii": op1_pii,
     "op5_near_dedup": op5_near_dedup,
     "op9_pack": op9_pack,
     "op3_mix_sources": op3_mix_sources,
