@@ -15,17 +15,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all machines share: ``spark.checkpoint.dir``, or what the context has.
 
-    The folder is ``spark.checkpoint.dir``. Only where the session names none, and none was set on
-    its context, a temporary folder is used, as in tests.
+    Only where the session names none and none was set, a temporary folder is used, as in tests.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         root = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(root or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

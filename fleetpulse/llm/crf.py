@@ -8,29 +8,30 @@ import numpy as np
 
 from fleetpulse.llm.arrowtext import word_spans
 
-#: Byte classes, one bit each: lower, upper, digit, then single signs, other ASCII, beyond ASCII.
+#: Byte classes, one bit each: lower (and all beyond ASCII), upper, digit, then single signs, other.
 _SIGNS = ("@", ".", "-", "+", "()", "_/:=")
-_BITS = 3 + len(_SIGNS) + 2
-_CLASS = np.full(256, _BITS - 1, dtype="uint8")
-_CLASS[:128] = _BITS - 2
+_BITS = 3 + len(_SIGNS) + 1
+_CLASS = np.zeros(256, dtype="uint8")
+_CLASS[:128] = _BITS - 1
 _CLASS[ord("a"):ord("z") + 1] = 0
 _CLASS[ord("A"):ord("Z") + 1] = 1
 _CLASS[ord("0"):ord("9") + 1] = 2
 for _bit, _sign in enumerate(_SIGNS):
     _CLASS[[ord(c) for c in _sign]] = 3 + _bit
 _CLASS_BIT = (np.uint16(1) << _CLASS.astype("uint16"))
+_AT, _PLUS_OR_BRACKET = 1 << 3, 1 << 6 | 1 << 7
 _DIGIT = (_CLASS == 2).astype("int64")
 
 #: Number of values of each feature of a word.
 _LENGTHS, _DIGITS, _COARSE = 24, 21, 16
-FEATURES = (1 << _BITS, _BITS * _BITS, _LENGTHS, _DIGITS, _COARSE, _COARSE)
+FEATURES = (1 << _BITS, _BITS * _BITS, _LENGTHS, _DIGITS, _COARSE, _COARSE, _COARSE)
 
 
 def features(data: np.ndarray, offsets: np.ndarray):
     """Words of the rows and, for each word, one value of each feature.
 
     The features are the set of byte classes, the classes of the first and last byte, the length,
-    the number of digits, and a coarse shape of the word before and after in the same row.
+    the number of digits, and a coarse shape of the word, the one before and the one after in the row.
     """
     starts, ends, bounds = word_spans(data, offsets)
     n = len(starts)
@@ -42,15 +43,15 @@ def features(data: np.ndarray, offsets: np.ndarray):
     mask = np.bitwise_or.reduceat(_CLASS_BIT[padded], edges)[::2].astype("int64")
     digits = np.add.reduceat(_DIGIT[padded], edges)[::2]
     first, last = _CLASS[data[starts]].astype("int64"), _CLASS[data[ends - 1]].astype("int64")
-    coarse = ((digits > 0) + 2 * ((mask & (1 << 6)) > 0) + 4 * (digits >= 3)
-              + 8 * ((mask & 0b11) > 0)).astype("int64")
+    coarse = ((digits > 0) + 2 * ((mask & _PLUS_OR_BRACKET) > 0) + 4 * (digits >= 3)
+              + 8 * ((mask & _AT) > 0)).astype("int64")
     before, after = np.zeros(n, dtype="int64"), np.zeros(n, dtype="int64")
     before[1:], after[:-1] = coarse[:-1], coarse[1:]
     before[bounds[:-1][bounds[:-1] < n]] = 0
     lasts = bounds[1:] - 1
     after[lasts[lasts >= 0]] = 0
     columns = [mask, first * _BITS + last, np.minimum(ends - starts, _LENGTHS - 1),
-               np.minimum(digits, _DIGITS - 1), before, after]
+               np.minimum(digits, _DIGITS - 1), coarse, before, after]
     return starts, ends, bounds, np.stack(columns, axis=1)
 
 
@@ -73,11 +74,12 @@ def _logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def train(values: list[np.ndarray], labels: list[np.ndarray], n_labels: int, rounds: int = 300,
-          rate: float = 0.25, penalty: float = 0.02) -> Model:
+def train(values: list[np.ndarray], labels: list[np.ndarray], n_labels: int, rounds: int = 400,
+          rate: float = 0.25, penalty: float = 0.005, step_penalty: float = 1.5) -> Model:
     """Fit by gradient steps on the likelihood, all sequences side by side, padded to the longest.
 
-    Expected counts come from the forward and backward sums.
+    Expected counts come from the forward and backward sums. Steps are held smaller than the
+    features' weights: words far from any number or sign then settle by themselves.
     """
     longest = max(map(len, values))
     n = len(values)
@@ -113,26 +115,42 @@ def train(values: list[np.ndarray], labels: list[np.ndarray], n_labels: int, rou
             np.add.at(slope, at[:, :, k].ravel(), wrong.reshape(-1, n_labels))
             slopes.append(slope - penalty * table)
         seen = np.einsum("nta,ntb->ab", eye[truth[:, :-1]] * both[..., None], eye[truth[:, 1:]])
-        slopes.append(seen - (pair * both[..., None, None]).sum(axis=(0, 1)) - penalty * steps)
+        slopes.append(seen - (pair * both[..., None, None]).sum(axis=(0, 1))
+                      - step_penalty * steps)
         for weight, slope, square in zip((*tables, steps), slopes, squares):
             square += slope ** 2
             weight += rate * slope / np.sqrt(square)
     return Model(tuple(tables), steps)
 
 
-def _settled(scores: np.ndarray, steps: np.ndarray) -> np.ndarray:
-    """Words that are outside on every best path.
+def _settled(scores: np.ndarray, steps: np.ndarray, row_start: np.ndarray) -> np.ndarray:
+    """Words that are outside on every best path; ``row_start`` has n + 1 places.
 
-    Whatever its neighbours, putting a word outside changes the steps on its two sides by no more
-    than a bound; where "outside" leads by more than that, the best path goes through it.
+    Take a block of neighbouring words in each of which "outside" leads by more than ``least``. A
+    stretch of other labels in it can gain by its steps at most ``grow`` a word and a bounded amount
+    at its two ends; ``least`` is above that for every stretch that leaves a word of the block
+    outside, so that putting the stretch outside is better. A stretch over the whole block, between
+    other labels on both sides, can gain more; it is excluded if the leads add up to more than that.
     """
-    inner = [0.0]
-    for k in range(1, len(steps)):
-        into = np.append(steps[:, k] - steps[:, 0], 0.0).max()
-        out = np.append(steps[k] - steps[0], 0.0).max()
-        inner.append(into + out)
-    rivals = scores[:, 1:] + np.array(inner[1:])
-    return scores[:, 0] > rivals.max(axis=1)
+    lead = scores[:, 0] - scores[:, 1:].max(axis=1)
+    most, stay = steps[1:, 1:].max(), steps[0, 0]
+    enter, leave = steps[0, 1:].max() - stay, steps[1:, 0].max() - stay
+    from_out, to_out = stay - steps[0, 1:].min(), stay - steps[1:, 0].min()
+    grow, enter, leave = max(most - stay, 0.0), max(enter, 0.0), max(leave, 0.0)
+    least = grow + max(enter + leave, to_out + leave, from_out + enter)
+    strong = lead > least
+    before = np.r_[False, strong[:-1]] & ~row_start[:-1]
+    begins = np.flatnonzero(strong & ~before)
+    if not len(begins):
+        return strong
+    block = np.cumsum(strong & ~before) - 1
+    members = np.flatnonzero(strong)
+    total = np.bincount(block[members], weights=lead[members])
+    size = np.bincount(block[members])
+    through = 2 * (most - stay) + to_out + from_out + (size - 1) * grow
+    settled = strong.copy()
+    settled[members] = (total > through)[block[members]]
+    return settled
 
 
 def viterbi(model: Model, values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -146,10 +164,10 @@ def viterbi(model: Model, values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     if not n:
         return labels
     scores = model.scores(values)
-    open_words = ~_settled(scores, model.steps)
     row_start = np.zeros(n + 1, dtype=bool)
     row_start[bounds[:-1]] = True
     row_start[n] = True
+    open_words = ~_settled(scores, model.steps, row_start)
     breaks = row_start[:n] | np.r_[True, ~open_words[:-1]]
     begins = np.flatnonzero(open_words & breaks)
     if not len(begins):

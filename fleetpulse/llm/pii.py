@@ -81,7 +81,11 @@ im jahr 1871 waren es 41058792 leute
 the room 101, row 7, seat 33
 isbn 978 0 13 468599 1 of the book
 10 20 30 40 50 60 70 80 90 100
-### the $$$ and %%% of *** it
+the### of$$$ and%%% it*** was&&& here.%%% Then,$$$ on***
+# the $$ and %% of *** it &amp; <b> | ~ ^ \\ so?
+Here. There, Then; Where? What! "Quoted," (said) he: 'so'.
+UPPER CASE LINES, TOO. AND MIXED-CASE WORDS; e.g. this one
+| cell | in | a | table | of, | words. |
 THE!! END!! OF!! ALL!! THINGS!!
 a plain line of words without any number in it
 there is nothing of that sort to be found here
