@@ -33,6 +33,17 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def fenced(df: DataFrame) -> DataFrame:
+    """``df``, through which later filters are not pushed.
+
+    A pushed filter takes the whole expressions of the columns it names with it, and they would be
+    worked out again for every mention. A row number that is not known when planning stops that.
+    """
+    fence = "__fence"
+    return df.withColumn(fence, F.monotonically_increasing_id()).filter(
+        F.col(fence) >= 0).drop(fence)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import text_of, words_of
+from fleetpulse.llm.common import fenced, text_of, words_of
 
 # The base rule of the contract.
 MIN_WORDS = 50
@@ -97,7 +97,7 @@ def measures(docs: DataFrame, text_column: str = "text", prefix: str = "") -> Da
     numbers["n_lines"] = F.size("__quality_lines")
     numbers["n_dup_lines"] = F.size("__quality_lines") - F.size(F.array_distinct("__quality_lines"))
     named = {prefix + k: v.cast("long") for k, v in numbers.items()}
-    return step.withColumns(named).drop(t, w, h, "__quality_lines")
+    return fenced(step.withColumns(named).drop(t, w, h, "__quality_lines"))
 
 
 def verdict(rules: tuple[Rule, ...] = RULES, prefix: str = "") -> Column:
