@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetpulse.llm import mixing, near_dedup, packing, pii, quality_rules
+from fleetpulse.llm import digests, mixing, near_dedup, packing, pii, quality_rules
 from fleetpulse.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op5_near_dedup(spark, sf_dir):
     return found.withColumn("kept", found.doc_id == found.class_id)
 
 
+def op6_fingerprints(spark, sf_dir):
+    return digests.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op9_pack(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op9_pack(spark, sf_dir):
 REGISTRY = {
     "op1_pii": op1_pii,
     "op5_near_dedup": op5_near_dedup,
+    "op6_fingerprints": op6_fingerprints,
     "op9_pack": op9_pack,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
