@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fleetpulse.llm import digests, mixing, near_dedup, packing, pii, quality_rules
+from fleetpulse.llm import digests, mixing, near_dedup, packing, pii, quality_rules, toxicity
 from fleetpulse.llm.common import table
 
 
@@ -10,6 +10,10 @@ def op1_pii(spark, sf_dir):
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark, sf_dir):
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -35,6 +39,7 @@ def op9_pack(spark, sf_dir):
 
 REGISTRY = {
     "op1_pii": op1_pii,
+    "op2_toxicity": op2_toxicity,
     "op5_near_dedup": op5_near_dedup,
     "op6_fingerprints": op6_fingerprints,
     "op9_pack": op9_pack,
