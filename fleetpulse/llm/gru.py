@@ -14,11 +14,12 @@ import numpy as np
 
 from fleetpulse.llm.arrowtext import mix, span_hashes, word_spans
 
-WORD_ROWS, GRAM_ROWS = 1 << 15, 1 << 14
+WORD_ROWS, GRAM_ROWS = 1 << 16, 1 << 17
 WORD_SIZE, GRAM_SIZE = 6, 10
 STATE, ATTEND = 8, 8
 WINDOW, STRIDE = 32, 16
 GRAMS = (3, 5)
+GRAM_SCALE = 0.1
 #: Windows that go through the network together; their arrays then stay in a core's cache.
 TOGETHER = 4096
 
@@ -92,7 +93,7 @@ def _tables(rng: np.random.Generator) -> dict[str, np.ndarray]:
         return (rng.standard_normal(shape) * scale).astype("float32")
 
     weights = {"word": np.zeros((WORD_ROWS, WORD_SIZE), dtype="float32"),
-               "gram": small(GRAM_ROWS, GRAM_SIZE, scale=0.5),
+               "gram": small(GRAM_ROWS, GRAM_SIZE, scale=GRAM_SCALE),
                "attend": small(2 * STATE, ATTEND, scale=0.4), "focus": small(ATTEND, scale=0.4),
                "out": small(2 * STATE, scale=0.4), "bias": np.zeros(1, dtype="float32")}
     for side in "fb":
@@ -102,6 +103,19 @@ def _tables(rng: np.random.Generator) -> dict[str, np.ndarray]:
     return weights
 
 
+def evidence(slots: np.ndarray, rows: np.ndarray, label: np.ndarray, size: int) -> np.ndarray:
+    """How far each slot's share of rows with label 1 is above chance, in standard deviations.
+
+    A slot that few rows have stays near 0, so that what is seen once tells little.
+    """
+    pair = np.unique(rows * size + slots)
+    row, slot = pair // size, pair % size
+    share = label.mean()
+    seen = np.bincount(slot, minlength=size)
+    toxic = np.bincount(slot, weights=label[row], minlength=size)
+    return (toxic - seen * share) / np.sqrt(seen * share * (1 - share) + 1)
+
+
 @dataclass
 class Network:
     """Weights by name; update gates come first, then reset gates, then candidates."""
@@ -109,6 +123,22 @@ class Network:
     weights: dict[str, np.ndarray] = field(
         default_factory=lambda: _tables(np.random.default_rng(11)))
 
+    def prime(self, words: Words, label: np.ndarray) -> np.ndarray:
+        """Start words and letter groups from their evidence; returns each word's."""
+        rows = np.repeat(np.arange(len(label)), np.diff(words.bounds))
+        of_word = evidence(words.slots[words.ids], rows, label, WORD_ROWS)
+        counts = np.diff(np.append(words.firsts, len(words.grams)))
+        pair = np.unique(rows * len(words.slots) + words.ids)
+        row, word = pair // len(words.slots), pair % len(words.slots)
+        lengths = counts[word]
+        inner = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        of_gram = evidence(words.grams[np.repeat(words.firsts[word], lengths) + inner],
+                           np.repeat(row, lengths), label, GRAM_ROWS)
+        self.weights["word"][:, 0] = np.clip(of_word / 4, -1, 3)
+        self.weights["gram"][:, 0] = np.clip(of_gram / 2, -1, 4)
+        letters = np.maximum.reduceat(of_gram[words.grams], words.firsts)
+        return np.maximum(of_word[words.slots], letters)[words.ids]
+
     def inputs(self, words: Words) -> np.ndarray:
         """Input vector of every distinct word."""
         w = self.weights
