@@ -42,7 +42,7 @@ from fleetpulse.llm.links import components
 WIDTH = 5
 #: Least similarity, as a fraction of whole numbers so that no rounding decides.
 THRESHOLD = (4, 5)
-BANDS = 32
+BANDS = 24
 BAND_ROWS = 4
 #: Ids of nodes to compare are sent to all tasks up to this number; more are joined by shuffle.
 BROADCAST_NODES = 500_000
@@ -92,17 +92,22 @@ def bag_minhash(h: np.ndarray, rows: np.ndarray, weights: np.ndarray, n_rows: in
 
     state, time = advance(state, time, rate)
     while len(state):
-        live = time <= until[row]
-        while live.any():
-            s, t, r, lv, rt, cp = (x[live] for x in (state, time, row, level_of, rate, cap))
+        # processes drop out as they pass their row's time, and wait there
+        at = np.flatnonzero(time <= until[row])
+        s, t, r, lv, rt, cp = (x[at] for x in (state, time, row, level_of, rate, cap))
+        while len(at):
             place = mix(s ^ np.uint64(0xA0761D6478BD642F))
             counts = ((place >> np.uint64(40)) & ((np.uint64(1) << lv) - np.uint64(1))
                       ).astype("int64") < cp
             component = ((place & np.uint64(0xFFFFFFFF)) * np.uint64(size) >> np.uint64(32)
                          ).astype("int64")
             np.minimum.at(signature, (r * size + component)[counts], t[counts])
-            state[live], time[live] = advance(s, t, rt)
-            live = time <= until[row]
+            s, t = advance(s, t, rt)
+            go = t <= until[r]
+            if not go.all():
+                out = at[~go]
+                state[out], time[out] = s[~go], t[~go]
+                at, s, t, r, lv, rt, cp = (x[go] for x in (at, s, t, r, lv, rt, cp))
         unhit = np.isinf(signature.reshape(n_rows, size)).any(axis=1) & (total > 0)
         if not unhit.any():
             break
@@ -129,9 +134,9 @@ def signed(docs: DataFrame, width: int = WIDTH, bands: int = BANDS,
             tokens = mix(h + nth.astype("uint64") * np.uint64(0xC2B2AE3D27D4EB4F))
             bags = []
             for salt in (0x165667B19E3779F9, 0x27D4EB2F165667C5):
-                sums = np.zeros(n, dtype="uint64")
-                np.add.at(sums, rows, mix(tokens ^ np.uint64(salt)))
-                bags.append(pa.array(sums.view("int64")))
+                sums = np.append(np.uint64(0), np.cumsum(mix(tokens ^ np.uint64(salt))))
+                ends = np.cumsum(weight)
+                bags.append(pa.array((sums[ends] - sums[ends - weight]).view("int64")))
             signature = bag_minhash(h[starts], rows[starts], counts, n, size)
             words = signature.view("uint64").reshape(n, bands, band_rows)
             keys = np.zeros((n, bands), dtype="uint64")

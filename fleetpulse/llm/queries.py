@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from fleetpulse.llm import digests, mixing, near_dedup, packing, pii, quality_rules, toxicity
+from fleetpulse.llm import (
+    digests,
+    html_text,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    quality_rules,
+    toxicity,
+)
 from fleetpulse.llm.common import table
 
 
@@ -33,6 +42,10 @@ def op6_fingerprints(spark, sf_dir):
     return digests.compare_edited(table(spark, sf_dir, "documents"))
 
 
+def op7_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_pack(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -42,6 +55,7 @@ REGISTRY = {
     "op2_toxicity": op2_toxicity,
     "op5_near_dedup": op5_near_dedup,
     "op6_fingerprints": op6_fingerprints,
+    "op7_html_text": op7_html_text,
     "op9_pack": op9_pack,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
