@@ -5,6 +5,7 @@ from __future__ import annotations
 from fleetpulse.llm import (
     digests,
     html_text,
+    language_id,
     mixing,
     near_dedup,
     packing,
@@ -50,6 +51,10 @@ def op9_pack(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 REGISTRY = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -57,6 +62,7 @@ REGISTRY = {
     "op6_fingerprints": op6_fingerprints,
     "op7_html_text": op7_html_text,
     "op9_pack": op9_pack,
+    "op10_language_id": op10_language_id,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
 }
