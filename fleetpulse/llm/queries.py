@@ -11,6 +11,7 @@ from fleetpulse.llm import (
     packing,
     pii,
     quality_rules,
+    suffix_dedup,
     toxicity,
 )
 from fleetpulse.llm.common import table
@@ -47,6 +48,10 @@ def op7_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_pack(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ REGISTRY = {
     "op5_near_dedup": op5_near_dedup,
     "op6_fingerprints": op6_fingerprints,
     "op7_html_text": op7_html_text,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_pack": op9_pack,
     "op10_language_id": op10_language_id,
     "op3_mix_sources": op3_mix_sources,
