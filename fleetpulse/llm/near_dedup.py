@@ -12,8 +12,9 @@ From candidates to classes without all pairs of a bucket:
 2. of the nodes that share a band with another node, a shingle that no other such node has can't be
    matched; a node with too many of them can't reach the threshold with any partner and is left out;
 3. in each band bucket all nodes are compared with the one whose shingles are most widely shared;
-4. nodes of a bucket that are still in different components are compared, unless the bound of step 2
-   excludes the pair. Pairs within a component can't change it.
+4. nodes of a bucket that are still in different components are compared if they share a shingle among
+   the rarest of each, without which they can't reach the threshold. Pairs within a component
+   can't change it.
 
 So every proposed pair is settled: by comparison, by a bound, or by lying within one component.
 """
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.arrowtext import (
@@ -187,6 +188,42 @@ def _settle(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> Da
             .select("a", "b"))
 
 
+def _across(apart: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of ``apart`` (node, component, w) in different components that may be linked.
+
+    Shingles are put in one order, rare ones first. Two bags that reach the threshold share so many
+    that each of them has a shared one among its first few, as many as the pair's sizes leave to
+    spare; so pairs meet by those. Of the nodes that meet by a shingle, only those outside its
+    largest component look for partners.
+    """
+    over, under = threshold
+    tokens = (sets.join(apart, "node").select("node", "component", "w",
+                                              F.explode("tokens").alias("token")))
+    often = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
+    # a shingle without a second node takes a place among the rare ones, but can't be met by
+    lone = F.col("w") - F.count("*").over(Window.partitionBy("node"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("n", "token"))
+    ahead = tokens.join(often, "token").withColumn("at", lone + place)
+    # the smallest partner that can reach the threshold leaves most to spare
+    ahead = ahead.filter(under * (F.col("w") - F.col("at") + 1) >= over * F.col("w"))
+    ahead = checkpoint(ahead.select("token", "node", "component", "w", "at"))
+    parts = ahead.groupBy("token", "component").count()
+    main = (parts.groupBy("token").agg(F.count("*").alias("parts"),
+                                       F.max(F.struct("count", "component")).alias("top"))
+            .filter("parts > 1").select("token", F.col("top.component").alias("main")))
+    met = ahead.join(main, "token")
+    minor = met.filter("component <> main").select(
+        "token", *(F.col(c).alias(f"{c}_") for c in ("node", "component", "w", "at")))
+    once = (F.col("component") == F.col("main")) | (F.col("node") < F.col("node_"))
+    needed = F.lit(over) * (F.col("w") + F.col("w_"))
+    spare = F.least(F.col("w") - F.col("at"), F.col("w_") - F.col("at_")) + 1
+    return (met.join(minor, "token")
+            .filter((F.col("component") != F.col("component_")) & once
+                    & ((over + under) * spare >= needed))
+            .select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b"))
+            .distinct())
+
+
 def classes(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD,
             bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, weight, n_links.
@@ -242,19 +279,10 @@ def classes(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = TH
         "component", F.coalesce("component", "node")))
     mixed = (sorted_out.groupBy("bucket").agg(F.min("component").alias("low"),
                                               F.max("component").alias("high"))
-             .filter("low <> high"))
-    largest = (sorted_out.join(mixed, "bucket", "left_semi").groupBy("bucket", "component").count()
-               .groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("top"))
-               .select("bucket", F.col("top.component").alias("main")))
-    left = sorted_out.join(largest, "bucket")
-    minor = left.filter("component <> main").select(
-        "bucket", *(F.col(c).alias(f"{c}_") for c in ("node", "component", "w", "most")))
-    apart = F.col("component") != F.col("component_")
-    once = (F.col("component") == F.col("main")) | (F.col("node") < F.col("node_"))
-    cross = (left.join(minor, "bucket").filter(apart & once)
-             .filter(_may_reach(F.least("most", "most_"), F.col("w"), F.col("w_"), threshold))
-             .select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b"))
-             .distinct())
+             .filter("low <> high").select("bucket"))
+    apart = checkpoint(sorted_out.join(mixed, "bucket", "left_semi")
+                       .select("node", "component", "w").distinct())
+    cross = _across(apart, sets, threshold)
     links = checkpoint(first_links.union(_settle(cross, sets, threshold)).distinct())
     whole = components(links)
     degree = (links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node")
