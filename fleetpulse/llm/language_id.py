@@ -88,7 +88,7 @@ def page_evidence(pages: DataFrame) -> DataFrame:
     """
     host = F.nullif(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?"
                                              r"([^/?#:@]+)", 1)), F.lit(""))
-    part = F.nullif(F.lower(F.regexp_extract("url", r"://[^/?#]*/([A-Za-z]{2})(?:[/?#]|$)", 1)),
+    part = F.nullif(F.lower(F.regexp_extract("url", r"://[^/?#]*(?:/[^/?#]*)*?/([A-Za-z]{2})(?:[/?#]|$)", 1)),
                     F.lit(""))
     declared = F.nullif(F.lower(F.regexp_extract(
         "html", r"(?i)<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z]{2,3})\b", 1)), F.lit(""))

@@ -184,24 +184,27 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
 def _chosen_words(block_words: int, seed: int):
     """Words of a document in its shard's chosen blocks.
 
-    Of the shard's blocks, as many are chosen as the rest of the quota needs: block ``j`` if
-    ``(step * j + shift) mod blocks`` is below that number. The prime step is larger than any number of
-    blocks, so this walks through every block once; step and shift are drawn per shard.
+    A walk through the shard's blocks puts block ``j`` at place ``(step * j + shift) mod blocks``. The
+    prime step is larger than any number of blocks, so every block has a place of its own; step and shift
+    are drawn per shard. Blocks are taken in that order until the rest of the quota is filled, the
+    last one in part; what the shard's short last block lacks is made good by the next.
     """
-    length, begin, size = F.col("shard_size"), F.col("begin"), F.col("size")
+    length, begin, size, rest = (F.col(c) for c in ("shard_size", "begin", "size", "rest"))
     blocks = F.ceil(length / block_words).cast("long")
-    chosen = F.floor((F.col("rest") + block_words // 2) / block_words).cast("long")
     draw = F.xxhash64(F.lit(seed), F.col("branch"), F.col("shard"))
     step = F.element_at(F.array(*(F.lit(s) for s in STEPS)),
                         (F.pmod(draw, F.lit(len(STEPS))) + 1).cast("int")).cast("long")
     shift = F.pmod(F.shiftright(draw, 8), blocks)
+    short = F.when(F.pmod(step * (blocks - 1) + shift, blocks) * block_words < rest,
+                   blocks * block_words - length).otherwise(F.lit(0).cast("long"))
     first = F.floor(begin / block_words).cast("long")
     last = F.floor((begin + size - 1) / block_words).cast("long")
 
     def words(total, j):
-        overlap = (F.least(begin + size, (j + 1) * block_words)
-                   - F.greatest(begin, j * block_words))
-        return total + F.when(F.pmod(step * j + shift, blocks) < chosen, overlap).otherwise(
+        left = rest + short - F.pmod(step * j + shift, blocks) * block_words
+        taken = F.greatest(F.least(left, F.lit(block_words).cast("long")), F.lit(0).cast("long"))
+        return total + F.greatest(
+            F.least(begin + size, j * block_words + taken) - F.greatest(begin, j * block_words),
             F.lit(0).cast("long"))
 
     return F.when(size > 0, F.aggregate(F.sequence(first, last), F.lit(0).cast("long"), words)
