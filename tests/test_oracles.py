@@ -4,9 +4,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_points
+from fleetpulse.plans.oracles import ORACLES as SQL
+from fleetpulse.plans.queries import REGISTRY
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = {name: entry_points.queries()[name] for name in REGISTRY}
 
 
 @pytest.fixture(scope="module")
