@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_DEPTH = 8
 _NODE = "array<struct<path:array<string>,node:variant>>"
 
 
@@ -42,11 +41,11 @@ def _described(x: Column) -> Column:
     )
 
 
-def nodes(json_text: Column, max_depth: int = DEFAULT_MAX_DEPTH) -> Column:
+def nodes(json_text: Column) -> Column:
     """Every node of a JSON object: ``array<struct<path, kind, value double, text string>>``.
 
-    ``kind`` is ``number``, ``object`` or ``other``. An object below ``max_depth`` levels raises.
-    The fold goes down one level per step, so the text is parsed once.
+    ``kind`` is ``number``, ``object`` or ``other``. The fold goes down one level per step, so the
+    text is parsed once; a text has no more levels than opening braces, which bounds the steps.
     """
     empty = F.array().cast(_NODE)
     top = F.struct(
@@ -62,25 +61,23 @@ def nodes(json_text: Column, max_depth: int = DEFAULT_MAX_DEPTH) -> Column:
             empty)))
 
     def down(acc: Column, _: Column) -> Column:
-        return F.struct(
-            F.when(F.size(acc["level"]) > 0, below(acc["level"])).otherwise(empty).alias("level"),
-            F.concat(acc["seen"], acc["level"]).alias("seen"))
+        return F.when(F.size(acc["level"]) > 0, F.struct(
+            below(acc["level"]).alias("level"),
+            F.concat(acc["seen"], acc["level"]).alias("seen"))).otherwise(acc)
 
     def finish(acc: Column) -> Column:
         shaped = F.transform(acc["seen"], lambda x: F.struct(
             x["path"].alias("path"), x["node"].alias("node"),
             F.schema_of_variant(x["node"]).alias("shape")))
-        fail = F.raise_error(F.lit(f"JSON object nested deeper than {max_depth} levels"))
-        return F.when(F.size(acc["level"]) == 0, F.transform(shaped, _described)).otherwise(
-            fail.cast("array<struct<path:array<string>,kind:string,value:double,text:string>>"))
+        return F.transform(shaped, _described)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(max_depth)), top, down, finish)
+    braces = F.length(json_text) - F.length(F.replace(json_text, F.lit("{")))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.coalesce(braces, F.lit(1)), F.lit(1))),
+                       top, down, finish)
 
 
-def explode_nodes(
-    df: DataFrame, json_column: str, keep: list[str], max_depth: int = DEFAULT_MAX_DEPTH
-) -> DataFrame:
-    return df.select(*keep, F.inline(nodes(F.col(json_column), max_depth)))
+def explode_nodes(df: DataFrame, json_column: str, keep: list[str]) -> DataFrame:
+    return df.select(*keep, F.inline(nodes(F.col(json_column))))
 
 
 def add_at_path(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -153,7 +150,7 @@ def json_key(c: Column) -> Column:
 
 def json_number(c: Column) -> Column:
     """Whole numbers without a fraction, others as doubles."""
-    whole = (c == F.floor(c)) & (F.abs(c) < F.lit(1e15))
+    whole = (c == F.rint(c)) & (F.abs(c) < F.lit(9.2e18))
     return F.when(whole, c.cast("bigint").cast("string")).otherwise(c.cast("string"))
 
 

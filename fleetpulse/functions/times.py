@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 # Fixed value: the text format of every time field in messages and reports.
 TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
+_TEXT_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+
 UNITS = ("minute", "day", "week", "month")
 
 
 def parse_text(c: Column) -> Column:
-    return F.to_timestamp_ntz(c, F.lit(TEXT_FORMAT))
+    """The time a text states; null where the text is not of the format or no such time exists."""
+    return F.when(c.rlike(_TEXT_SHAPE), c.try_cast("timestamp_ntz"))
 
 
 def to_text(ts: Column) -> Column:

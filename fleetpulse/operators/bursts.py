@@ -240,3 +240,17 @@ def action_records(actions: DataFrame) -> DataFrame:
     """One record per node, window and kind, with the list of targets."""
     return actions.groupBy("node_name", "window_start", "kind").agg(
         F.array_sort(F.collect_list("target")).alias("targets"))
+
+
+def alert_records(alerts: DataFrame) -> DataFrame:
+    """Alert rows with a level, a time and a text; windows in the cooldown have none."""
+    def at(name: str):
+        return F.date_format(name, "yyyy-MM-dd HH:mm:ss")
+
+    info = F.concat(
+        F.lit("node "), "node_name", F.lit(": "), F.col("n").cast("string"),
+        F.lit(" failed replays from "), at("first_ts"), F.lit(" to "), at("last_ts"))
+    return alerts.withColumns({
+        "level": F.when(F.col("outcome") == "alert", "burst"),
+        "time": F.when(F.col("outcome") == "alert", F.col("last_ts")),
+        "info": F.when(F.col("outcome") == "alert", info)})

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.functions import text, times
-from fleetpulse.operators.runs import sequence_chunk, status_runs
+from fleetpulse.operators.runs import order_chunk, status_runs
 
 # Message levels.
 FAULT, HEALTH = "fault", "health"
@@ -41,7 +41,7 @@ def fault_sessions(
     """
     order = order or ["seq"]
     if chunk is None:
-        chunk = sequence_chunk("seq")
+        chunk = order_chunk(messages, order)
     known, _ = route(messages)
     slim = known.select(*KEYS, *order, "msg_level", "timestamp")
     runs = status_runs(slim, KEYS, order, "msg_level", ["timestamp", *order], chunk)

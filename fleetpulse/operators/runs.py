@@ -13,6 +13,19 @@ def sequence_chunk(seq: str, rows: int = CHUNK_ROWS) -> Column:
     return F.floor(F.col(seq) / F.lit(rows))
 
 
+def order_chunk(df: DataFrame, order: list[str]) -> Column | None:
+    """A chunk that never decreases along ``order``: it is cut from the first of its columns.
+
+    Whole numbers are cut into ``CHUNK_ROWS``, times into hours; other kinds are not cut.
+    """
+    kind = df.schema[order[0]].dataType.typeName()
+    if kind in ("long", "integer", "short", "byte"):
+        return sequence_chunk(order[0])
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        return F.date_trunc("hour", order[0])
+    return None
+
+
 def status_runs(
     df: DataFrame,
     keys: list[str],
@@ -26,7 +39,7 @@ def status_runs(
     ``order`` is a total order within a key. The result keeps the input columns and adds ``nxt``,
     a struct of the ``carry`` columns of the first row of the following run (null for the last).
 
-    ``chunk`` is a column that never decreases along ``order``. It splits a hot key: rows are
+    ``chunk`` must never decrease along ``order`` (see :func:`order_chunk`). It splits a hot key: rows are
     first reduced inside (key, chunk), then only the first and last run of each chunk are put in
     sequence per key. Rows strictly inside a chunk stay spread by chunk in the second step too.
     """

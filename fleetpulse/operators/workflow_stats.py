@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.functions import nested, payload, times
 from fleetpulse.operators.days import open_days
-from fleetpulse.operators.runs import sequence_chunk, status_runs
+from fleetpulse.operators.runs import order_chunk, status_runs
 
 # Statistic names, statuses and types.
 SUCCESS_PODS = "stat_success_pod_group_by_type"
@@ -77,7 +77,7 @@ def accepted_events(
     """
     order = order or ["seq"]
     if chunk is None:
-        chunk = sequence_chunk("seq")
+        chunk = order_chunk(events, order)
     compared = _is_decided()
     if with_undecided:
         wanted = _is_decided() | (F.col("workflow_type") == REPLAY)
@@ -170,7 +170,6 @@ def long_rows(
     accepted: DataFrame,
     metrics: tuple[str, ...] = ALL_METRICS,
     retract_key: str = "type",
-    max_depth: int = nested.DEFAULT_MAX_DEPTH,
 ) -> DataFrame:
     """All chosen metrics as node rows ``(seq, stat_date, name, device, category, path, kind,
     value, text)``; device and category are set for profile nodes only."""
@@ -182,7 +181,7 @@ def long_rows(
             e["path"].alias("path"), F.lit("number").alias("kind"), e["value"].alias("value"),
             lone.alias("text")))
     profile = F.when(F.col("workflow_type") == REPLAY, F.col("profile"))
-    profiles = F.transform(nested.nodes(profile, max_depth), lambda x: F.struct(
+    profiles = F.transform(nested.nodes(profile), lambda x: F.struct(
         F.lit(TIME_CONSUMING).alias("name"),
         F.coalesce("device", F.lit("null")).alias("device"),
         F.coalesce("category", F.lit("null")).alias("category"),
@@ -231,8 +230,13 @@ def statistics(
         "stat_date", "name", F.concat(place, F.col("path")).alias("path"), "value")
 
 
-def records(stats: DataFrame, depth: int = 2 + nested.DEFAULT_MAX_DEPTH) -> DataFrame:
-    """One ``(name, 'daily', stat_date, info)`` record per statistic and day."""
+def records(stats: DataFrame, depth: int | None = None) -> DataFrame:
+    """One ``(name, 'daily', stat_date, info)`` record per statistic and day.
+
+    ``depth`` is the longest path there is; without it, one pass over the statistics finds out.
+    """
+    if depth is None:
+        depth = stats.agg(F.max(F.size("path"))).first()[0] or 1
     body = nested.nest_to_json(stats, ["name", "stat_date"], depth)
     return body.select(
         "name", F.lit("daily").alias("period"),

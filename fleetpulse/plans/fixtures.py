@@ -13,7 +13,6 @@ from fleetpulse import schemas
 from fleetpulse.functions import times
 from fleetpulse.operators import replication
 from fleetpulse.sources import topics
-from fleetpulse.sources.lake import spread
 
 TIME_SCALE = 600
 BASE_MILLIS = 1_704_067_200_000  # 2024-01-01T00:00:00Z
@@ -23,6 +22,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a given table, which is one small file, dealt out for work that is heavy per row."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(read(spark, sf_dir, "events"))
 
@@ -55,7 +59,8 @@ def _mode_json(empty_rule: Column | None = None) -> Column:
         F.to_json(F.struct(F.struct(mode.alias("mode")).alias("extra_args"))))
 
 
-def workflow_topic(events: DataFrame, *extra: Column) -> DataFrame:
+def workflow_topic(events: DataFrame, *extra: Column, clash: bool = False) -> DataFrame:
+    """``clash``: every ninth profile has a number where the others have an object."""
     n, u = F.col("event_id"), F.col("user_id")
     bags = F.transform(
         F.filter(F.array(*[F.lit(i) for i in range(3)]), lambda i: i < n % 4),
@@ -63,6 +68,11 @@ def workflow_topic(events: DataFrame, *extra: Column) -> DataFrame:
     profile = F.struct(
         F.struct(F.col("value").alias("total")).alias("total"),
         F.struct((F.col("value") / 2).alias("cpu")).alias("load"))
+    summary = F.to_json(F.struct(profile.alias("bags_profile_summary")))
+    if clash:
+        other = F.struct(profile["total"].alias("total"), F.col("value").alias("load"))
+        summary = F.when(n % 9 == 0, F.to_json(F.struct(other.alias("bags_profile_summary")))
+                         ).otherwise(summary)
     updated = times.to_text(F.col("ts"))
     return _envelope(events, schemas.WORKFLOW_MESSAGE, {
         "workflow_id": _text("wf-", u),
@@ -77,8 +87,7 @@ def workflow_topic(events: DataFrame, *extra: Column) -> DataFrame:
         "workflow_status": _status(),
         "create_time": updated,
         "update_time": updated,
-        "metric": F.when(n % 6 == 0, "{}").otherwise(
-            F.to_json(F.struct(profile.alias("bags_profile_summary")))),
+        "metric": F.when(n % 6 == 0, "{}").otherwise(summary),
     }, *extra)
 
 
@@ -107,7 +116,7 @@ def bag_topic(events: DataFrame, *extra: Column) -> DataFrame:
     }, *extra)
 
 
-def node_topic(events: DataFrame) -> DataFrame:
+def node_topic(events: DataFrame, *extra: Column) -> DataFrame:
     kind = F.col("event_type")
     return _envelope(events, schemas.NODE_MESSAGE, {
         "cluster_name": _text("c", F.col("user_id") % 2),
@@ -117,7 +126,7 @@ def node_topic(events: DataFrame) -> DataFrame:
         .otherwise("odd"),
         "fault_type": _text("f", F.col("event_id") % 3),
         "timestamp": times.epoch_seconds(F.col("ts")),
-    })
+    }, *extra)
 
 
 def job_topic(events: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ from fleetpulse.operators import (
     transfer,
 )
 from fleetpulse.operators import workflow_stats as wf
+from fleetpulse.session import checkpoint_root
 from fleetpulse.sinks import tables
 from fleetpulse.sinks import topics as topic_sinks
 from fleetpulse.sources import changes, jdbc, lake, topics
@@ -41,8 +42,8 @@ from fleetpulse.streaming import workflow_stats as wf_stream
 class Topic:
     """A Kafka topic (``servers`` given) or a folder of JSON files.
 
-    A stream takes at most ``batch_rows`` records (or ``files_per_trigger`` files) at a time; the
-    rest waits for the next micro-batch. The stream processors put one key's records of one
+    A stream takes at most ``batch_rows`` records, of a folder ``files_per_trigger`` files, at a time;
+    the rest waits for the next micro-batch. The stream processors put one key's records of one
     micro-batch in order in memory, so this also bounds what a hot key can bring to one task.
     """
 
@@ -50,7 +51,7 @@ class Topic:
     servers: str | None = None
     start: datetime | str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
-    files_per_trigger: int | None = None
+    files_per_trigger: int = 64
     batch_rows: int = 2_000_000
 
     def read(self, spark: SparkSession, stream: bool = True) -> DataFrame:
@@ -78,25 +79,46 @@ def start(writer: DataStreamWriter, every: str | None = None) -> StreamingQuery:
 def decoded_table(
     spark: SparkSession, topic: Topic, schema: StructType, target: str, rejects: str
 ) -> None:
-    """Decode a topic once into a table by record day, for batch jobs that read it several times."""
-    rows = topics.decode(topic.read(spark, stream=False), schema)
+    """Decode a topic once into a table by record day, for batch jobs that read it several times.
+
+    The topic is read once, into the checkpoint folder, so that both tables are of the same records.
+    """
+    spark.sparkContext.setCheckpointDir(checkpoint_root(spark, f"{rejects}-reading"))
+    rows = topics.decode(topic.read(spark, stream=False), schema).checkpoint()
     tables.overwrite_days(topics.good(rows), target, "record_ts")
     tables.overwrite_parts(topics.corrupt(rows).withColumn("day", F.to_date("record_ts")),
                            rejects, ["day"])
 
 
+def message_rejects(
+    spark: SparkSession, topic: Topic, schema: StructType, target: str, checkpoint: str,
+    time_text: str | None = None,
+) -> DataStreamWriter:
+    """What the jobs on a topic leave out, with the reason: malformed and badly timed messages.
+
+    To be run beside each of them: its rows and theirs together are all rows of the topic.
+    """
+    rows = topics.decode(topic.read(spark), schema)
+    return _to_table(topics.rejects(rows, time_text), target, checkpoint)
+
+
 def workflow_statistics(
-    spark: SparkSession, topic: Topic, store: str, checkpoint: str, as_of: date | None = None
+    spark: SparkSession, topic: Topic, store: str, checkpoint: str, as_of: date | None = None,
+    records: str | None = None,
 ) -> DataStreamWriter:
+    """Deltas to ``store``; with ``records`` also one record per statistic and day there."""
     rows = topics.messages(topic.read(spark), schemas.WORKFLOW_MESSAGE)
-    return wf_stream.statistics_stream(wf.reshape(rows), store, checkpoint, as_of)
+    return wf_stream.statistics_stream(
+        wf.reshape(rows, ["record_ts"]), store, checkpoint, as_of, records=records)
 
 
 def bag_statistics(
-    spark: SparkSession, topic: Topic, store: str, checkpoint: str, as_of: date | None = None
+    spark: SparkSession, topic: Topic, store: str, checkpoint: str, as_of: date | None = None,
+    records: str | None = None,
 ) -> DataStreamWriter:
     rows = topics.messages(topic.read(spark), schemas.BAG_MESSAGE)
-    return bag_stream.statistics_stream(bag_stats.reshape(rows), store, checkpoint, as_of)
+    return bag_stream.statistics_stream(
+        bag_stats.reshape(rows, extra=["record_ts"]), store, checkpoint, as_of, records)
 
 
 def _to_table(df: DataFrame, target: str, checkpoint: str) -> DataStreamWriter:
@@ -123,9 +145,13 @@ def node_rejects(
 
 def burst_monitor(
     spark: SparkSession, topic: Topic, alerts: str, actions: str, checkpoint: str,
-    processing_time: bool = False, clear_after: bool = False,
+    processing_time: bool = False, clear_after: bool = False, lateness: str = "10 minutes",
 ) -> DataStreamWriter:
-    """Alert and action records. ``processing_time`` windows rows by when they are read."""
+    """Alert and action records. ``processing_time`` windows rows by when they are read.
+
+    By event time a window is judged ``lateness`` after its end, and what comes later still is not
+    counted: make it longer than partitions drift apart when the topic is caught up on.
+    """
     failures = bursts.failed_replays(topics.messages(topic.read(spark), schemas.JOB_MESSAGE))
     if processing_time:
         failures = burst_stream.processing_time(failures)
@@ -133,14 +159,15 @@ def burst_monitor(
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist()
         try:
-            tables.write_batch(burst_stream.alerts(rows), alerts, batch_id)
+            tables.write_batch(bursts.alert_records(burst_stream.alerts(rows)), alerts, batch_id)
             todo = bursts.action_records(burst_stream.actions(rows))
             tables.write_batch(todo.withColumn("priority", F.when(
                 F.col("kind") == "raise_priority", bursts.RAISED_PRIORITY)), actions, batch_id)
         finally:
             rows.unpersist()
 
-    events = burst_stream.burst_events(failures, clear_after=clear_after)
+    events = burst_stream.burst_events(
+        failures, "10 seconds" if processing_time else lateness, clear_after=clear_after)
     return (events.writeStream.outputMode("append").foreachBatch(tables.each_batch(write))
             .option("checkpointLocation", checkpoint))
 
@@ -271,11 +298,12 @@ def daily_copy(
                          (replication.to_lake_workflow(chosen), parent_target)):
         dated = rows.withColumn("day", F.lit(start).cast("date"))
         tables.overwrite_parts(dated, target, ["day"])
+        tables.empty_days(dated.sparkSession, target, "day", dated, [start.date()])
 
 
 def full_copy(children: DataFrame, target: str) -> None:
     """The whole results table, times as text."""
-    dated = children.withColumn("day", F.to_date("create_time"))
+    dated = children.withColumn("day", F.to_date("create_time")).hint("rebalance", "day")
     text = replication.times_as_text(dated, ["create_time", "update_time"])
     tables.overwrite_parts(text, target, ["day"])
 

@@ -5,7 +5,17 @@ from __future__ import annotations
 from fleetpulse.functions.text import LOG_FALLBACK, LOG_MARKERS
 from fleetpulse.operators import bag_stats
 from fleetpulse.operators import workflow_stats as wf
-from fleetpulse.plans.queries import AS_OF, PLAN_ROWS, RANGE_END, RANGE_START, ZONE
+from fleetpulse.operators.transfer import KEEP_DAYS
+from fleetpulse.plans.queries import (
+    AS_OF,
+    PLAN_ROWS,
+    RANGE_END,
+    RANGE_START,
+    RETAIN_AS_OF,
+    SEED_DAY,
+    WIDE,
+    ZONE,
+)
 
 _STATUS = """CASE event_type WHEN 'error' THEN 'FAILURE' WHEN 'purchase' THEN 'SUCCESS'
     WHEN 'signup' THEN 'SUCCESS' WHEN 'click' THEN 'RUNNING' END"""
@@ -176,6 +186,33 @@ ses AS (SELECT cluster_name, node_name, fault_type, seq AS open_seq, close_seq,
     end_time, CAST(trunc((end_time - t) / 60) AS BIGINT) AS minutes, ts, end_ts
   FROM edge WHERE route = 'fault')"""
 
+_BY_ARRIVAL = ("ORDER BY seq", "ORDER BY arrival, seq")
+_NODE_ARRIVAL = _NODE.replace("AS t, ts FROM events)", f"""AS t, ts,
+    ts + CASE event_id % 50 WHEN 0 THEN INTERVAL 60 HOUR
+        WHEN 1 THEN INTERVAL 20 HOUR ELSE INTERVAL 0 HOUR END AS arrival FROM events)""").replace(
+    *_BY_ARRIVAL)
+
+# where the layout of a profile changes, only what came after the last change counts
+_CLASH = """
+place AS (SELECT seq, stat_date, dev || '.' || cat AS place, profile, seq % 9 = 0 AS plain FROM (
+    SELECT seq, stat_date, dev, cat, typ, profile FROM acc
+    UNION ALL SELECT seq, stat_date, dev, cat, typ, profile FROM wf
+    WHERE status IS NULL OR status NOT IN ('SUCCESS', 'FAILURE'))
+  WHERE typ = 'replay' AND profile IS NOT NULL),
+newest AS (SELECT stat_date, place, coalesce(max(CASE WHEN plain THEN seq END), -1) AS last_plain,
+    coalesce(max(CASE WHEN NOT plain THEN seq END), -1) AS last_nested FROM place GROUP BY ALL),
+d AS (SELECT stat_date, place || '.total.total' AS key, profile AS value FROM place
+  UNION ALL SELECT stat_date, place || '.load.cpu', profile / 2 FROM place
+    JOIN newest USING (stat_date, place)
+    WHERE last_nested > last_plain AND NOT plain AND seq > last_plain
+  UNION ALL SELECT stat_date, place || '.load', profile FROM place
+    JOIN newest USING (stat_date, place)
+    WHERE last_plain > last_nested AND plain AND seq > last_nested)"""
+
+_SEEDED = _LATE.replace("max(stat_date) OVER (ORDER BY arrival, seq) AS today FROM wf",
+                        "greatest(max(stat_date) OVER (ORDER BY arrival, seq), "
+                        f"DATE '{SEED_DAY}') AS today FROM wf")
+
 _JOB = """
 fail AS (SELECT 'n' || user_id AS node_name, 'wf' || (event_id % 40) AS workflow,
     make_timestamp((1704067200000 + (epoch_us(ts) - 1704067200000000) // 600000) * 1000) AS ts
@@ -294,6 +331,22 @@ ORACLES: dict[str, str] = {
         [p for m in wf.COUNTERS for p in _PARTS[m]], f"{_WF}, {_LATE}, {_LATE_ACC}"),
     "fault_sessions": f"""WITH {_NODE} SELECT cluster_name, node_name, fault_type, open_seq,
         close_seq, start_time, end_time, minutes FROM ses""",
+    "fault_sessions_by_arrival": f"""WITH {_NODE_ARRIVAL} SELECT cluster_name, node_name,
+        fault_type, open_seq * {WIDE} AS open_seq, close_seq * {WIDE} AS close_seq, start_time,
+        end_time, minutes FROM ses""",
+    "wf_statistics_by_arrival": _stats([p for m in wf.COUNTERS for p in _PARTS[m]],
+                                       f"{_WF}, {_ACC.replace(*_BY_ARRIVAL)}"),
+    "wf_time_consuming_clash": f"""WITH {_WF}, {_ACC}, {_CLASH}
+        SELECT stat_date, '{wf.TIME_CONSUMING}' AS name, key,
+          round(sum(CAST(value AS DOUBLE)), 4) AS value FROM d GROUP BY stat_date, key""",
+    "wf_late_drop_seeded": f"""WITH {_WF}, {_SEEDED}
+        SELECT seq, stat_date, stat_date = today AS is_today FROM openrows""",
+    "bag_last_duration": f"""WITH {_BAG}, d AS ({_BAG_GROUP.replace(' FROM bag', ', seq FROM bag')})
+        SELECT stat_date, name, key, round(CAST(arg_max(value, seq) AS DOUBLE), 4) AS value
+        FROM d GROUP BY stat_date, name, key""",
+    "retention_as_of": f"""WITH {_TABLE} SELECT workflow_id, workflow_status, create_time FROM wt
+        WHERE NOT (create_time >= DATE '{RETAIN_AS_OF}' - {KEEP_DAYS + 1}
+          AND create_time < DATE '{RETAIN_AS_OF}' - {KEEP_DAYS})""",
     "fault_alerts": f"""WITH {_NODE}
         SELECT cluster_name, node_name, fault_type, 'fault' AS level, open_seq AS seq,
           CAST(NULL AS BIGINT) AS minutes, 'FAULT! ' || fault_type || ' on machine ' || node_name

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse import schemas
-from fleetpulse.functions import times
+from fleetpulse.functions import nested, times
 from fleetpulse.operators import (
     bag_stats,
     bursts,
@@ -29,6 +29,10 @@ RANGE_START, RANGE_END = datetime(1997, 1, 1), datetime(1999, 1, 1)
 AS_OF = date(1998, 7, 1)
 PLAN_ROWS = 10
 ZONE = "Asia/Tokyo"
+SEED_DAY = date(2024, 1, 10)
+RETAIN_AS_OF = date(1998, 9, 1)
+# sequence numbers of many partitions are far apart
+WIDE = 1_048_583
 
 
 def _flat(stats: DataFrame) -> DataFrame:
@@ -98,6 +102,45 @@ def fault_alerts(spark, sf_dir):
         "cluster_name", "node_name", "fault_type", "level", "seq", "minutes", "info")
 
 
+def fault_sessions_by_arrival(spark, sf_dir):
+    """Sessions in the order of a later arrival, with large sequence numbers."""
+    raw = fx.node_topic(fx.events(spark, sf_dir), fx.arrival().alias("arrival"))
+    rows = topics.messages(raw, schemas.NODE_MESSAGE).withColumn("seq", F.col("seq") * WIDE)
+    return faults.fault_sessions(rows, ["arrival", "seq"])
+
+
+def wf_statistics_by_arrival(spark, sf_dir):
+    events = _late_events(spark, sf_dir).withColumn("seq", F.col("seq") * WIDE)
+    return _flat(wf.statistics(events, wf.COUNTERS, order=["arrival", "seq"]))
+
+
+def wf_time_consuming_clash(spark, sf_dir):
+    """Profiles whose layout changes from message to message."""
+    raw = fx.workflow_topic(fx.events(spark, sf_dir), clash=True)
+    events = wf.reshape(topics.messages(raw, schemas.WORKFLOW_MESSAGE))
+    return _flat(wf.statistics(events, (wf.TIME_CONSUMING,)))
+
+
+def wf_late_drop_seeded(spark, sf_dir):
+    """Nothing before the day that the state was built anew, less one."""
+    kept = open_days(_late_events(spark, sf_dir), ["arrival", "seq"], as_of=SEED_DAY)
+    return kept.select("seq", "stat_date", "is_today")
+
+
+def bag_last_duration(spark, sf_dir):
+    """The last duration of each group and day instead of their sum."""
+    rows = bag_stats.deltas(_bags(spark, sf_dir), (bag_stats.DURATION_BY_GROUP,))
+    return _flat(nested.overwrite_at_path(rows, ["stat_date", "name"], "seq"))
+
+
+def retention_as_of(spark, sf_dir):
+    """Workflows that are kept on a given day."""
+    kept = transfer.retained(
+        fx.workflow_table(spark, sf_dir), fx.result_table(spark, sf_dir),
+        *transfer.retention_bounds(RETAIN_AS_OF, transfer.KEEP_DAYS))
+    return kept[0].select("workflow_id", "workflow_status", "create_time")
+
+
 def node_routes(spark, sf_dir):
     return faults.levels(fx.node_messages(spark, sf_dir)).select("seq", "node_name", "route")
 
@@ -306,6 +349,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bag_error_nested": _bag_query(bag_stats.ERRORS_BY_GROUP),
     "bag_error_info": bag_error_info,
     "bag_late_statistics": bag_late_statistics,
+    "bag_last_duration": bag_last_duration,
     "wf_transitions": wf_transitions,
     "wf_pods_by_type": _workflow_query(wf.SUCCESS_PODS, wf.FAILURE_PODS),
     "wf_pods_category_retraction": _workflow_query(
@@ -319,7 +363,11 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wf_late_drop": wf_late_drop,
     "wf_late_drop_prev_seen": wf_late_drop_prev_seen,
     "wf_late_statistics": wf_late_statistics,
+    "wf_late_drop_seeded": wf_late_drop_seeded,
+    "wf_statistics_by_arrival": wf_statistics_by_arrival,
+    "wf_time_consuming_clash": wf_time_consuming_clash,
     "fault_sessions": fault_sessions,
+    "fault_sessions_by_arrival": fault_sessions_by_arrival,
     "fault_alerts": fault_alerts,
     "node_routes": node_routes,
     "burst_windows": burst_windows,
@@ -342,6 +390,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_rows": range_rows,
     "retention_parents": retention_parents,
     "retention_children": retention_children,
+    "retention_as_of": retention_as_of,
     "recon_counts": recon_counts,
     "recon_child_counts": recon_child_counts,
     "recon_fields": recon_fields,

@@ -1,7 +1,10 @@
 """The statistics table: one record per (name, 'daily', stat_date).
 
-Streams write change rows ``(stat_date, name, path, value)`` in one partition per micro-batch; the
-statistics are their sum. A repeated micro-batch replaces its own partition, so sums stay exact.
+Streams write change rows ``(stat_date, name, path, value)`` in one partition per run and micro-batch;
+the statistics are their sum. A run is a checkpoint: its batch numbers count on from a restart, so a
+repeated micro-batch replaces its own partition. A new checkpoint is a new run that reads the topic again
+from some day on; it takes the place of the older runs on every day that it writes, so that nothing is
+counted twice.
 """
 
 from __future__ import annotations
@@ -12,46 +15,100 @@ from pyspark.sql import functions as F
 
 from fleetpulse.functions.nested import add_at_path
 from fleetpulse.operators.workflow_stats import records
-from fleetpulse.sinks.tables import BATCH, overwrite_parts, write_batch
+from fleetpulse.sinks.tables import BATCH, append, overwrite_parts
 
 STATE_DAYS = "days"
 STATE_DELTAS = "deltas"
+STATE_RUNS = "runs"
+RUN = "run"
 
 
-def write_deltas(deltas: DataFrame, store: str, batch_id: int) -> None:
+def _read(spark: SparkSession, folder: str, schema: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def run_of(spark: SparkSession, store: str, checkpoint: str) -> int:
+    """The number of the run that has this checkpoint; a new checkpoint gets the next number."""
+    schema = f"checkpoint string, {RUN} bigint"
+    known = _read(spark, f"{store}/{STATE_RUNS}", schema)
+    if known is not None:
+        row = known.agg(F.max(RUN), F.max(F.when(
+            F.col("checkpoint") == checkpoint, F.col(RUN)))).first()
+        if row[1] is not None:
+            return row[1]
+    number = 0 if known is None else (row[0] or 0) + 1
+    append(spark.createDataFrame([(checkpoint, number)], schema), f"{store}/{STATE_RUNS}")
+    return number
+
+
+def _write(df: DataFrame, target: str, batch_id: int, run: int) -> None:
+    overwrite_parts(df.withColumns({RUN: F.lit(run).cast("bigint"),
+                                    BATCH: F.lit(batch_id).cast("bigint")}), target, [RUN, BATCH])
+
+
+def write_deltas(deltas: DataFrame, store: str, batch_id: int, run: int = 0) -> None:
     summed = add_at_path(deltas, ["stat_date", "name"]).select("stat_date", "name", "path", "value")
-    write_batch(summed, f"{store}/{STATE_DELTAS}", batch_id)
+    _write(summed, f"{store}/{STATE_DELTAS}", batch_id, run)
 
 
-def write_newest_day(day, spark: SparkSession, store: str, batch_id: int) -> None:
+def write_newest_day(day, spark: SparkSession, store: str, batch_id: int, run: int = 0) -> None:
     row = spark.range(1).select(F.lit(day).cast("date").alias("newest_day"))
-    write_batch(row, f"{store}/{STATE_DAYS}", batch_id)
+    _write(row, f"{store}/{STATE_DAYS}", batch_id, run)
 
 
-def newest_day(spark: SparkSession, store: str, before_batch: int):
-    """The newest day that earlier micro-batches have seen, or None."""
-    try:
-        rows = spark.read.schema(f"newest_day date, {BATCH} bigint").parquet(
-            f"{store}/{STATE_DAYS}")
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return rows.filter(F.col(BATCH) < before_batch).agg(F.max("newest_day")).first()[0]
+def newest_day(spark: SparkSession, store: str, before_batch: int, run: int = 0):
+    """The newest day that earlier micro-batches of the run have seen, or None."""
+    rows = _read(spark, f"{store}/{STATE_DAYS}", f"newest_day date, {RUN} bigint, {BATCH} bigint")
+    if rows is None:
+        return None
+    return rows.filter((F.col(RUN) == run) & (F.col(BATCH) < before_batch)).agg(
+        F.max("newest_day")).first()[0]
 
 
-def read_statistics(spark: SparkSession, store: str) -> DataFrame:
+def _valid(spark: SparkSession, store: str) -> DataFrame:
+    """The deltas of each day's newest run."""
     deltas = spark.read.parquet(f"{store}/{STATE_DELTAS}").drop(BATCH)
+    newest = deltas.groupBy(F.col("stat_date").alias("_day")).agg(F.max(RUN).alias("_run"))
+    return deltas.join(newest, (F.col("stat_date") == F.col("_day"))
+                       & (F.col(RUN) == F.col("_run")), "left_semi")
+
+
+def read_statistics(spark: SparkSession, store: str, days: list | None = None) -> DataFrame:
+    deltas = _valid(spark, store)
+    if days is not None:
+        deltas = deltas.filter(F.col("stat_date").isin(days))
     return add_at_path(deltas, ["stat_date", "name"]).select("stat_date", "name", "path", "value")
 
 
 def compact(spark: SparkSession, store: str, fresh: str) -> None:
-    """Sum a store's deltas into a new store, as its batch -1; run it while the stream is stopped."""
-    write_batch(read_statistics(spark, store), f"{fresh}/{STATE_DELTAS}", -1)
-    newest = spark.read.parquet(f"{store}/{STATE_DAYS}").agg(F.max("newest_day")).first()[0]
-    write_newest_day(newest, spark, fresh, -1)
+    """Sum a store's deltas into a new store, as batch -1 of their runs; the stream must be stopped.
+
+    The new store knows the same runs, so a stream goes on there with the checkpoint it has.
+    """
+    summed = add_at_path(_valid(spark, store), ["stat_date", "name", RUN]).withColumn(
+        BATCH, F.lit(-1).cast("bigint"))
+    overwrite_parts(summed.select("stat_date", "name", "path", "value", RUN, BATCH),
+                    f"{fresh}/{STATE_DELTAS}", [RUN, BATCH])
+    days = spark.read.parquet(f"{store}/{STATE_DAYS}").groupBy(RUN).agg(
+        F.max("newest_day").alias("newest_day")).withColumn(BATCH, F.lit(-1).cast("bigint"))
+    overwrite_parts(days.select("newest_day", RUN, BATCH), f"{fresh}/{STATE_DAYS}", [RUN, BATCH])
+    runs = _read(spark, f"{store}/{STATE_RUNS}", f"checkpoint string, {RUN} bigint")
+    if runs is not None:
+        append(runs, f"{fresh}/{STATE_RUNS}")
 
 
 def upsert_records(stats: DataFrame, target: str) -> None:
-    """Statistics of whole days as records; each day replaces what was there."""
-    overwrite_parts(records(stats), target, ["stat_date"])
+    """Statistics of whole days as records; each (day, statistic) replaces what was there."""
+    overwrite_parts(records(stats), target, ["stat_date", "name"])
+
+
+def publish(spark: SparkSession, store: str, target: str, days: list | None = None) -> None:
+    """Upsert the records of the given days (default: all) of a store."""
+    stats = read_statistics(spark, store, days)
+    if not stats.isEmpty():
+        upsert_records(stats, target)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +31,31 @@ def overwrite_parts(df: DataFrame, target: str, parts: list[str]) -> None:
         df.writeTo(target).overwritePartitions()
 
 
-def overwrite_days(df: DataFrame, target: str, time: str, day: str = "day") -> None:
-    """Idempotent append of whole days: the day is the partition and is replaced as one."""
-    overwrite_parts(df.withColumn(day, F.to_date(time)), target, [day])
+def overwrite_days(
+    df: DataFrame, target: str, time: str, day: str = "day", days: list[date] | None = None
+) -> None:
+    """Idempotent append of whole days: the day is the partition and is replaced as one.
+
+    Rows are brought together by day before they are written, so a day has few files. ``days`` are
+    replaced even where ``df`` has no row of them.
+    """
+    dated = df.withColumn(day, F.to_date(time))
+    overwrite_parts(dated.hint("rebalance", day), target, [day])
+    if days:
+        empty_days(df.sparkSession, target, day, dated, days)
+
+
+def empty_days(
+    spark: SparkSession, target: str, day: str, written: DataFrame, days: list[date]
+) -> None:
+    """Empty those of ``days`` that ``written`` has no row of."""
+    if not is_path(target):
+        for gone in days:
+            if written.filter(F.col(day) == F.lit(gone)).isEmpty():
+                spark.sql(f"DELETE FROM {target} WHERE `{day}` = DATE '{gone}'")
+        return
+    present = {r[0] for r in written.filter(F.col(day).isin(days)).select(day).distinct().collect()}
+    _drop_parts(spark, target, [f"{day}={d}" for d in days if d not in present])
 
 
 def write_batch(df: DataFrame, target: str, batch_id: int) -> None:
@@ -61,9 +85,12 @@ def upsert(df: DataFrame, target: str, keys: list[str], seq: str, batch_id: int)
     if is_path(target):
         write_batch(newest, target, batch_id)
         return
-    view = f"_changes_{batch_id}"
+    view = f"_changes_{uuid.uuid4().hex}"
     newest.createOrReplaceTempView(view)
-    df.sparkSession.sql(merge_sql(target, view, newest.columns, keys, seq))
+    try:
+        df.sparkSession.sql(merge_sql(target, view, newest.columns, keys, seq))
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
 
 
 def current(spark: SparkSession, target: str, keys: list[str], seq: str) -> DataFrame:
@@ -88,22 +115,28 @@ def delete_keys(
     """Delete the rows whose key is in ``ids``.
 
     A catalog table gets a DELETE. In a partitioned Parquet folder only partitions that hold such
-    rows are rewritten, from a copy in ``staging``; a partition left without rows keeps none.
+    rows are rewritten, from a copy in a folder of this run's own under ``staging``, so that nothing of
+    an earlier run comes back; a partition left without rows keeps none.
     """
     if not is_path(target):
-        view = "_deleted_ids"
+        view = f"_deleted_{uuid.uuid4().hex}"
         ids.select(F.col(key)).createOrReplaceTempView(view)
-        spark.sql(f"DELETE FROM {target} WHERE `{key}` IN (SELECT `{key}` FROM {view})")
+        try:
+            spark.sql(f"DELETE FROM {target} WHERE `{key}` IN (SELECT `{key}` FROM {view})")
+        finally:
+            spark.catalog.dropTempView(view)
         return
     if staging is None:
         raise ValueError("a Parquet target needs a staging folder")
+    staging = f"{staging}/{uuid.uuid4().hex}"
     rows = lake_table(spark, target)
     wanted = ids.select(F.col(key).alias("_gone")).distinct()
     touched = rows.join(wanted, F.col(key) == F.col("_gone"), "left_semi").select(*parts).distinct()
     affected = rows.join(touched, parts, "left_semi")
-    affected.join(wanted, F.col(key) == F.col("_gone"), "left_anti").write.mode(
-        "overwrite").partitionBy(*parts).parquet(f"{staging}/kept")
-    touched.write.mode("overwrite").parquet(f"{staging}/touched")
+    kept = affected.join(wanted, F.col(key) == F.col("_gone"), "left_anti")
+    kept.hint("rebalance", *parts).write.option("partitionOverwriteMode", "static").partitionBy(
+        *parts).parquet(f"{staging}/kept")
+    touched.write.parquet(f"{staging}/touched")
     _replace_parts(spark, target, staging, parts)
 
 
@@ -113,10 +146,16 @@ def _replace_parts(spark: SparkSession, target: str, staging: str, parts: list[s
     # partitions that lost all their rows: replace them by an empty file set
     emptied = spark.read.parquet(f"{staging}/touched").join(
         kept.select(*parts).distinct(), parts, "left_anti")
+    _drop_parts(spark, target, [
+        "/".join(f"{p}={row[p]}" for p in parts) for row in emptied.toLocalIterator()])
+
+
+def _drop_parts(spark: SparkSession, target: str, folders: list[str]) -> None:
+    """Drop partition folders of a Parquet table; one list entry for each partition."""
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
     conf = spark._jsc.hadoopConfiguration()
-    for row in emptied.toLocalIterator():
-        folder = fs_path(target + "/" + "/".join(f"{p}={row[p]}" for p in parts))
+    for name in folders:
+        folder = fs_path(f"{target}/{name}")
         folder.getFileSystem(conf).delete(folder, True)
 
 

@@ -86,7 +86,8 @@ def ranged_table(
     predicates: list[str],
 ) -> DataFrame:
     """One task per predicate; a lost task re-reads only its own range."""
-    return spark.read.jdbc(url, name_or_query, predicates=predicates, properties=dict(properties))
+    options = {k: v for k, v in jdbc_options(url, properties).items() if k != "url"}
+    return spark.read.jdbc(url, name_or_query, predicates=predicates, properties=options)
 
 
 def count_rows(spark: SparkSession, options: Mapping[str, str], query: str) -> int:

@@ -15,12 +15,3 @@ def lake_table(spark: SparkSession, name: str) -> DataFrame:
 
 def statistics_sides(spark: SparkSession, left: str, right: str) -> tuple[DataFrame, DataFrame]:
     return lake_table(spark, left), lake_table(spark, right)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a table that lies in fewer files than there are cores, dealt out to all cores.
-
-    For work that is heavy per row (JSON text). A large table has files enough and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fleetpulse.functions.times import parse_text
 from fleetpulse.schemas import layout
 
 ENVELOPE = layout("seq long, record_ts timestamp, value string")
 CORRUPT = "_corrupt_record"
-PARTITION_ROOM = 4096
+PARTITION_ROOM = 1 << 20
 
 
 def start_options(
@@ -48,9 +49,9 @@ def kafka_topic(
 ) -> DataFrame:
     """``(seq, record_ts, value)``; ``seq`` follows the offsets, so it orders each partition.
 
-    Producers must key the topic by workflow or machine, as any per-key order needs. Up to
-    ``PARTITION_ROOM`` partitions get distinct numbers; a chunk of such numbers should be that many
-    times wider (``sequence_chunk("seq", CHUNK_ROWS * PARTITION_ROOM)``).
+    Offsets of different partitions say nothing about each other: the arrival order over a whole topic
+    is ``(record_ts, seq)``. Producers must key the topic by workflow or machine, as any per-key
+    order needs. Up to ``PARTITION_ROOM`` partitions get distinct numbers.
     """
     reader = spark.readStream if stream else spark.read
     if start is None and not stream:
@@ -103,6 +104,21 @@ def corrupt(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col(CORRUPT).isNotNull()).select(*meta, CORRUPT)
 
 
+def rejects(decoded: DataFrame, time_text: str | None = None) -> DataFrame:
+    """Rows that the jobs can't use, with the reason: malformed, untimed or badly timed ones.
+
+    ``time_text`` is the field that has the message's time as text, if the job goes by it.
+    """
+    reason = F.when(F.col(CORRUPT).isNotNull(), "malformed")
+    if time_text:
+        reason = (reason.when(F.col(time_text).isNull(), "no time")
+                  .when(parse_text(F.col(time_text)).isNull(), "bad time"))
+    fields = [c for c in decoded.columns if c not in ("seq", "record_ts", CORRUPT)]
+    return decoded.withColumn("reason", reason).filter("reason IS NOT NULL").select(
+        "seq", "record_ts", "reason",
+        F.coalesce(CORRUPT, F.to_json(F.struct(*fields))).alias("value"))
+
+
 def messages(raw: DataFrame, schema: StructType) -> DataFrame:
     """Decoded rows without the malformed ones."""
     return good(decode(raw, schema))

@@ -5,34 +5,21 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from fleetpulse.operators import bag_stats
 from fleetpulse.sinks import stats
-from fleetpulse.streaming.workflow_stats import open_rows
-
-
-def write_bags(store: str, as_of: date | None = None):
-    def run(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
-        try:
-            newest = rows.agg(F.max("stat_date")).first()[0]
-            if newest is None:
-                return
-            kept = open_rows(rows, store, batch_id, as_of)
-            stats.write_deltas(bag_stats.deltas(kept), store, batch_id)
-            stats.write_newest_day(newest, batch.sparkSession, store, batch_id)
-        finally:
-            rows.unpersist()
-    return run
+from fleetpulse.streaming.workflow_stats import arrival_order, write_changes
 
 
 def statistics_stream(
-    bags: DataFrame, store: str, checkpoint: str, as_of: date | None = None
+    bags: DataFrame, store: str, checkpoint: str, as_of: date | None = None,
+    records: str | None = None,
 ) -> DataStreamWriter:
     """``bags`` is a streaming :func:`bag_stats.reshape` with ``seq``."""
+    run = stats.run_of(bags.sparkSession, store, checkpoint)
+    write = write_changes(store, as_of, bag_stats.deltas, run, records, arrival_order(bags))
     return (
-        bags.writeStream.outputMode("append").foreachBatch(write_bags(store, as_of))
+        bags.writeStream.outputMode("append").foreachBatch(write)
         .option("checkpointLocation", checkpoint)
     )

@@ -7,7 +7,8 @@ store, one partition per micro-batch.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import date, datetime, timezone
+from datetime import date, datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ REFRESH = "20 seconds"
 
 _LAST = layout("workflow_status string, workflow_type string, category string")
 _FIELDS = (
-    "seq long, stat_date date, workflow_id string, workflow_status string, workflow_type string, "
+    "seq long, record_ts timestamp, stat_date date, workflow_id string, workflow_status string, workflow_type string, "
     "category string, device string, mode string, bag_nums long, n_ok long, n_bad long, "
     "profile string"
 )
@@ -39,6 +40,9 @@ class StatusChanges(StatefulProcessor):
     Events of other statuses pass with +1: they change no counter, but their profiles count.
     """
 
+    def __init__(self, zone: str):
+        self._zone = zone
+
     def init(self, handle) -> None:
         self._handle = handle
         self._last = handle.getValueState("last", _LAST)
@@ -47,8 +51,8 @@ class StatusChanges(StatefulProcessor):
         last = self._last.get() if self._last.exists() else None
         if last is None:
             # the day can be neither today nor yesterday once the watermark has passed its start
-            self._handle.registerTimer(_millis(key[0]) + 1)
-        for row in sorted(rows, key=lambda r: r["seq"]):
+            self._handle.registerTimer(_millis(key[0], self._zone) + 1)
+        for row in sorted(rows, key=_arrival):
             fields = tuple(row[c] for c in _COLUMNS)
             status = row["workflow_status"]
             if status not in wf.DECIDED:
@@ -74,15 +78,28 @@ class StatusChanges(StatefulProcessor):
         pass
 
 
-def _millis(day: date) -> int:
-    return int(datetime(day.year, day.month, day.day, tzinfo=timezone.utc).timestamp() * 1000)
+def _arrival(row) -> tuple:
+    return row["record_ts"] or datetime.min, row["seq"]
+
+
+def _millis(day: date, zone: str) -> int:
+    """The start of the day in the session's zone, in which ``stat_date`` is cut too."""
+    start = datetime(day.year, day.month, day.day, tzinfo=ZoneInfo(zone))
+    return int(start.timestamp() * 1000)
 
 
 def status_changes(events: DataFrame) -> DataFrame:
-    """``events`` is a streaming :func:`wf.reshape`; rows older than two days are dropped."""
+    """``events`` is a streaming :func:`wf.reshape`; rows older than two days are dropped.
+
+    With ``record_ts`` (needed where a topic has several partitions) the arrival order is by it, then
+    by ``seq``; without, by ``seq`` alone.
+    """
+    if "record_ts" not in events.columns:
+        events = events.withColumn("record_ts", F.lit(None).cast("timestamp"))
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", STATE_BOUND)
+    zone = events.sparkSession.conf.get("spark.sql.session.timeZone")
     return timed.select(*_COLUMNS, "ts").groupBy(*wf.KEYS).transformWithState(
-        StatusChanges(), CHANGES, "Append", "EventTime")
+        StatusChanges(zone), CHANGES, "Append", "EventTime")
 
 
 def change_deltas(changes: DataFrame, retract_key: str = "type") -> DataFrame:
@@ -104,38 +121,52 @@ def change_deltas(changes: DataFrame, retract_key: str = "type") -> DataFrame:
         F.concat(place, F.col("path")).alias("path"), "value"))
 
 
-def open_rows(batch: DataFrame, store: str, batch_id: int, as_of: date | None = None) -> DataFrame:
+def arrival_order(events: DataFrame) -> list[str]:
+    return ["record_ts", "seq"] if "record_ts" in events.columns else ["seq"]
+
+
+def open_rows(
+    batch: DataFrame, store: str, batch_id: int, as_of: date | None = None, run: int = 0,
+    order: list[str] | None = None,
+) -> DataFrame:
     """The rows of a micro-batch whose day is open, given the newest day of earlier batches."""
-    known = [d for d in (stats.newest_day(batch.sparkSession, store, batch_id), as_of) if d]
-    return open_days(batch, ["seq"], as_of=max(known) if known else None)
+    known = [d for d in (stats.newest_day(batch.sparkSession, store, batch_id, run), as_of) if d]
+    return open_days(batch, order or ["seq"], as_of=max(known) if known else None)
 
 
 def write_changes(
-    store: str, as_of: date | None = None, retract_key: str = "type"
+    store: str, as_of: date | None = None, to_deltas=change_deltas, run: int = 0,
+    records: str | None = None, order: list[str] | None = None,
 ):
-    """foreachBatch function: open days only, then deltas, then the newest day."""
-    def run(batch: DataFrame, batch_id: int) -> None:
+    """foreachBatch function: open days only, then deltas, the newest day, and the days' records."""
+    def apply(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist()
         try:
             newest = rows.agg(F.max("stat_date")).first()[0]
             if newest is None:
                 return
-            kept = open_rows(rows, store, batch_id, as_of)
-            stats.write_deltas(change_deltas(kept, retract_key), store, batch_id)
-            stats.write_newest_day(newest, batch.sparkSession, store, batch_id)
+            kept = open_rows(rows, store, batch_id, as_of, run, order)
+            stats.write_deltas(to_deltas(kept), store, batch_id, run)
+            stats.write_newest_day(newest, batch.sparkSession, store, batch_id, run)
+            if records:
+                # at most the two open days of each day that the batch saw as today
+                days = [r[0] for r in kept.select("stat_date").distinct().collect()]
+                stats.publish(batch.sparkSession, store, records, days)
         finally:
             rows.unpersist()
-    return run
+    return apply
 
 
 def statistics_stream(
     events: DataFrame, store: str, checkpoint: str, as_of: date | None = None,
-    retract_key: str = "type",
+    retract_key: str = "type", records: str | None = None,
 ) -> DataStreamWriter:
+    """Deltas into ``store`` and, if given, the records of every touched day into ``records``."""
+    run = stats.run_of(events.sparkSession, store, checkpoint)
+    write = write_changes(
+        store, as_of, lambda rows: change_deltas(rows, retract_key), run, records,
+        arrival_order(events))
     return (
-        status_changes(events).writeStream.outputMode("append")
-        .foreachBatch(write_changes(store, as_of, retract_key))
+        status_changes(events).writeStream.outputMode("append").foreachBatch(write)
         .option("checkpointLocation", checkpoint)
     )
-
-

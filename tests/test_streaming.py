@@ -167,3 +167,91 @@ def test_crash_topic_stream(spark, events, tmp_path):
     batch = summary.crashes(topics.messages(raw, schemas.BAG_MESSAGE)).drop("seq", "record_ts")
     assert rows(written) == rows(batch)
     assert sum(rows(batch).values()) > 0
+
+
+def test_rejects_and_rows_are_all_rows(spark, events, tmp_path):
+    """Malformed and badly timed messages go to a table; the statistics job goes on without them."""
+    from fleetpulse.plans import jobs
+    raw = fx.workflow_topic(events.filter("event_id < 60"))
+    text = F.col("value")
+    odd = raw.withColumn("value", F.when(F.col("seq") % 10 == 1, F.substring(text, 1, 40))
+                         .when(F.col("seq") % 10 == 2, F.regexp_replace(
+                             text, '"update_time":"[^"]*"', '"update_time":"soon"'))
+                         .when(F.col("seq") % 10 == 3, F.regexp_replace(
+                             text, '"update_time":"[^"]*",?', '')).otherwise(text))
+    topic = jobs.Topic(write_topic(odd, str(tmp_path / "in"), 2))
+    store, rejects = str(tmp_path / "store"), str(tmp_path / "rejects")
+    run_available(jobs.workflow_statistics(spark, topic, store, str(tmp_path / "cp"),
+                                           records=str(tmp_path / "records")))
+    run_available(jobs.message_rejects(spark, topic, schemas.WORKFLOW_MESSAGE, rejects,
+                                       str(tmp_path / "cp-rejects"), "update_time"))
+    reasons = rows(spark.read.parquet(rejects).groupBy("reason").count())
+    n = odd.count()
+    assert sum(r[1] for r in reasons) == odd.filter("seq % 10 IN (1, 2, 3)").count()
+    assert {r[0] for r in reasons} == {"malformed", "bad time", "no time"}
+    good = wf.reshape(topics.messages(raw.filter("seq % 10 NOT IN (1, 2, 3)"),
+                                      schemas.WORKFLOW_MESSAGE))
+    assert good.count() + sum(r[1] for r in reasons) == n
+    want = flat(wf.statistics(good, drop_late=True))
+    assert flat(stats.read_statistics(spark, store)) == want
+    assert spark.read.parquet(str(tmp_path / "records")).count() == len(
+        {(k[0], k[1]) for k in want})
+
+
+def test_uneven_partitions_lose_no_rows(spark, events, tmp_path):
+    """An old partition at a high offset comes first, a young one at a low offset after it."""
+    old = F.col("event_id") % 2 == 0
+    offset = F.when(old, F.col("event_id") + 1_000_000).otherwise(F.col("event_id"))
+    raw = fx.workflow_topic(events).withColumn("event_id", F.col("seq")).withColumn(
+        "seq", offset * topics.PARTITION_ROOM + F.when(old, 0).otherwise(1)).drop("event_id")
+    path = write_topic(raw, str(tmp_path / "in"), 1)
+    streamed = wf.reshape(stream_of(spark, path, schemas.WORKFLOW_MESSAGE), ["record_ts"])
+    store = str(tmp_path / "store")
+    run_available(wf_stream.statistics_stream(streamed, store, str(tmp_path / "cp")))
+    batch = wf.reshape(topics.messages(raw, schemas.WORKFLOW_MESSAGE), ["record_ts"])
+    kept = open_days(batch, ["record_ts", "seq"])
+    assert kept.count() == batch.count() > open_days(batch, ["seq"]).count()
+    want = flat(wf.statistics(batch, order=["record_ts", "seq"], drop_late=True))
+    assert flat(stats.read_statistics(spark, store)) == want
+
+
+@pytest.mark.parametrize("zone", ["America/Los_Angeles", "Asia/Shanghai"])
+def test_state_lasts_for_the_local_day(spark, tmp_path, zone):
+    """A repeated status on the evening of yesterday counts once, west and east of UTC."""
+    message = ('{"workflow_id":"w","workflow_type":"t","workflow_status":"SUCCESS",'
+               '"update_time":"%s"}')
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        at = ["2024-01-01 22:00:00", "2024-01-02 23:30:00", "2024-01-02 23:40:00",
+              "2024-01-01 23:00:00"]
+        raw = spark.createDataFrame(
+            [(i, message % t) for i, t in enumerate(at)],
+            "seq bigint, value string").withColumn("record_ts", F.current_timestamp())
+        path = write_topic(raw, str(tmp_path / "in"), 4)
+        streamed = wf.reshape(stream_of(spark, path, schemas.WORKFLOW_MESSAGE))
+        store = str(tmp_path / "store")
+        run_available(wf_stream.statistics_stream(streamed, store, str(tmp_path / "cp")))
+        batch = wf.statistics(wf.reshape(topics.messages(raw, schemas.WORKFLOW_MESSAGE)))
+        assert flat(stats.read_statistics(spark, store)) == flat(batch)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_failures_a_minute_late_count(spark, tmp_path):
+    """Four failures on time and a fifth that comes a minute late are a burst."""
+    from fleetpulse.plans import jobs
+    message = ('{"node_name":"%s","job_status":"failed","job_name":"a-b-c-w%d-replay",'
+               '"timestamp":"%d"}')
+    base = 1_704_067_200_000
+    sent = [("n", i, base + i * 1000) for i in range(4)] + [
+        ("z", 9, base + 60_000), ("n", 5, base + 5000), ("z", 9, base + 3_600_000)]
+    raw = spark.createDataFrame(
+        [(i, message % m) for i, m in enumerate(sent)], "seq bigint, value string").withColumn(
+        "record_ts", F.current_timestamp())
+    topic = jobs.Topic(write_topic(raw, str(tmp_path / "in"), 7), files_per_trigger=1)
+    alerts = str(tmp_path / "alerts")
+    run_available(jobs.burst_monitor(spark, topic, alerts, str(tmp_path / "actions"),
+                                     str(tmp_path / "cp")))
+    got = spark.read.parquet(alerts).filter("outcome = 'alert'").collect()
+    assert [(r.node_name, r.n, r.level) for r in got] == [("n", 5, "burst")]
+    assert got[0].info.startswith("node n: 5 failed replays from 2024-01-01 00:00:00")

@@ -245,3 +245,76 @@ def test_session_settings(spark, tmp_path):
     if not shared:
         with pytest.raises(ValueError):
             checkpoint_root(spark)
+
+
+def test_delete_keys_again_with_the_same_staging(spark, tmp_path):
+    """Rows that came between two runs stay, deleted ones don't come back, an emptied day goes."""
+    target, staging = str(tmp_path / "t"), str(tmp_path / "staging")
+    tables.overwrite_parts(table(spark, [(1, "a", "x"), (2, "a", "x"), (3, "b", "x")]), target,
+                           ["day"])
+    tables.delete_keys(spark, target, table(spark, [(1, "", "")]), "id", ["day"], staging)
+    tables.overwrite_parts(table(spark, [(2, "a", "x"), (9, "a", "new")]), target, ["day"])
+    tables.delete_keys(spark, target, table(spark, [(3, "", "")]), "id", ["day"], staging)
+    assert rows(lake.lake_table(spark, target), "id", "day") == {(2, "a"): 1, (9, "a"): 1}
+    tables.delete_keys(
+        spark, target, table(spark, [(2, "", ""), (9, "", "")]), "id", ["day"], staging)
+    assert spark.read.schema("id int, v string, day string").parquet(target).count() == 0
+
+
+def test_emptied_day_is_replaced(spark, tmp_path):
+    target = str(tmp_path / "t")
+    days = [(1, datetime(2024, 1, 1, 5)), (2, datetime(2024, 1, 2, 5))]
+    tables.overwrite_days(spark.createDataFrame(days, "id int, at timestamp_ntz"), target, "at")
+    fresh = spark.createDataFrame(days[:1], "id int, at timestamp_ntz")
+    tables.overwrite_days(fresh, target, "at", days=[date(2024, 1, 1), date(2024, 1, 2)])
+    assert rows(lake.lake_table(spark, target), "id") == {(1,): 1}
+
+
+def deltas(spark, name, *values, day="2024-01-01"):
+    return spark.createDataFrame([(name, ["k"], float(v)) for v in values],
+                                 "name string, path array<string>, value double").withColumn(
+        "stat_date", F.lit(day).cast("date"))
+
+
+def test_statistics_of_one_day_share_a_table(spark, tmp_path):
+    target = str(tmp_path / "records")
+    for name, value in (("wf_metric", 1), ("bag_metric", 2), ("wf_metric", 3)):
+        stats.upsert_records(deltas(spark, name, value), target)
+    assert rows(spark.read.parquet(target), "name", "info") == {
+        ("wf_metric", '{"k":3}'): 1, ("bag_metric", '{"k":2}'): 1}
+
+
+def test_replay_with_a_new_checkpoint_counts_once(spark, tmp_path):
+    store = str(tmp_path / "store")
+    first = stats.run_of(spark, store, "cp-1")
+    for batch in range(3):
+        stats.write_deltas(deltas(spark, "m", 1), store, batch, first)
+        stats.write_deltas(deltas(spark, "m", 7, day="2023-12-31"), store, 10 + batch, first)
+        stats.write_newest_day(date(2024, 1, 1), spark, store, batch, first)
+    again = stats.run_of(spark, store, "cp-2")
+    assert stats.run_of(spark, store, "cp-1") == first != again
+    assert stats.newest_day(spark, store, 99, again) is None
+    stats.write_deltas(deltas(spark, "m", 3), store, 0, again)
+    stats.write_newest_day(date(2024, 1, 1), spark, store, 0, again)
+
+    def sums(folder):
+        return rows(stats.read_statistics(spark, folder).select(
+            F.col("stat_date").cast("string"), "value"))
+
+    want = {("2024-01-01", 3.0): 1, ("2023-12-31", 21.0): 1}
+    assert sums(store) == want
+    fresh = str(tmp_path / "fresh")
+    stats.compact(spark, store, fresh)
+    assert sums(fresh) == want
+    # the stream goes on in the compacted store with the checkpoint it has
+    assert stats.run_of(spark, fresh, "cp-2") == again
+    stats.write_deltas(deltas(spark, "m", 2), fresh, 1, again)
+    assert sums(fresh) == {("2024-01-01", 5.0): 1, ("2023-12-31", 21.0): 1}
+
+
+def test_upsert_leaves_no_views(spark, tmp_path):
+    before = {t.name for t in spark.catalog.listTables()}
+    df = spark.createDataFrame([(1, 1, "x")], "id int, seq bigint, v string")
+    with pytest.raises(Exception):  # no catalog here takes a MERGE
+        tables.upsert(df, "nowhere", ["id"], "seq", 5)
+    assert {t.name for t in spark.catalog.listTables()} == before
