@@ -98,9 +98,9 @@ def deep_sum(df: DataFrame, keys: list[str], order: str, clashes: str = "resolve
     non-number is replaced by the newer one. Output: ``keys..., path, value, text``.
 
     ``resolve`` first finds, per path, the last record of another kind than the newest (``cut``),
-    and drops what lies before it. Only paths that changed kind reach the right side of the join;
-    with steady layouts it is empty and the join is removed at run time. The raw side is on the
-    left, where a hot key can be split. ``fail`` saves the first pass: one aggregation, and an
+    and drops what lies before it, there and below. Only paths at or below such a change reach the right
+    side of the join, one row each; with steady layouts it is empty. The raw side is on the left,
+    where a hot key can be split. ``fail`` saves the first pass: one aggregation, and an
     error if any path has two kinds.
     """
     def last_of(kind):
@@ -121,23 +121,26 @@ def deep_sum(df: DataFrame, keys: list[str], order: str, clashes: str = "resolve
     if clashes != "resolve":
         raise ValueError("clashes must be 'resolve' or 'fail'")
 
-    newest = F.array(*[last_of(k) for k in ("number", "object", "other")])
-    cuts = (
-        df.groupBy(*keys, "path").agg(F.array_sort(F.array_compact(newest)).alias("newest"))
-        .filter(F.size("newest") > 1)
-        .groupBy(*[F.col(k).alias(f"_{k}") for k in keys])
-        .agg(F.collect_list(F.struct(
-            "path", F.element_at("newest", -2).alias("cut"))).alias("cuts"))
-    )
-    alive = F.forall(
-        F.col("cuts"),
-        lambda c: (F.slice("path", 1, F.size(c["path"])) != c["path"])
-        | (F.col(order) > c["cut"]),
+    newest = F.array_sort(F.array_compact(F.array(
+        *[last_of(k) for k in ("number", "object", "other")])))
+    paths = df.groupBy(*keys, "path").agg(newest.alias("newest"))
+    cuts = paths.filter(F.size("newest") > 1).select(
+        *[F.col(k).alias(f"_{k}") for k in keys], F.col("path").alias("_prefix"),
+        F.element_at("newest", -2).alias("cut"))
+    # a path is cut by the last change of kind at any place on the way to it
+    prefixes = F.transform(F.sequence(F.lit(1), F.size("path")),
+                           lambda n: F.slice("path", F.lit(1), n))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    cut = (
+        paths.select(*keys, "path", F.explode(prefixes).alias("prefix"))
+        .join(cuts, [*same, F.col("prefix") == F.col("_prefix")])
+        .groupBy(*[F.col(k).alias(f"_{k}") for k in keys], F.col("path").alias("_path"))
+        .agg(F.max("cut").alias("cut"))
     )
     leaves = (
         df.filter(F.col("kind") != "object")
-        .join(cuts, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left")
-        .filter(F.col("cuts").isNull() | alive)
+        .join(cut, [*same, F.col("path") == F.col("_path")], "left")
+        .filter(F.col("cut").isNull() | (F.col(order) > F.col("cut")))
     )
     return leaves.groupBy(*keys, "path").agg(
         F.sum("value").alias("value"), F.max_by("text", order).alias("text"))

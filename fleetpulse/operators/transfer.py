@@ -68,8 +68,9 @@ def histogram(df: DataFrame, time: str) -> DataFrame:
         F.count("*").alias("n")).filter(F.col("second").isNotNull())
 
 
-def range_plan(per_second: DataFrame, rows: int = RANGE_ROWS, slice: str = SLICE) -> DataFrame:
-    """Disjoint ranges that cover every second with rows: ``(range_start, range_end, n, pages)``.
+def labelled_seconds(per_second: DataFrame, rows: int = RANGE_ROWS,
+                     slice: str = SLICE) -> DataFrame:
+    """Every second with the range it is in: ``(second, n, range_start, range_end, range_n, pages)``.
 
     A range lies in one slice and holds at most ``rows`` rows, or is a single second; a single
     second over the limit gets ``pages`` > 1. Running sums stay inside a slice, so no task sees
@@ -78,48 +79,42 @@ def range_plan(per_second: DataFrame, rows: int = RANGE_ROWS, slice: str = SLICE
     part = F.date_trunc(slice, F.col("second")).cast("timestamp_ntz")
     along = Window.partitionBy("slice").orderBy("second").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    upto = F.sum("n").over(along)
     first_bin = F.floor((F.col("upto") - F.col("n")) / rows)
     last_bin = F.floor((F.col("upto") - 1) / rows)
+    whole = Window.partitionBy("slice", "bin", "own")
     # a second whose rows straddle two bins is a range of its own
     return (
-        per_second.withColumn("slice", part).withColumn("upto", upto)
+        per_second.withColumn("slice", part).withColumn("upto", F.sum("n").over(along))
         .withColumn("own", F.when(first_bin != last_bin, F.col("second")))
         .withColumn("bin", first_bin)
-        .groupBy("slice", "bin", "own")
-        .agg(F.min("second").alias("range_start"),
-             (F.max("second") + F.expr("INTERVAL 1 SECOND")).alias("range_end"),
-             F.sum("n").alias("n"))
-        .select("range_start", "range_end", "n", F.ceil(F.col("n") / rows).alias("pages"))
+        .select("second", "n", F.min("second").over(whole).alias("range_start"),
+                (F.max("second").over(whole) + F.expr("INTERVAL 1 SECOND")).alias("range_end"),
+                F.sum("n").over(whole).alias("range_n"))
+        .withColumn("pages", F.ceil(F.col("range_n") / rows))
     )
 
 
+def range_plan(per_second: DataFrame, rows: int = RANGE_ROWS, slice: str = SLICE) -> DataFrame:
+    """Disjoint ranges that cover every second with rows: ``(range_start, range_end, n, pages)``."""
+    return labelled_seconds(per_second, rows, slice).filter("second = range_start").select(
+        "range_start", "range_end", F.col("range_n").alias("n"), "pages")
+
+
 def page_of(keys: list[str], pages: Column) -> Column:
-    """A stable page number for a row of an oversized range."""
-    return F.pmod(F.xxhash64(*keys), pages)
+    """A stable page number for a row of an oversized range; any SQL source can work it out too."""
+    digest = F.md5(F.concat_ws("|", *keys).cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"), pages)
 
 
-def assign_ranges(df: DataFrame, plan: DataFrame, time: str, keys: list[str],
-                  slice: str = SLICE) -> DataFrame:
-    """Rows with the start of their range and their page.
+def assign_ranges(df: DataFrame, seconds: DataFrame, time: str, keys: list[str]) -> DataFrame:
+    """Rows with the start of their range and their page; rows without a time have neither.
 
-    Ranges of one slice are put in one array, so this is an equi join on the slice and not a range
-    join; the array is bounded by the seconds of a slice.
+    ``seconds`` is a :func:`labelled_seconds`: an equi join on the second, one match a row.
     """
-    bounds = plan.select(
-        F.date_trunc(slice, "range_start").cast("timestamp_ntz").alias("slice"),
-        F.struct("range_start", "range_end", "pages").alias("r"),
-    ).groupBy("slice").agg(F.collect_list("r").alias("ranges"))
+    known = seconds.select(F.col("second").alias("_second"), "range_start", "pages")
     second = F.date_trunc("second", F.col(time)).cast("timestamp_ntz")
-    hit = F.filter("ranges", lambda r: (r["range_start"] <= second) & (second < r["range_end"]))
-    return (
-        df.withColumn("slice", F.date_trunc(slice, F.col(time)).cast("timestamp_ntz"))
-        .join(bounds, "slice")
-        .withColumn("_r", F.get(hit, F.lit(0)))
-        .withColumn("range_start", F.col("_r.range_start"))
-        .withColumn("page", page_of(keys, F.col("_r.pages")))
-        .drop("slice", "ranges", "_r")
-    )
+    return (df.join(known, second == F.col("_second"), "left")
+            .withColumn("page", page_of(keys, F.col("pages"))).drop("_second", "pages"))
 
 
 def page(df: DataFrame, order: list[str], limit: int, offset: int) -> DataFrame:

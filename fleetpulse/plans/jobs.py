@@ -211,6 +211,10 @@ def pod_log_tags(
     return _to_table(summary.tag_logs(pods), target, checkpoint)
 
 
+#: Ranges of one day that a back-fill plans at most.
+DAY_RANGES = 20_000
+
+
 @dataclass(frozen=True)
 class Backfill:
     """A table (or join) read over JDBC by ranges of ``time``.
@@ -255,13 +259,18 @@ def backfill(
 ) -> DataFrame:
     """Copy the days of [start, end) in bounded ranges; returns the run log of these days.
 
-    One task per range; a failed task is tried again by Spark, and a repeated run replaces its
-    days. The plan is collected because each of its rows becomes one read task.
+    The histogram is read once and kept in the checkpoint folder, so the plan and the log are of the
+    same counts. Days are copied one after another: the driver holds one day's ranges, at most
+    ``DAY_RANGES`` of them (on days with more rows than those can hold, ranges are larger). One task
+    per range; a failed task is tried again by Spark, and a repeated run replaces its days.
     """
+    spark.sparkContext.setCheckpointDir(checkpoint_root(spark, f"{log}-reading"))
     first, last = (datetime(d.year, d.month, d.day) for d in (start, end))
-    per_second = source.histogram(spark, first, last)
-    plan = transfer.range_plan(per_second, rows).collect()
-    if plan:
+    per_second = source.histogram(spark, first, last).checkpoint()
+    day = F.to_date("second")
+    for at, n in sorted(tuple(r) for r in per_second.groupBy(day).agg(F.sum("n")).collect()):
+        plan = transfer.range_plan(
+            per_second.filter(day == F.lit(at)), max(rows, -(-n // DAY_RANGES))).collect()
         read = source.read(spark, jdbc.range_predicates(plan, source.plan_time, source.page))
         checked = transfer.require_not_null(read, list(source.not_null))
         tables.overwrite_days(shape(checked), target, source.plan_time)

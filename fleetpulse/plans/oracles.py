@@ -402,7 +402,9 @@ ORACLES: dict[str, str] = {
     "incremental_children": f"""WITH {_TABLE} SELECT id, workflow_id_id, create_time, log FROM rt
         WHERE k IN (SELECT k FROM wt WHERE {_COPY_DAY})""",
     "range_plan": f"WITH {_TABLE}, {_PLAN} SELECT * FROM plan",
-    "range_rows": f"""WITH {_TABLE}, {_PLAN} SELECT workflow_id, range_start FROM wt JOIN plan
+    "range_rows": f"""WITH {_TABLE}, {_PLAN} SELECT workflow_id, range_start,
+          CAST('0x' || substr(md5(CAST(workflow_id AS VARCHAR)), 1, 15) AS BIGINT) % pages AS page
+        FROM wt JOIN plan
         ON create_time >= range_start AND create_time < range_end""",
     "retention_parents": f"""WITH {_TABLE} SELECT workflow_id, workflow_status, create_time
         FROM wt WHERE NOT ({_CHOSEN})""",

@@ -254,9 +254,10 @@ def range_plan(spark, sf_dir):
 
 def range_rows(spark, sf_dir):
     table = fx.workflow_table(spark, sf_dir)
-    plan = transfer.range_plan(transfer.histogram(table, "create_time"), PLAN_ROWS, "month")
-    placed = transfer.assign_ranges(table, plan, "create_time", ["workflow_id"], "month")
-    return placed.select("workflow_id", "range_start")
+    seconds = transfer.labelled_seconds(
+        transfer.histogram(table, "create_time"), PLAN_ROWS, "month")
+    placed = transfer.assign_ranges(table, seconds, "create_time", ["workflow_id"])
+    return placed.select("workflow_id", "range_start", "page")
 
 
 def _kept(spark, sf_dir):

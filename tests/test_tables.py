@@ -121,7 +121,12 @@ def test_range_plan_invariants(spark, sf_dir, limit, slice):
         assert n <= limit or end - start == timedelta(seconds=1)
         assert pages == -(-n // limit)
         assert n == sum(c for s, c in counts.items() if start <= s < end)
-    placed = transfer.assign_ranges(events, plan, "at", ["event_id"], slice)
+    untimed = events.limit(1).withColumn("at", F.lit(None).cast("timestamp_ntz"))
+    placed = transfer.assign_ranges(
+        events.unionByName(untimed), transfer.labelled_seconds(per_second, limit, slice), "at",
+        ["event_id"])
+    assert placed.filter("range_start IS NULL AND page IS NULL").count() == 1
+    placed = placed.filter("at IS NOT NULL")
     assert rows(placed.groupBy("range_start").count()) == {(r[0], r[2]): 1 for r in ranges}
     pages = placed.groupBy("range_start").agg(F.min("page"), F.max("page")).collect()
     limits = {r[0]: r[3] for r in ranges}
