@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ SPARE_BITS = 12
 MERGED_TOGETHER = 1 << 20
 
 _ANCHORS = "anchor long, grp int"
-_CONTEXTS = "bucket int, grp int, anchor long, key long, context binary, least long"
-_REPLIES = "grp int, key long, low int, high int, least long"
+_CONTEXTS = "bucket int, grp int, packed binary"
+_REPLIES = "grp int, anchor long, key long, low int, high int, least long"
 _RESULT = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -81,18 +82,32 @@ def _firsts(keys: np.ndarray, docs: np.ndarray):
     return place, least, number
 
 
+def _pack(anchor: np.ndarray, least: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> bytes:
+    """Contexts of one group and bucket as one compressed piece."""
+    head = np.array([len(anchor)], dtype="int64")
+    lengths = np.diff(offsets).astype("int16")
+    return zlib.compress(b"".join(x.tobytes() for x in (head, anchor, least, lengths, data)), 1)
+
+
+def _unpack(packed: bytes):
+    """Anchors, least documents, lengths and bytes of the contexts of a piece."""
+    raw = np.frombuffer(zlib.decompress(packed), dtype="uint8")
+    n = int(raw[:8].view("int64")[0])
+    cuts = 8 + np.cumsum([0, 8 * n, 8 * n, 2 * n])
+    anchor, least, lengths = (raw[a:b].copy().view(t) for a, b, t in zip(
+        cuts[:-1], cuts[1:], ("int64", "int64", "int16")))
+    return anchor, least, lengths.astype("int64"), raw[cuts[-1]:]
+
+
 def _merge_bucket(table: pa.Table) -> pa.Table:
     """The least document of every window in the bucket, for those groups that don't know it."""
-    table = table.combine_chunks()
-    keys, least = table["key"].to_numpy(), table["least"].to_numpy()
-    anchors, groups = table["anchor"].to_numpy(), table["grp"].to_numpy()
+    parts = [_unpack(p) for p in table["packed"].to_pylist()]
+    anchors, least, lengths, data = (np.concatenate(x) for x in zip(*parts))
+    groups = np.repeat(table["grp"].to_numpy(), [len(p[0]) for p in parts])
+    offsets = np.r_[0, np.cumsum(lengths)]
+    keys = span_hashes(data, offsets[:-1], offsets[1:]).view("int64")
     place, first_doc, number = _firsts(keys, least)
-    contexts = table["context"].combine_chunks()
-    if isinstance(contexts, pa.ChunkedArray):
-        contexts = pa.concat_arrays(contexts.chunks)
-    data, offsets = text_bytes(contexts.take(pa.array(place)).cast(pa.large_binary()).view(
-        pa.large_string()))
-    out = []
+    data, offsets = gather(data, offsets[:-1][place], lengths[place])
     # equal windows have equal anchors: whole anchors at a time, up to so many windows
     by_anchor = np.argsort(anchors[place], kind="stable")
     windows = (np.diff(offsets) - LENGTH + 1)[by_anchor]
@@ -129,6 +144,7 @@ def _merge_bucket(table: pa.Table) -> pa.Table:
     at = np.flatnonzero(new)
     last = np.r_[at[1:], len(entry)] - 1
     return pa.table({"grp": pa.array(groups[entry[at]], pa.int32()),
+                     "anchor": pa.array(anchors[entry[at]], pa.int64()),
                      "key": pa.array(keys[entry[at]], pa.int64()),
                      "low": pa.array(inner[at], pa.int32()),
                      "high": pa.array(inner[last] if len(at) else inner[:0], pa.int32()),
@@ -137,13 +153,14 @@ def _merge_bucket(table: pa.Table) -> pa.Table:
 
 def _covered(group: _Group, replies: pa.Table) -> np.ndarray:
     """Bytes of the group that a string of an earlier document covers."""
+    _, number, count = np.unique(group.anchor, return_inverse=True, return_counts=True)
+    group.keep((count[number] > 1) | np.isin(group.anchor, replies["anchor"].to_numpy()))
     keys = group.contexts()[2]
     docs = group.doc[group.rows]
     _, least, number = _firsts(keys, docs)
-    edges = np.zeros(len(group.data) + 1, dtype="int64")
+    size = len(group.data) + 1
     later = docs > least[number]
-    np.add.at(edges, group.first[later], 1)
-    np.add.at(edges, group.last[later] + LENGTH, -1)
+    begins, ends = [group.first[later]], [group.last[later] + LENGTH]
     by_key = np.argsort(replies["key"].to_numpy(), kind="stable")
     told = replies["key"].to_numpy()[by_key]
     begin, end = np.searchsorted(told, keys, "left"), np.searchsorted(told, keys, "right")
@@ -153,9 +170,10 @@ def _covered(group: _Group, replies: pa.Table) -> np.ndarray:
                 + np.repeat(begin, count)]
     hit = docs[entry] > replies["least"].to_numpy()[at]
     entry, at = entry[hit], at[hit]
-    np.add.at(edges, group.first[entry] + replies["low"].to_numpy()[at], 1)
-    np.add.at(edges, group.first[entry] + replies["high"].to_numpy()[at] + LENGTH, -1)
-    covered = np.cumsum(edges[:-1]) > 0
+    begins.append(group.first[entry] + replies["low"].to_numpy()[at])
+    ends.append(group.first[entry] + replies["high"].to_numpy()[at] + LENGTH)
+    covered = np.cumsum(np.bincount(np.concatenate(begins), minlength=size)
+                        - np.bincount(np.concatenate(ends), minlength=size))[:-1] > 0
     # a copy of an earlier text is covered whole, if it holds a string at all
     lengths = np.diff(group.offsets)
     covered |= np.repeat(group.copy & (lengths >= LENGTH), lengths)
@@ -188,8 +206,8 @@ def dedup(docs: DataFrame, group_bytes: int = GROUP_BYTES,
                           ["h1", "h2"]).filter("ord > least").select("grp", "row"))
     nothing = F.lit(None)
     copied = copies.select("grp", F.lit("copy").alias("kind"), F.col("row").alias("a"),
-                           nothing.cast("int").alias("low"), nothing.cast("int").alias("high"),
-                           nothing.cast("long").alias("least"))
+                           nothing.cast("long").alias("anchor"), nothing.cast("int").alias("low"),
+                           nothing.cast("int").alias("high"), nothing.cast("long").alias("least"))
 
     def open_group(left: pa.Table, right: pa.Table) -> _Group:
         return _Group(left, _right(right, "copy")["a"].to_numpy(), bits)
@@ -205,24 +223,26 @@ def dedup(docs: DataFrame, group_bytes: int = GROUP_BYTES,
             np.full(len(own), left["grp"][0].as_py()), pa.int32())})
 
     def send_contexts(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["bucket", "grp", "anchor", "key", "context", "least"]
-        types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+        names, types = ["bucket", "grp", "packed"], [pa.int32(), pa.int32(), pa.binary()]
         if not left.num_rows:
             return pa.Table.from_arrays([pa.array([], t) for t in types], names=names)
         group = open_group(left, right)
         group.keep(np.isin(group.anchor, _right(right, "anchor")["a"].to_numpy()))
         data, offsets, keys = group.contexts()
         place, least, _ = _firsts(keys, group.doc[group.rows])
-        data, offsets = gather(data, offsets[:-1][place], np.diff(offsets)[place])
-        context = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(place),
-            [None, pa.py_buffer(offsets.astype("int64")), pa.py_buffer(data.tobytes())])
-        anchor = group.anchor[place]
+        bucket = group.anchor[place] % buckets
+        by_bucket = np.argsort(bucket, kind="stable")
+        place, least, bucket = place[by_bucket], least[by_bucket], bucket[by_bucket]
+        edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
+        packed = []
+        for a, b in zip(edges, [*edges[1:], len(bucket)]):
+            some = place[a:b]
+            packed.append(_pack(group.anchor[some], least[a:b], *gather(
+                data, offsets[:-1][some], np.diff(offsets)[some])))
         return pa.Table.from_arrays([
-            pa.array((anchor % buckets).astype("int32")),
-            pa.array(np.full(len(place), left["grp"][0].as_py()), pa.int32()),
-            pa.array(anchor), pa.array(keys[place]), context.cast(pa.binary()),
-            pa.array(least)], names=names)
+            pa.array(bucket[edges].astype("int32") if len(edges) else [], pa.int32()),
+            pa.array([left["grp"][0].as_py()] * len(packed), pa.int32()),
+            pa.array(packed, pa.binary())], names=names)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
@@ -231,8 +251,7 @@ def dedup(docs: DataFrame, group_bytes: int = GROUP_BYTES,
             return pa.Table.from_arrays([pa.array([], t) for t in types], names=names)
         group = open_group(left, right)
         replies = _right(right, "reply")
-        covered = _covered(group, pa.table({"key": replies["a"], "low": replies["low"],
-                                            "high": replies["high"], "least": replies["least"]}))
+        covered = _covered(group, replies.rename_columns({"a": "key"}))
         begins = covered.copy()
         begins[1:] &= ~covered[:-1]
         inner = group.offsets[(group.offsets > 0) & (group.offsets < len(covered))]
@@ -251,13 +270,14 @@ def dedup(docs: DataFrame, group_bytes: int = GROUP_BYTES,
         return dealt.groupBy("grp").cogroup(told.groupBy("grp")).applyInArrow(step, schema)
 
     def as_told(df: DataFrame, kind: str, a: str, replies: bool = False) -> DataFrame:
-        rest = ["low", "high", "least"] if replies else [
-            nothing.cast("int").alias("low"), nothing.cast("int").alias("high"),
-            nothing.cast("long").alias("least")]
+        rest = ["anchor", "low", "high", "least"] if replies else [
+            nothing.cast("long").alias("anchor"), nothing.cast("int").alias("low"),
+            nothing.cast("int").alias("high"), nothing.cast("long").alias("least")]
         return df.select("grp", F.lit(kind).alias("kind"), F.col(a).alias("a"), *rest)
 
     anchors = with_group(copied, send_anchors, _ANCHORS).repartition("anchor")
-    shared = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # counted by a column that the join needs too, so that both read the same shuffled anchors
+    shared = anchors.groupBy("anchor").agg(F.count("grp").alias("n")).filter("n > 1").select("anchor")
     known = anchors.join(shared, "anchor").distinct()
     contexts = with_group(copied.unionByName(as_told(known, "anchor", "anchor")),
                           send_contexts, _CONTEXTS)

@@ -78,15 +78,15 @@ def merge_windows(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.
     Two symbols are dealt at a time.
     """
     pairs = data[:-1].astype("uint16") << np.uint16(8) | data[1:]
-    at = starts + LENGTH  # the suffixes behind the windows
-    order = np.arange(len(starts))
-    interval = np.zeros(len(starts), dtype="int64")
+    at = (starts + LENGTH).astype("int32")  # the suffixes behind the windows
+    order = np.arange(len(starts), dtype="int32")
+    interval = np.zeros(len(starts), dtype="int32")
     for _ in range(LENGTH // 2):
-        at = at - 2
+        at -= 2
         symbols = pairs[at]
         dealt = np.argsort(symbols, kind="stable")
         at, order, symbols, interval = at[dealt], order[dealt], symbols[dealt], interval[dealt]
         new = np.ones(len(at), dtype=bool)
         new[1:] = (symbols[1:] != symbols[:-1]) | (interval[1:] != interval[:-1])
-        interval = np.cumsum(new) - 1
+        interval = np.cumsum(new, dtype="int32") - np.int32(1)
     return order, interval
