@@ -27,6 +27,9 @@ def session_conf(timezone: str = "UTC", extra: Mapping[str, str] | None = None)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # rows are costly (JSON): where there are few, keep all cores busy after a shuffle; larger
+        # shuffles are above this size anyway
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
