@@ -310,3 +310,27 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     kept = (docs.join(lasting, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi")
             .dropDuplicates(["doc_id"]))
     return kept.select(*names).unionByName(docs.filter("doc_id IS NULL").select(*names))
+
+
+def oracle(width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD) -> str:
+    """The query op5_near_dedup in DuckDB's SQL: all pairs that share a shingle, then all reachable."""
+    over, under = threshold
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''),
+    '[ \\t-\\r]+'), lambda x: x <> '') AS words FROM documents),
+one AS (SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < {width} THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - {width - 2}),
+      lambda i: array_to_string(words[i:i + {width - 1}], ' ')) END) AS shingle FROM w),
+bag AS (SELECT doc_id, shingle, count(*) AS n FROM one GROUP BY ALL),
+size AS (SELECT doc_id, sum(n)::BIGINT AS weight FROM bag GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS x, b.doc_id AS y, sum(least(a.n, b.n)) AS common
+  FROM bag a JOIN bag b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM pair JOIN size s ON s.doc_id = x JOIN size t ON t.doc_id = y
+  WHERE {over + under} * common >= {over} * (s.weight + t.weight)),
+both_ways AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents
+  UNION SELECT b.y, r.other FROM reach r JOIN both_ways b ON r.doc_id = b.x)
+SELECT r.doc_id, min(other) AS class_id, coalesce(any_value(weight), 0) AS weight,
+  r.doc_id = min(other) AS kept
+FROM reach r LEFT JOIN size USING (doc_id) GROUP BY r.doc_id"""

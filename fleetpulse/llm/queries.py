@@ -37,7 +37,8 @@ def op4_quality_rules(spark, sf_dir):
 
 def op5_near_dedup(spark, sf_dir):
     found = near_dedup.classes(table(spark, sf_dir, "documents"))
-    return found.withColumn("kept", found.doc_id == found.class_id)
+    return found.select("doc_id", "class_id", "weight",
+                        (found.doc_id == found.class_id).alias("kept"))
 
 
 def op6_fingerprints(spark, sf_dir):
@@ -75,4 +76,5 @@ REGISTRY = {
 
 ORACLES = {
     "op4_quality_rules": quality_rules.oracle(),
+    "op5_near_dedup": near_dedup.oracle(),
 }

@@ -5,8 +5,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import odd
+import oracle
 
 from fleetpulse.llm import links, near_dedup
+from fleetpulse.llm.queries import ORACLES, REGISTRY
 
 
 def bag(text):
@@ -42,6 +44,12 @@ def test_whole_table(spark, sf_dir):
     assert got == all_pairs({r.doc_id: r.text for r in docs.collect()})
 
 
+def test_sql(spark, sf_dir):
+    name = "op5_near_dedup"
+    con = oracle.connect(sf_dir)
+    assert oracle.compare(spark, con, REGISTRY[name], ORACLES[name], sf_dir) is None
+
+
 def test_group_of_edited_copies(spark):
     """Copies that differ from the first text in one to seven places, many of them not linked to it."""
     rng = np.random.default_rng(5)
