@@ -320,10 +320,12 @@ def full_copy(children: DataFrame, target: str) -> None:
 def retention(
     spark: SparkSession, parent_table: str, child_table: str, as_of: date,
     staging: str | None = None, keep_days: int = transfer.KEEP_DAYS,
+    parts: tuple[str, ...] | list[str] = ("day",),
 ) -> None:
     """Delete the workflows of the day that left the retention period, results first.
 
-    The ids are written to the staging folder first, so a repeated run still knows them.
+    The ids are written to the staging folder first, so a repeated run still knows them. ``parts`` are
+    the partitions of a folder: days of a copied one, ``bucket`` of a replicated one.
     """
     start, end = transfer.retention_bounds(as_of, keep_days)
     old = transfer.in_range(F.col("create_time"), start, end)
@@ -334,9 +336,9 @@ def retention(
         ids = spark.read.parquet(f"{staging}/ids")
     tables.delete_keys(
         spark, child_table, ids.select(F.col("workflow_id").alias("workflow_id_id")),
-        "workflow_id_id", ["day"], staging and f"{staging}/children")
+        "workflow_id_id", list(parts), staging and f"{staging}/children")
     tables.delete_keys(
-        spark, parent_table, ids, "workflow_id", ["day"], staging and f"{staging}/parents")
+        spark, parent_table, ids, "workflow_id", list(parts), staging and f"{staging}/parents")
 
 
 def check_counts(

@@ -13,6 +13,9 @@ from fleetpulse.operators.replication import latest_images
 from fleetpulse.sources.lake import is_path, lake_table
 
 BATCH = "batch_id"
+BUCKET = "bucket"
+#: Parts of an upserted folder; a batch rewrites those that it has keys of.
+FOLDER_BUCKETS = 64
 
 
 def append(df: DataFrame, target: str) -> None:
@@ -75,37 +78,60 @@ def merge_sql(target: str, view: str, columns: list[str], keys: list[str], seq:
             f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})")
 
 
-def upsert(df: DataFrame, target: str, keys: list[str], seq: str, batch_id: int) -> None:
-    """Apply one batch of changes, newest row per key.
+def upsert(
+    df: DataFrame, target: str, keys: list[str], seq: str, buckets: int = FOLDER_BUCKETS
+) -> None:
+    """Apply one batch of changes, newest row per key; the table always holds the current rows.
 
-    A catalog table gets a MERGE. A Parquet folder keeps the reduced batches side by side and
-    :func:`current` picks the newest row per key, so nothing that is being read is overwritten.
+    A catalog table gets a MERGE. A Parquet folder is cut into ``buckets`` by key (column ``bucket``); those
+    with a change are merged, written aside, and replaced as whole partitions. Applying a batch again
+    changes nothing, which also repairs one that was interrupted.
     """
     newest = latest_images(df, keys, seq)
+    spark = df.sparkSession
     if is_path(target):
-        write_batch(newest, target, batch_id)
+        _merge_buckets(spark, newest, target, keys, seq, buckets)
         return
     view = f"_changes_{uuid.uuid4().hex}"
     newest.createOrReplaceTempView(view)
     try:
-        df.sparkSession.sql(merge_sql(target, view, newest.columns, keys, seq))
+        spark.sql(merge_sql(target, view, newest.columns, keys, seq))
     finally:
-        df.sparkSession.catalog.dropTempView(view)
+        spark.catalog.dropTempView(view)
 
 
-def current(spark: SparkSession, target: str, keys: list[str], seq: str) -> DataFrame:
-    """The current rows of an upserted table."""
-    rows = lake_table(spark, target)
-    if not is_path(target):
-        return rows
-    return latest_images(rows.drop(BATCH), keys, seq)
+def _merge_buckets(
+    spark: SparkSession, newest: DataFrame, target: str, keys: list[str], seq: str, buckets: int
+) -> None:
+    rows = newest.withColumn(
+        BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist()
+    try:
+        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
+        if not touched:
+            return
+        merged = rows
+        if path_exists(spark, target):
+            old = spark.read.schema(rows.schema).parquet(target)
+            merged = latest_images(
+                old.filter(F.col(BUCKET).isin(touched)).unionByName(rows), keys, seq)
+        aside = f"{target}-merging"
+        name = uuid.uuid4().hex
+        merged.select(*rows.columns).repartition(BUCKET).write.partitionBy(BUCKET).parquet(
+            f"{aside}/{name}")
+        overwrite_parts(spark.read.schema(rows.schema).parquet(f"{aside}/{name}"), target, [BUCKET])
+        _drop_parts(spark, aside, [name])
+    finally:
+        rows.unpersist()
 
 
-def rewrite_current(
-    spark: SparkSession, target: str, fresh: str, keys: list[str], seq: str
-) -> None:
-    """Compact an upserted folder into a new one as its batch -1."""
-    write_batch(current(spark, target, keys, seq), fresh, -1)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def current(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of an upserted table."""
+    return lake_table(spark, target).drop(BUCKET)
 
 
 def delete_keys(

@@ -27,7 +27,7 @@ def replicate(
     flat = replication.images(changes).select("seq", "row.*")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        tables.upsert(shape(batch), target, keys, "seq", batch_id)
+        tables.upsert(shape(batch), target, keys, "seq")
 
     return (
         flat.writeStream.outputMode("append").foreachBatch(tables.each_batch(apply))

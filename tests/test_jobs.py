@@ -88,7 +88,7 @@ def test_replication_jobs(spark, sf_dir, tmp_path):
     log = fx.change_log(spark, sf_dir).withColumn("record_ts", F.current_timestamp())
     run_available(jobs.replicate_workflows(
         spark, topic(log, tmp_path / "in"), str(tmp_path / "lake"), str(tmp_path / "cp")))
-    got = tables.current(spark, str(tmp_path / "lake"), ["workflow_id"], "seq")
+    got = tables.current(spark, str(tmp_path / "lake"))
     assert "_tag" in got.columns
     assert got.count() == fx.workflow_table(spark, sf_dir).count()
 
@@ -101,7 +101,45 @@ def test_replication_jobs(spark, sf_dir, tmp_path):
     run_available(jobs.replicate_results(
         spark, topic(one, tmp_path / "in2", 1), str(tmp_path / "lake2"), str(tmp_path / "cp2")))
     assert [(r.id, r.seq) for r in tables.current(
-        spark, str(tmp_path / "lake2"), ["id"], "seq").collect()] == [("r1", 1)]
+        spark, str(tmp_path / "lake2")).collect()] == [("r1", 1)]
+
+
+def test_replicated_folders_are_tables(spark, tmp_path):
+    """Replicate out of order and again after a delete, then retention and counts on the folders."""
+    def change(op, seq, key, day, table_schema, name):
+        given = {name: F.lit(key), "create_time": F.lit(day).cast("timestamp_ntz")}
+        if name == "id":
+            given["workflow_id_id"] = F.lit(key[1:])
+        image = F.struct(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in table_schema.fields])
+        side = "before" if op == "d" else "after"
+        return spark.range(1).select(
+            F.lit(seq).cast("bigint").alias("seq"), F.current_timestamp().alias("record_ts"),
+            F.to_json(F.struct(F.lit(op).alias("op"), F.lit(seq).alias("seq"),
+                               image.alias(side))).alias("value"))
+
+    def run(job, rows_in, table_schema, name, target):
+        log = None
+        for row in rows_in:
+            one = change(*row, table_schema, name)
+            log = one if log is None else log.unionByName(one)
+        run_available(job(spark, topic(log, tmp_path / f"in-{name}", 2), target, f"{target}-cp"))
+
+    parents, kids = str(tmp_path / "parents"), str(tmp_path / "kids")
+    run(jobs.replicate_workflows,
+        [("u", 9, "a", "2024-01-02"), ("c", 1, "a", "2024-01-01"), ("c", 2, "b", "2024-01-01"),
+         ("d", 3, "b", "2024-01-01"), ("c", 4, "b", "2024-01-05"), ("c", 5, "c", "2024-01-01")],
+        schemas.WORKFLOW_TABLE, "workflow_id", parents)
+    run(jobs.replicate_results,
+        [("c", 1, "ra", "2024-01-02"), ("c", 2, "rc", "2024-01-01"), ("c", 3, "rb", "2024-01-05")],
+        schemas.RESULT_TABLE, "id", kids)
+    as_of = date(2024, 1, 1) + timedelta(days=91)
+    jobs.retention(spark, parents, kids, as_of, str(tmp_path / "staging"), parts=["bucket"])
+    assert rows(lake_table(spark, parents), "workflow_id", "seq") == {("a", 9): 1, ("b", 4): 1}
+    assert rows(lake_table(spark, kids), "id") == {("ra",): 1, ("rb",): 1}
+    counts = jobs.check_counts(
+        tables.current(spark, parents), tables.current(spark, kids), "create_time", "create_time")
+    assert counts.count() == 2 and counts.filter("NOT match").count() == 0
 
 
 def test_decoded_table(spark, events, tmp_path):

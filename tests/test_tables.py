@@ -52,8 +52,9 @@ def test_upsert_replays_and_order(spark, tmp_path):
     schema = "id int, seq bigint, v string"
     batches = [[(1, 1, "a"), (2, 2, "b"), (1, 3, "c")], [(1, 5, "e"), (3, 6, "f")], [(2, 1, "old")]]
     for n in (0, 1, 1, 2, 0):
-        tables.upsert(spark.createDataFrame(batches[n], schema), target, ["id"], "seq", n)
-    assert rows(tables.current(spark, target, ["id"], "seq")) == {
+        tables.upsert(spark.createDataFrame(batches[n], schema), target, ["id"], "seq", 4)
+        assert spark.read.parquet(target).groupBy("id").count().filter("count > 1").isEmpty()
+    assert rows(tables.current(spark, target), "id", "seq", "v") == {
         (1, 5, "e"): 1, (2, 2, "b"): 1, (3, 6, "f"): 1}
 
 
@@ -321,5 +322,5 @@ def test_upsert_leaves_no_views(spark, tmp_path):
     before = {t.name for t in spark.catalog.listTables()}
     df = spark.createDataFrame([(1, 1, "x")], "id int, seq bigint, v string")
     with pytest.raises(Exception):  # no catalog here takes a MERGE
-        tables.upsert(df, "nowhere", ["id"], "seq", 5)
+        tables.upsert(df, "nowhere", ["id"], "seq")
     assert {t.name for t in spark.catalog.listTables()} == before
