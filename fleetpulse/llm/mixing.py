@@ -72,8 +72,7 @@ def apportion(leaves: DataFrame, seats: DataFrame, fan_out: int = FAN_OUT) -> Da
     levels, width = 1, fan_out
     while top >= width:
         levels, width = levels + 1, width * fan_out
-    above = seats.select("branch", F.lit(0).cast("long").alias("parent"),
-                         F.col("seats").alias("parent_seats"))
+    above = seats.select("branch", F.col("seats").alias("parent_seats"))
     given = None
     for level in reversed(range(levels)):
         size = fan_out ** level
@@ -81,7 +80,7 @@ def apportion(leaves: DataFrame, seats: DataFrame, fan_out: int = FAN_OUT) -> Da
         nodes = (leaves.groupBy("branch", node.alias("node")).agg(F.sum("votes").alias("votes"))
                  if level else leaves.select("branch", "node", "votes"))
         nodes = nodes.withColumn("parent", F.floor(F.col("node") / fan_out).cast("long"))
-        given = (nodes.join(above, ["branch", "parent"])
+        given = (nodes.join(above, ["branch", "parent"] if "parent" in above.columns else "branch")
                  .groupBy("branch", "parent")
                  .applyInPandas(_seats_of_group, "branch long, node long, votes double, seats long"))
         above = given.select("branch", F.col("node").alias("parent"),
@@ -148,7 +147,8 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
               .withColumn("shard", F.pmod(F.col("draw"), F.col("shards"))))
     shards = checkpoint(placed.groupBy("branch", F.col("shard").alias("node"))
                         .agg(F.sum("size").cast("double").alias("votes")))
-    root = F.lit(0).cast("long")
+    # all sources are in one branch; a number that planning doesn't see through keeps the join on it
+    root = F.pmod(F.col("branch"), F.lit(1))
     blocks = math.floor((total or 0) / block_words + 0.5)
     spark = docs.sparkSession
     of_source = apportion(
