@@ -44,6 +44,16 @@ def fenced(df: DataFrame) -> DataFrame:
         F.col(fence) >= 0).drop(fence)
 
 
+def drawn(draw: Column, wanted: int, rows: int) -> Column:
+    """Whether a row's draw, a hash, is among the lowest: of ``rows`` about four times ``wanted`` are.
+
+    Put before a sorted limit, it keeps what every task sends for the sort in proportion to the
+    sample and not to the number of tasks.
+    """
+    share = min(1.0, 4 * wanted / max(rows, 1))
+    return F.pmod(draw, F.lit(1 << 40)) < F.lit(int(share * (1 << 40)) + 1)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.arrowtext import mix, steps, text_bytes
-from fleetpulse.llm.common import checkpoint
+from fleetpulse.llm.common import checkpoint, drawn
 from fleetpulse.llm.html_text import visible_text
 
 #: Labelled documents of each language that the likelihoods are learned from, at most, the longest
@@ -67,13 +67,16 @@ class Likelihoods:
 def learn(docs: DataFrame, sample: int = SAMPLE, most_chars: int = SAMPLE_CHARS) -> Likelihoods:
     """Triplet likelihoods from a bounded sample of rows with a label in ``lang``."""
     known = docs.filter("lang IS NOT NULL AND length(text) > 0")
-    names = [r[0] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-             .limit(MOST_LANGUAGES).collect()]
+    short = known.filter(F.length("text") <= most_chars)
+    found = (known.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(
+        F.length("text") <= most_chars).alias("short")).orderBy(F.desc("n"), "lang")
+        .limit(MOST_LANGUAGES).collect())
+    names = [r.lang for r in found]
     counts = np.full((GRAM_ROWS, len(names)), 0.05)
     draw = F.xxhash64("doc_id", F.lit(9))
-    short = known.filter(F.length("text") <= most_chars)
-    for k, name in enumerate(names):
-        rows = short.filter(F.col("lang") == name).orderBy(draw, "text").limit(sample).select("text")
+    for k, (name, _, n) in enumerate(found):
+        rows = (short.filter((F.col("lang") == name) & drawn(draw, sample, n))
+                .orderBy(draw, "text").limit(sample).select("text"))
         data, offsets = text_bytes(pa.array([r[0] for r in rows.collect()], type=pa.large_string()))
         counts[:, k] += np.bincount(_triplets(data, offsets)[0], minlength=GRAM_ROWS)
     return Likelihoods(tuple(names), np.log(counts / counts.sum(axis=0)).astype("float32"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.llm import gru
 from fleetpulse.llm.arrowtext import steps, text_bytes
+from fleetpulse.llm.common import drawn
 
 #: Labelled documents of each label that the network learns from, at most, and the longest one that
 #: it learns from. Which ones is decided by a hash of doc_id. Scoring has no such bounds.
@@ -37,7 +38,9 @@ def sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE,
     draw = F.xxhash64("doc_id", F.lit(5))
     known = docs.select("doc_id", "text").filter(F.length("text") <= most_chars)
     # a few more ids than needed are drawn before the texts are joined: some texts are too long
-    some = [marked.filter(F.col("toxic") == k).orderBy(draw).limit(2 * most) for k in (0, 1)]
+    counts = {r.toxic: r["count"] for r in marked.groupBy("toxic").count().collect()}
+    some = [marked.filter((F.col("toxic") == k) & drawn(draw, 2 * most, counts.get(k, 0)))
+            .orderBy(draw).limit(2 * most) for k in (0, 1)]
     both = known.join(F.broadcast(some[0].union(some[1])), "doc_id")
     rows = [both.filter(F.col("toxic") == k).orderBy(draw, "text").limit(most)
             .select("text", "toxic").collect() for k in (0, 1)]
