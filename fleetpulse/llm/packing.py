@@ -38,7 +38,8 @@ class Encoder:
 
     The file is a byte-level BPE whose ids rank its merges, so its tokens are the ranks that the
     other engine needs. Texts with a special token's name go through the file's own engine, which
-    reads them as that token.
+    reads them as that token, and so do texts that the other engine can't take, such as those with
+    a run of a million white-space characters.
     """
 
     def __init__(self, path: str):
@@ -57,9 +58,13 @@ class Encoder:
         self.exact = Tokenizer.from_file(path)
 
     def __call__(self, text: str) -> np.ndarray:
-        if any(name in text for name in self.special):
-            return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+        if not any(name in text for name in self.special):
+            try:
+                return self.fast.encode_to_numpy(text, disallowed_special=()).astype(
+                    "<u4", copy=False)
+            except ValueError:  # its pattern's stack is bounded
+                pass
+        return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
 def _byte_letters() -> dict[str, int]:

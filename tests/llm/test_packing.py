@@ -32,6 +32,20 @@ def test_ids_of_odd_texts(text):
     assert packing.encoder(packing.TOKENIZER)(text).tolist() == exact(text)
 
 
+@pytest.mark.parametrize("space", [" ", "\n", " \n"])
+@pytest.mark.parametrize("length", [1_000_000, 2_000_000])
+def test_ids_of_long_space_runs(space, length):
+    for text in ("a" + space * (length // len(space)) + "b", space * (length // len(space))):
+        assert packing.encoder(packing.TOKENIZER)(text).tolist() == exact(text)
+
+
+def test_pieces_of_a_long_space_run(spark):
+    docs = spark.createDataFrame([(1, "a" + " " * 1_000_000 + "b"), (2, "c")],
+                                 "doc_id long, text string")
+    assert {r.doc_id: r.n for r in packing.pieces(docs).groupBy("doc_id").agg(
+        odd.F.sum("length").alias("n")).collect()} == {1: 1_000_002, 2: 2}
+
+
 def test_pieces_and_places(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").unionByName(
         odd.odd_documents(spark).filter("doc_id NOT IN (9)").withColumn(
