@@ -13,16 +13,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.arrowtext import mix, steps, text_bytes
-from fleetpulse.llm.common import checkpoint, drawn
+from fleetpulse.llm.common import checkpoint
 from fleetpulse.llm.html_text import visible_text
 
-#: Labelled documents of each language that the likelihoods are learned from, at most, the longest
-#: one of them, and the most languages (the most frequent labels).
-SAMPLE, SAMPLE_CHARS, MOST_LANGUAGES = 300, 20_000, 32
+#: Labelled documents of each language that the likelihoods are learned from, at most, and the longest
+#: one of them. Every label that occurs is learned.
+SAMPLE, SAMPLE_CHARS = 300, 20_000
 GRAM_ROWS = 1 << 16
 #: Neighbouring triplets tell much the same: a text counts as this share of its triplets, and a long
 #: one as this many, so that the other evidence is never drowned altogether.
@@ -65,21 +65,38 @@ class Likelihoods:
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE, most_chars: int = SAMPLE_CHARS) -> Likelihoods:
-    """Triplet likelihoods from a bounded sample of rows with a label in ``lang``."""
+    """Triplet likelihoods of every label in ``lang``, each from a bounded sample of its rows.
+
+    A label whose texts are all longer than ``most_chars`` is learned from their beginnings.
+    """
     known = docs.filter("lang IS NOT NULL AND length(text) > 0")
-    short = known.filter(F.length("text") <= most_chars)
-    found = (known.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(
-        F.length("text") <= most_chars).alias("short")).orderBy(F.desc("n"), "lang")
-        .limit(MOST_LANGUAGES).collect())
-    names = [r.lang for r in found]
-    counts = np.full((GRAM_ROWS, len(names)), 0.05)
-    draw = F.xxhash64("doc_id", F.lit(9))
-    for k, (name, _, n) in enumerate(found):
-        rows = (short.filter((F.col("lang") == name) & drawn(draw, sample, n))
-                .orderBy(draw, "text").limit(sample).select("text"))
-        data, offsets = text_bytes(pa.array([r[0] for r in rows.collect()], type=pa.large_string()))
-        counts[:, k] += np.bincount(_triplets(data, offsets)[0], minlength=GRAM_ROWS)
-    return Likelihoods(tuple(names), np.log(counts / counts.sum(axis=0)).astype("float32"))
+    fits = F.length("text") <= most_chars
+    found = known.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(fits).alias("short"))
+    labels = checkpoint(found)
+    names = [r.lang for r in labels.orderBy(F.desc("n"), "lang").select("lang").collect()]
+    draw = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), F.lit(9))
+    # by hash first, some four times the sample of each label, so that few rows are sorted
+    rows = F.when(F.col("short") > 0, F.col("short")).otherwise(F.col("n"))
+    share = F.least(F.lit(1.0), F.lit(4.0 * sample) / rows)
+    lowest = F.pmod(draw, F.lit(1 << 40)) < (share * F.lit(float(1 << 40))).cast("long") + 1
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
+    taken = (known.join(F.broadcast(labels), "lang").filter((fits | (F.col("short") == 0)) & lowest)
+             .select("lang", draw.alias("draw"), F.substring("text", 1, most_chars).alias("text"))
+             .withColumn("place", place).filter(F.col("place") <= sample).select("lang", "text"))
+
+    def count(rows: pa.Table) -> pa.Table:
+        data, offsets = text_bytes(pa.concat_arrays(rows["text"].chunks))
+        counts = 0.05 + np.bincount(_triplets(data, offsets)[0], minlength=GRAM_ROWS)
+        logs = np.log(counts / counts.sum()).astype("float32")
+        return pa.table({"lang": pa.array([rows["lang"][0].as_py()], pa.string()),
+                         "logs": pa.array([logs.tobytes()], pa.binary())})
+
+    # by language in memory, as that is how it is read
+    table = np.full((GRAM_ROWS, len(names)), -np.log(GRAM_ROWS), dtype="float32", order="F")
+    number = {name: j for j, name in enumerate(names)}
+    for r in taken.groupBy("lang").applyInArrow(count, "lang string, logs binary").toLocalIterator():
+        table[:, number[r.lang]] = np.frombuffer(r.logs, dtype="float32")
+    return Likelihoods(tuple(names), table)
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
@@ -141,12 +158,13 @@ def _text_logs(rows: DataFrame, model: Likelihoods) -> DataFrame:
                                 "logs array<double>")
 
 
-def _shares(logs: list[Column]) -> list[Column]:
-    """Probabilities from logs whose greatest is not far from 0."""
-    top = F.greatest(*logs) if len(logs) > 1 else logs[0]
-    parts = [F.exp(x - top) for x in logs]
-    total = sum(parts[1:], parts[0])
-    return [p / total for p in parts]
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, also where ``body`` is a function of elements."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
 
 
 def fuse(rows: DataFrame, model: Likelihoods) -> DataFrame:
@@ -164,52 +182,50 @@ def fuse(rows: DataFrame, model: Likelihoods) -> DataFrame:
                            F.lit(0.0).alias("confidence"),
                            F.lit(None).cast("string").alias("text_lang"), "declared")
     read = checkpoint(_text_logs(rows, model))
-    own = [f"own_{j}" for j in range(k)]
-    read = read.withColumns(dict(zip(own, _shares([F.get("logs", F.lit(j)) for j in range(k)]))))
+    # the best log is 0
+    read = read.withColumn("own", _let(F.transform("logs", F.exp), lambda parts: _let(
+        _sum(parts), lambda total: F.transform(parts, lambda p: p / total))))
+    own_sums = F.array(*(F.sum(F.get("own", F.lit(j))) for j in range(k)))
 
     def sums(key: str) -> DataFrame:
         return read.filter(F.col(key).isNotNull()).groupBy(key).agg(
-            F.count("*").alias(f"{key}_n"),
-            *(F.sum(c).alias(f"{key}_{j}") for j, c in enumerate(own)))
+            F.count("*").alias(f"{key}_n"), own_sums.alias(f"{key}_own"))
 
     out = read
     for key in ("host", "domain", "ending", "declared"):
         out = out.join(sums(key), key, "left")
-    everything = read.agg(F.count("*"), *(F.sum(c) for c in own)).first()
+    everything = read.agg(F.count("*"), own_sums).first()
     total = everything[0] or 1
-    overall = [((everything[1 + j] or 0.0) + 1.0) / (total + k) for j in range(k)]
+    overall = [((x or 0.0) + 1.0) / (total + k) for x in everything[1]]
 
-    def smoothed(key: str, j: int, prior: Column) -> Column:
+    def smoothed(key: str, j: Column, prior: Column) -> Column:
         here = F.coalesce(f"{key}_n", F.lit(1)) - 1
-        seen = F.greatest(F.coalesce(f"{key}_{j}", own[j]) - F.col(own[j]), F.lit(0.0))
+        own = F.get("own", j)
+        seen = F.greatest(F.coalesce(F.get(f"{key}_own", j), own) - own, F.lit(0.0))
         return (seen + PRIOR_ROWS * prior) / (here + PRIOR_ROWS)
 
-    def worth(key: str, j: int) -> Column:
+    def worth(key: str, j: Column, overall_j: Column) -> Column:
         """Log of how much likelier the value is under this language than under all."""
-        rate = (F.col(f"{key}_{j}") + overall[j]) / (total * overall[j] + 1.0)
+        rate = (F.get(f"{key}_own", j) + overall_j) / (total * overall_j + 1.0)
         average = (F.col(f"{key}_n") + 1.0) / (total + 1.0)
         return F.coalesce(F.log(rate / average), F.lit(0.0))
 
-    fused = []
-    for j in range(k):
-        prior = smoothed("host", j, smoothed("domain", j, F.lit(overall[j])))
-        fused.append(F.get("logs", F.lit(j)) + F.log(F.greatest(prior, F.lit(1e-9)))
-                     + worth("ending", j) + worth("declared", j))
-    fused_names = [f"fused_{j}" for j in range(k)]
-    out = out.withColumns(dict(zip(fused_names, fused)))
-    out = out.withColumns({f"p_{j}": p for j, p in enumerate(
-        _shares([F.col(c) for c in fused_names]))})
-
-    def name_of(columns: list[str]) -> Column:
-        values = F.array(*columns)
-        names = F.array(*(F.lit(x) for x in model.languages))
-        return F.element_at(names, F.array_position(values, F.array_max(values)).cast("int"))
+    def fused(overall_j: Column, j: Column) -> Column:
+        prior = smoothed("host", j, smoothed("domain", j, overall_j))
+        return (F.get("logs", j) + F.log(F.greatest(prior, F.lit(1e-9)))
+                + worth("ending", j, overall_j) + worth("declared", j, overall_j))
+
+    def name_of(values: str) -> Column:
+        best = F.array_position(values, F.array_max(values)).cast("int")
+        return F.element_at(F.lit(list(model.languages)), best)
 
+    out = out.withColumn("fused", F.transform(F.lit(overall), fused))
+    confidence = _let(F.array_max("fused"), lambda top: 1.0 / _sum(
+        F.transform("fused", lambda x: F.exp(x - top))))
     has_text = F.array_min("logs") < 0
     return out.select(
-        "kind", "doc_id", "page_id", name_of([f"p_{j}" for j in range(k)]).alias("lang"),
-        F.array_max(F.array(*(f"p_{j}" for j in range(k)))).alias("confidence"),
-        F.when(has_text, name_of(own)).alias("text_lang"), "declared")
+        "kind", "doc_id", "page_id", name_of("fused").alias("lang"), confidence.alias("confidence"),
+        F.when(has_text, name_of("own")).alias("text_lang"), "declared")
 
 
 def identify(docs: DataFrame, pages: DataFrame) -> DataFrame:

@@ -52,6 +52,24 @@ def _bytes(text):
     return raw, np.array([0, len(raw)])
 
 
+def test_every_label_is_learned(spark):
+    """Forty labels, the rarest with its own words; one has a long text only."""
+    rng = np.random.default_rng(1)
+    rows = []
+    for j in range(40):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(30)]
+        for i in range(3 if j < 39 else 1):
+            n = 60 if j < 39 else 4000
+            rows.append((100 * j + i, " ".join(rng.choice(words, n)), f"l{j:02}", "one"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = language_id.learn(docs)
+    assert sorted(model.languages) == [f"l{j:02}" for j in range(40)]
+    got = language_id.fuse(language_id.document_evidence(docs), model)
+    label = {r[0]: r[2] for r in rows}
+    assert {r.doc_id: (r.lang, r.text_lang) for r in got.collect()} == {
+        i: (x, x) for i, x in label.items()}
+
+
 def test_address_parts(spark):
     urls = ["https://User@Blog.Example.CO.uk:8080/FR/x?y", "http://a.de", "nothing", "", None,
             "http://a.b/xyz/de#t", "//x/y"]
