@@ -50,14 +50,18 @@ IN_HEAD = HIDDEN | {"html", "head", "noscript"}
 #: Tables nested deeper than this are laid out as blocks.
 MOST_NESTED = 40
 
+# a quote opens a value only right after the equals sign; elsewhere it is a letter like others
+_VALUE = (r"[ \t\n\r\f]*+=[ \t\n\r\f]*+"
+          r"(?:\"{0}[^\"]*+{1}(?:\"|\Z)|'{0}[^']*+{1}(?:'|\Z)|{0}[^ \t\n\r\f>\"'][^ \t\n\r\f>]*+{1}|(?=>)|\Z)")
+_NAME = r"[^ \t\n\r\f/>][^ \t\n\r\f/>=]*+"
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
-    r"((?:[^>\"']++|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)", re.S)
+    rf"((?:[ \t\n\r\f/]++|{_NAME}(?:{_VALUE.format('', '')})?+)*+)(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(rf"({_NAME})(?:{_VALUE.format('(', ')')})?+")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-_STYLE = re.compile(r"(?:^|[\s\"'])style\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_FLAG = re.compile(r"(?:\"[^\"]*\"|'[^']*')")
-_START = re.compile(r"(?:^|\s)start\s*=\s*[\"']?(-?\d{1,9})", re.I)
+_READ = re.compile(r"style|hidden|open|start", re.I)
+_START = re.compile(r"\s*(-?\d{1,9})")
 
 
 class Node:
@@ -66,21 +70,28 @@ class Node:
     def __init__(self, tag: str, attrs: str = ""):
         self.tag, self.attrs, self.children = tag, attrs, []
 
+    def values(self) -> dict[str, str]:
+        """The attributes by name, the first of equals; none if none is one that is read."""
+        found: dict[str, str] = {}
+        if _READ.search(self.attrs):
+            for name, *values in _ATTRIBUTE.findall(self.attrs):
+                found.setdefault(name.lower(), "".join(values))
+        return found
+
     def flag(self, name: str) -> bool:
-        bare = _FLAG.sub("", self.attrs).lower()
-        return re.search(rf"(?:^|\s){name}(?:\s|=|/|$)", bare) is not None
+        return name in self.values()
 
     def shown(self) -> bool:
         if self.tag in HIDDEN:
             return False
         if not self.attrs:
             return self.tag != "dialog"
-        style = _STYLE.search(self.attrs)
-        if style and _NOT_SHOWN.search(html.unescape(style[1])):
+        values = self.values()
+        if _NOT_SHOWN.search(html.unescape(values.get("style", ""))):
             return False
-        if self.tag == "input" or (self.tag == "dialog" and not self.flag("open")):
+        if self.tag == "input" or (self.tag == "dialog" and "open" not in values):
             return False
-        return not self.flag("hidden")
+        return "hidden" not in values
 
 
 class Builder:
@@ -287,7 +298,7 @@ def _walk(page: Page, nodes: list, nested: int, pre: bool = False) -> None:
         if tag in BLOCKS:
             page.block(1 if tag not in PARAGRAPHS or (lists and tag in ("ul", "ol", "menu")) else 2)
             if tag in ("ul", "ol", "menu"):
-                begin = _START.search(node.attrs)
+                begin = _START.match(node.values().get("start", ""))
                 lists.append([int(begin[1]) if begin else 1, 4 if tag == "ol" else 2, tag])
                 page.indent += lists[-1][1]
             elif tag == "li" and lists:

@@ -41,6 +41,24 @@ def test_rendered(page, text):
     assert visible_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<p title=it's>Hello</p><p>more</p>", "Hello\n\nmore"),
+    ("<table><tr><td width=50\">A</td><td>B</td></table>", "A  B"),
+    ("<p \">a</p \"><p '>b</p '>c", "a\n\nb\n\nc"),
+    ("<p title=\"x\"\">a</p>b", "a\n\nb"),
+    ("<p a=b=\"c>d\"</p>e", "d\"\n\ne"), ("<p a==\"c>d</p>e", "d\n\ne"),
+    ("<p a=>b</p>c", "b\n\nc"), ("<p a = '>' b=\">\">c", "c"), ("<p a=x/>b<br/>c", "b\nc"),
+    ("<p a\n=\n'>'>b", "b"), ("<p =\">b</p>c", "b\n\nc"), ("<p a='b'c='>'>d", "d"),
+    ("<p title=it's class='x hidden y'>a</p>b", "a\n\nb"),
+    ("<p title=it's hidden data-x='a'>a</p>b", "b"),
+    ("<p title=\"a style='display:none'\">a", "a"), ("<p title=5' style='display:none'>a</p>b", "b"),
+    ("<p style=color:red style='display:none'>a", "a"), ("<p title=a\"hidden>b", "b"),
+    ("<ol title=it's start='4'><li>a</ol>", " 4. a"),
+])
+def test_stray_quotes(page, text):
+    assert visible_text(page) == text
+
+
 def test_deep_and_long_pages():
     assert visible_text("<div>" * 100_000 + "x") == "x"
     assert visible_text("<table><tr><td>" * 200 + "x").split() == ["x"]
