@@ -5,7 +5,9 @@ dealt out: first anchors that only one group of documents has are dropped, then
 the others meet by anchor, the shards' windows are merged into one order by interleave refinement,
 and the intervals with a common prefix of 50 bytes tell the first document of each string. Groups of
 documents hold a bounded number of bytes and send each anchor and each distinct context once, so that a
-string that very many documents share arrives once from each group.
+string that very many documents share arrives once from each group. At the edges of such a string the
+contexts hold text of each document's own; an anchor with that many contexts is hot, and its windows are
+dealt one by one, by their own hashes.
 
 Matches never cross documents, and strings are judged on the texts as they came. The documents are
 dealt to groups once, and all three passes over them read the same shuffled texts.
@@ -20,7 +22,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.arrowtext import span_hashes, text_bytes
@@ -36,7 +38,14 @@ SPARE_BITS = 12
 #: Windows that are merged in one step; a bucket's anchors are taken in order of their hashes.
 MERGED_TOGETHER = 1 << 20
 
-_ANCHORS = "anchor long, grp int"
+#: Contexts of an anchor beyond which its windows are dealt one by one.
+HOT_CONTEXTS = 1 << 17
+#: Stretches of an anchor in a group beyond which their distinct contexts are counted.
+COUNTED = 12
+#: Windows that are hashed in one step.
+HASHED_TOGETHER = 1 << 16
+
+_ANCHORS = "anchor long, member long"  # group in the upper 32 bits, its contexts in the lower
 _CONTEXTS = "bucket int, grp int, packed binary"
 _REPLIES = "grp int, anchor long, key long, low int, high int, least long"
 _RESULT = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
@@ -70,6 +79,19 @@ class _Group:
         return data, offsets, span_hashes(data, offsets[:-1], offsets[1:]).view("int64")
 
 
+    def windows(self, mask: np.ndarray):
+        """Places, anchors, rows and keys of the single windows of the stretches in ``mask``."""
+        count = (self.last - self.first + 1)[mask]
+        inner = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        starts = np.repeat(self.first[mask], count) + inner
+        keys = np.empty(len(starts), dtype="int64")
+        for a in range(0, len(starts), HASHED_TOGETHER):
+            some = starts[a:a + HASHED_TOGETHER]
+            data, offsets = gather(self.data, some, np.full(len(some), LENGTH))
+            keys[a:a + len(some)] = span_hashes(data, offsets[:-1], offsets[1:]).view("int64")
+        return starts, np.repeat(self.anchor[mask], count), np.repeat(self.rows[mask], count), keys
+
+
 def _right(table: pa.Table, kind: str) -> pa.Table:
     return table.filter(pa.compute.equal(table["kind"], kind))
 
@@ -100,7 +122,11 @@ def _unpack(packed: bytes):
 
 
 def _merge_bucket(table: pa.Table) -> pa.Table:
-    """The least document of every window in the bucket, for those groups that don't know it."""
+    """The least document of every window in the bucket, for those groups that don't know it.
+
+    Buckets of single windows have numbers below 0, and so has ``low`` in their replies.
+    """
+    single = table["bucket"][0].as_py() < 0
     parts = [_unpack(p) for p in table["packed"].to_pylist()]
     anchors, least, lengths, data = (np.concatenate(x) for x in zip(*parts))
     groups = np.repeat(table["grp"].to_numpy(), [len(p[0]) for p in parts])
@@ -146,13 +172,21 @@ def _merge_bucket(table: pa.Table) -> pa.Table:
     return pa.table({"grp": pa.array(groups[entry[at]], pa.int32()),
                      "anchor": pa.array(anchors[entry[at]], pa.int64()),
                      "key": pa.array(keys[entry[at]], pa.int64()),
-                     "low": pa.array(inner[at], pa.int32()),
+                     "low": pa.array(inner[at] - int(single), pa.int32()),
                      "high": pa.array(inner[last] if len(at) else inner[:0], pa.int32()),
                      "least": pa.array(found[at], pa.int64())})
 
 
 def _covered(group: _Group, replies: pa.Table) -> np.ndarray:
     """Bytes of the group that a string of an earlier document covers."""
+    single = replies.filter(pa.compute.less(replies["low"], 0))
+    replies = replies.filter(pa.compute.greater_equal(replies["low"], 0))
+    starts, _, rows, keys = group.windows(np.isin(group.anchor, single["anchor"].to_numpy()))
+    told, at = np.unique(single["key"].to_numpy(), return_index=True)
+    at = at[np.minimum(np.searchsorted(told, keys), len(told) - 1)] if len(told) else keys
+    hit = ((single["key"].to_numpy()[at] == keys)
+           & (group.doc[rows] > single["least"].to_numpy()[at])) if len(told) else keys > keys
+    begins, ends = [starts[hit]], [starts[hit] + LENGTH]
     _, number, count = np.unique(group.anchor, return_inverse=True, return_counts=True)
     group.keep((count[number] > 1) | np.isin(group.anchor, replies["anchor"].to_numpy()))
     keys = group.contexts()[2]
@@ -160,7 +194,8 @@ def _covered(group: _Group, replies: pa.Table) -> np.ndarray:
     _, least, number = _firsts(keys, docs)
     size = len(group.data) + 1
     later = docs > least[number]
-    begins, ends = [group.first[later]], [group.last[later] + LENGTH]
+    begins.append(group.first[later])
+    ends.append(group.last[later] + LENGTH)
     by_key = np.argsort(replies["key"].to_numpy(), kind="stable")
     told = replies["key"].to_numpy()[by_key]
     begin, end = np.searchsorted(told, keys, "left"), np.searchsorted(told, keys, "right")
@@ -181,7 +216,7 @@ def _covered(group: _Group, replies: pa.Table) -> np.ndarray:
 
 
 def dedup(docs: DataFrame, group_bytes: int = GROUP_BYTES,
-          bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+          bucket_bytes: int = BUCKET_BYTES, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     Null counts as empty; texts under 50 bytes lose nothing. A null doc_id is before all others.
@@ -214,31 +249,45 @@ def dedup(docs: DataFrame, group_bytes: int = GROUP_BYTES,
 
     def send_anchors(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return pa.table({"anchor": pa.array([], pa.int64()), "grp": pa.array([], pa.int32())})
+            return pa.table({"anchor": pa.array([], pa.int64()), "member": pa.array([], pa.int64())})
         group = open_group(left, right)
-        own, counts = np.unique(group.anchor, return_counts=True)
-        # an anchor that the group itself has twice is sent twice
-        own = np.repeat(own, np.minimum(counts, 2))
-        return pa.table({"anchor": pa.array(own, pa.int64()), "grp": pa.array(
-            np.full(len(own), left["grp"][0].as_py()), pa.int32())})
+        own, number, counts = np.unique(group.anchor, return_inverse=True, return_counts=True)
+        often = counts > COUNTED
+        if often.any():
+            group.keep(often[number])
+            place = np.unique(group.contexts()[2], return_index=True)[1]
+            found, distinct = np.unique(group.anchor[place], return_counts=True)
+            counts[np.searchsorted(own, found)] = distinct
+        return pa.table({"anchor": pa.array(own, pa.int64()), "member": pa.array(
+            (left["grp"][0].as_py() << 32) + counts, pa.int64())})
 
     def send_contexts(left: pa.Table, right: pa.Table) -> pa.Table:
         names, types = ["bucket", "grp", "packed"], [pa.int32(), pa.int32(), pa.binary()]
         if not left.num_rows:
             return pa.Table.from_arrays([pa.array([], t) for t in types], names=names)
         group = open_group(left, right)
+        starts, anchor, rows, keys = group.windows(
+            np.isin(group.anchor, _right(right, "hot")["a"].to_numpy()))
+        docs = group.doc[rows]
+        place, least, number = _firsts(keys, docs)
+        # the last document goes too: any but the first learns of the first by the reply
+        most = least.copy()
+        np.maximum.at(most, number, docs)
+        place, least = (np.r_[x, y[most > least]] for x, y in ((place, place), (least, most)))
+        single = -1 - (keys[place].view("uint64") % np.uint64(buckets)).astype("int64")
+        parts = [(starts[place], np.full(len(place), LENGTH), anchor[place], least, single)]
         group.keep(np.isin(group.anchor, _right(right, "anchor")["a"].to_numpy()))
-        data, offsets, keys = group.contexts()
-        place, least, _ = _firsts(keys, group.doc[group.rows])
-        bucket = group.anchor[place] % buckets
+        place, least, _ = _firsts(group.contexts()[2], group.doc[group.rows])
+        anchor = group.anchor[place]
+        parts.append((group.first[place], (group.last - group.first)[place] + LENGTH, anchor, least,
+                      anchor % buckets))
+        first, length, anchor, least, bucket = (np.concatenate(x) for x in zip(*parts))
         by_bucket = np.argsort(bucket, kind="stable")
-        place, least, bucket = place[by_bucket], least[by_bucket], bucket[by_bucket]
+        first, length, anchor, least, bucket = (
+            x[by_bucket] for x in (first, length, anchor, least, bucket))
         edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
-        packed = []
-        for a, b in zip(edges, [*edges[1:], len(bucket)]):
-            some = place[a:b]
-            packed.append(_pack(group.anchor[some], least[a:b], *gather(
-                data, offsets[:-1][some], np.diff(offsets)[some])))
+        packed = [_pack(anchor[a:b], least[a:b], *gather(group.data, first[a:b], length[a:b]))
+                  for a, b in zip(edges, [*edges[1:], len(bucket)])]
         return pa.Table.from_arrays([
             pa.array(bucket[edges].astype("int32") if len(edges) else [], pa.int32()),
             pa.array([left["grp"][0].as_py()] * len(packed), pa.int32()),
@@ -269,7 +318,7 @@ def dedup(docs: DataFrame, group_bytes: int = GROUP_BYTES,
     def with_group(told: DataFrame, step, schema: str) -> DataFrame:
         return dealt.groupBy("grp").cogroup(told.groupBy("grp")).applyInArrow(step, schema)
 
-    def as_told(df: DataFrame, kind: str, a: str, replies: bool = False) -> DataFrame:
+    def as_told(df: DataFrame, kind: str | Column, a: str, replies: bool = False) -> DataFrame:
         rest = ["anchor", "low", "high", "least"] if replies else [
             nothing.cast("long").alias("anchor"), nothing.cast("int").alias("low"),
             nothing.cast("int").alias("high"), nothing.cast("long").alias("least")]
@@ -277,9 +326,12 @@ def dedup(docs: DataFrame, group_bytes: int = GROUP_BYTES,
 
     anchors = with_group(copied, send_anchors, _ANCHORS).repartition("anchor")
     # counted by a column that the join needs too, so that both read the same shuffled anchors
-    shared = anchors.groupBy("anchor").agg(F.count("grp").alias("n")).filter("n > 1").select("anchor")
-    known = anchors.join(shared, "anchor").distinct()
-    contexts = with_group(copied.unionByName(as_told(known, "anchor", "anchor")),
+    shared = anchors.groupBy("anchor").agg(F.sum(F.col("member").bitwiseAND(
+        F.lit((1 << 32) - 1))).alias("n")).filter("n > 1")
+    known = anchors.join(shared, "anchor").select(
+        F.shiftright("member", 32).cast("int").alias("grp"), "anchor",
+        F.when(F.col("n") > hot_contexts, "hot").otherwise("anchor").alias("kind"))
+    contexts = with_group(copied.unionByName(as_told(known, F.col("kind"), "anchor")),
                           send_contexts, _CONTEXTS)
     replies = contexts.groupBy("bucket").applyInArrow(_merge_bucket, _REPLIES)
     return with_group(copied.unionByName(as_told(replies, "reply", "key", replies=True)),

@@ -42,6 +42,40 @@ def test_odd_rows(spark):
     assert odd.rows(suffix_dedup.dedup(docs, 2000, 3000)) == brute(docs)
 
 
+def test_hot_anchors_are_spread(spark, monkeypatch, tmp_path):
+    """A passage of most documents, between texts of their own: no bucket gets all its contexts."""
+    rng = np.random.default_rng(5)
+
+    def word(n):
+        return "".join(rng.choice(list("abcdefghij klmnop"), n))
+
+    passage, other = word(150), word(60)
+    rows = [(i, word(70) + (passage if i % 4 else other) + word(rng.integers(0, 90)))
+            for i in range(400)]
+    rows += [(500 + i, rows[i][1][:200]) for i in range(0, 40, 3)] + [(7, word(90) + passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    merge, folder = suffix_dedup._merge_bucket, str(tmp_path)
+
+    def counted(table):
+        import uuid
+        anchors = np.concatenate([suffix_dedup._unpack(p)[0] for p in table["packed"].to_pylist()])
+        with open(f"{folder}/{uuid.uuid4()}", "w") as file:
+            file.write(str(np.unique(anchors, return_counts=True)[1].max()))
+        return merge(table)
+
+    monkeypatch.setattr(suffix_dedup, "_merge_bucket", counted)
+    assert odd.rows(suffix_dedup.dedup(docs, 4000, 500, hot_contexts=50)) == brute(docs)
+    assert max(int(f.read_text()) for f in tmp_path.iterdir()) < 150
+
+
+@pytest.mark.parametrize("hot", [1, 3])
+def test_hot_anchors_give_the_same(spark, sf_dir, hot):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert odd.rows(suffix_dedup.dedup(docs, 20_000, 50_000, hot)) == brute(docs)
+    docs = odd.odd_documents(spark)
+    assert odd.rows(suffix_dedup.dedup(docs, 2000, 3000, hot)) == brute(docs)
+
+
 def test_runs_of_one_letter(spark):
     docs = spark.createDataFrame(
         [(5, "a" * 300), (2, "a" * 60), (9, "b" + "a" * 49), (7, "ab" * 80), (8, "ba" * 40),
