@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a compressed table in the shared folder, reread from there.
+
+    For wide or packed rows, which take a fraction of a checkpoint's room in columns.
+    """
+    folder = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def fenced(df: DataFrame) -> DataFrame:
     """``df``, through which later filters are not pushed.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from fleetpulse.llm import (
+    alignment,
     digests,
     html_text,
     language_id,
@@ -61,6 +62,10 @@ def op10_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
 
 
+def op11_align_tokens(spark, sf_dir):
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -72,6 +77,7 @@ REGISTRY = {
     "op10_language_id": op10_language_id,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
+    "op11_align_tokens": op11_align_tokens,
 }
 
 ORACLES = {
