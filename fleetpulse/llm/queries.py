@@ -12,6 +12,7 @@ from fleetpulse.llm import (
     packing,
     pii,
     quality_rules,
+    seed_extend,
     suffix_dedup,
     toxicity,
 )
@@ -66,6 +67,10 @@ def op11_align_tokens(spark, sf_dir):
     return alignment.align(table(spark, sf_dir, "documents"))
 
 
+def op13_seed_extend(spark, sf_dir):
+    return seed_extend.dedup(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -78,9 +83,11 @@ REGISTRY = {
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
     "op11_align_tokens": op11_align_tokens,
+    "op13_seed_extend": op13_seed_extend,
 }
 
 ORACLES = {
     "op4_quality_rules": quality_rules.oracle(),
     "op5_near_dedup": near_dedup.oracle(),
+    "op13_seed_extend": seed_extend.oracle(),
 }
