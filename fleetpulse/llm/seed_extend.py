@@ -291,13 +291,13 @@ def oracle(length: int = LENGTH) -> str:
     return f"""
 WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''),
     '[ \\t-\\r]+'), lambda x: x <> '') AS words FROM documents),
-place AS (SELECT doc_id, words, unnest(range(1, len(words) - {length - 2})) AS at FROM w),
-win AS (SELECT doc_id, at, array_to_string(words[at:at + {length - 1}], ' ') AS run FROM place),
-again AS (SELECT doc_id, at FROM win QUALIFY count(*) OVER (PARTITION BY run) > 1),
-gone AS (SELECT DISTINCT doc_id, unnest(range(at, at + {length})) AS at FROM again),
-word AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS at FROM w),
-kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY at) AS text
-  FROM word ANTI JOIN gone USING (doc_id, at) GROUP BY doc_id)
+place AS (SELECT doc_id, words, unnest(range(1, len(words) - {length - 2})) AS k FROM w),
+win AS (SELECT doc_id, k, array_to_string(words[k:k + {length - 1}], ' ') AS run FROM place),
+again AS (SELECT doc_id, k FROM win QUALIFY count(*) OVER (PARTITION BY run) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + {length})) AS k FROM again),
+word AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS k FROM w),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS text
+  FROM word ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
 SELECT doc_id, len(words)::BIGINT AS n_words, len(words) - coalesce(n, 0)::BIGINT AS n_removed,
   sha256(coalesce(text, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)"""
