@@ -15,6 +15,7 @@ from fleetpulse.llm import (
     seed_extend,
     suffix_dedup,
     toxicity,
+    vector_codes,
 )
 from fleetpulse.llm.common import table
 
@@ -67,6 +68,10 @@ def op11_align_tokens(spark, sf_dir):
     return alignment.align(table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark, sf_dir):
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
 def op13_seed_extend(spark, sf_dir):
     return seed_extend.dedup(table(spark, sf_dir, "documents"))
 
@@ -83,11 +88,13 @@ REGISTRY = {
     "op3_mix_sources": op3_mix_sources,
     "op4_quality_rules": op4_quality_rules,
     "op11_align_tokens": op11_align_tokens,
+    "op12_vector_codes": op12_vector_codes,
     "op13_seed_extend": op13_seed_extend,
 }
 
 ORACLES = {
     "op4_quality_rules": quality_rules.oracle(),
     "op5_near_dedup": near_dedup.oracle(),
+    "op12_vector_codes": vector_codes.oracle(),
     "op13_seed_extend": seed_extend.oracle(),
 }
