@@ -36,9 +36,9 @@ from fleetpulse.llm.packing import Encoder
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
 #: Characters of text whose tokens are aligned in one step, and those of a block of texts.
-SLICE_CHARS, BLOCK_CHARS = 1 << 19, 4 << 20
+SLICE_CHARS, BLOCK_CHARS = 1 << 18, 4 << 20
 #: Characters of words whose ids a worker keeps before it begins anew.
-KEPT_CHARS = 8 << 20
+KEPT_CHARS = 2 << 20
 #: Characters of new words that are encoded as one text.
 JOINED_CHARS = 1 << 14
 
@@ -443,8 +443,8 @@ def groups(docs: DataFrame, a: str = TOKENIZER_A, b: str = TOKENIZER_B) -> DataF
                 text = text.as_py()
                 if not text:
                     continue
-                if not all(all(pair.good.filled()[pair.numbers(words)])
-                           for words in segments(text)):
+                found = map(pair.numbers, segments(text))
+                if not all(pair.good.filled()[numbers].all() for numbers in found):
                     continue
                 begun = 0
                 for words in segments(text):
