@@ -60,7 +60,7 @@ class Likelihoods:
                          for j in range(k)], axis=1) if k else np.zeros((n, 0))
         count = np.bincount(rows, minlength=n)
         worth = np.minimum(count * INDEPENDENT, MOST_TRIPLETS) / np.maximum(count, 1)
-        sums *= worth[:, None]
+        sums = sums * worth[:, None]  # sums of nothing are whole numbers
         return sums - sums.max(axis=1, keepdims=True) if k else sums
 
 

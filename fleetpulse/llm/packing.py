@@ -27,8 +27,6 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces that one task packs together; larger groups waste less, smaller ones spread further.
 GROUP_ITEMS = 16_384
-#: Emptiest bins of a group that the search tries to drain before it stops.
-DRAINED_BINS = 48
 
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long")
 
@@ -164,44 +162,59 @@ class Search:
         return best if best >= 0 and gain[best] > 0 else -1
 
     def improve(self, source: int, underfull: np.ndarray, others: np.ndarray) -> bool:
-        """One exchange that drains ``source``; False if there is none."""
+        """One exchange that drains ``source``; False if there is none.
+
+        Pieces of equal length are worth the same, so each length of the bin is tried once, alone
+        and with every other.
+        """
         own = np.flatnonzero(self.bin_of == source)
-        own = own[np.argsort(-self.sizes[own], kind="stable")]
+        lengths, first = np.unique(-self.sizes[own], return_index=True)
+        alone = own[first]
         none = np.empty(0, dtype="int64")
-        for item in own:  # a move
+        for item in alone:  # a move
             best = self.better(source, np.full(len(underfull), self.sizes[item]), underfull)
             if best >= 0:
                 self.exchange(np.array([item]), none, source, underfull[best])
                 return True
-        pairs = [(a, b) for i, a in enumerate(own[:12]) for b in own[i + 1:12]]
-        for out in [*((x,) for x in own), *pairs]:  # one for one, two for one
+        often = np.bincount(np.searchsorted(lengths, -self.sizes[own]))
+        seconds = {i: own[self.sizes[own] == -lengths[i]][1] for i in np.flatnonzero(often > 1)}
+        pairs = [(a, b) for i, a in enumerate(alone) for b in alone[i + 1:]]
+        pairs += [(alone[i], again) for i, again in seconds.items()]
+        lengths_of, bins_of = self.sizes[others], self.bin_of[others]
+        for out in [*((x,) for x in alone), *pairs]:  # one for one, two for one
             out = np.array(out)
-            best = self.better(source, self.sizes[out].sum() - self.sizes[others],
-                               self.bin_of[others])
+            best = self.better(source, self.sizes[out].sum() - lengths_of, bins_of)
             if best >= 0:
-                self.exchange(out, others[best:best + 1], source, self.bin_of[others[best]])
+                self.exchange(out, others[best:best + 1], source, bins_of[best])
                 return True
         return False
 
-    def run(self, most_bins: int) -> np.ndarray:
-        """Drain the emptiest bins one after another; the bin of every item at the end."""
+    def run(self) -> np.ndarray:
+        """Drain bins, the emptiest first, again and again; the bin of every item at the end.
+
+        Ends when no underfull bin has an exchange left, or when no packing has fewer bins. Every
+        exchange raises the sum of squared fills, so there is an end.
+        """
         floor = -(-int(self.sizes.sum()) // self.capacity)
-        for source in np.argsort(self.fill, kind="stable")[:most_bins]:
-            if np.count_nonzero(self.fill) <= floor:
-                break  # no packing has fewer bins
-            while self.fill[source]:
-                underfull = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity))
-                others = np.flatnonzero((self.fill < self.capacity)[self.bin_of]
-                                        & (self.bin_of != source))
-                if not self.improve(source, underfull, others):
-                    break
+        better = True
+        while better:
+            better = False
+            for source in np.argsort(self.fill, kind="stable"):
+                if np.count_nonzero(self.fill) <= floor:
+                    return self.bin_of
+                while 0 < self.fill[source] < self.capacity:
+                    underfull = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity))
+                    others = np.flatnonzero((self.fill < self.capacity)[self.bin_of]
+                                            & (self.bin_of != source))
+                    if not self.improve(source, underfull, others):
+                        break
+                    better = True
         return self.bin_of
 
 
-def pack_group(sizes: np.ndarray, capacity: int = CAPACITY,
-               most_bins: int = DRAINED_BINS) -> np.ndarray:
+def pack_group(sizes: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
     """The bin of every item of one group; every size is at most ``capacity``."""
-    return Search(sizes, best_fit(sizes, capacity), capacity).run(most_bins)
+    return Search(sizes, best_fit(sizes, capacity), capacity).run()
 
 
 def _pack(pdf: pd.DataFrame, capacity: int) -> pd.DataFrame:

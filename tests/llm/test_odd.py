@@ -5,6 +5,7 @@ import pytest
 
 import corpus_pipeline
 from fleetpulse.llm import (
+    alignment,
     digests,
     html_text,
     language_id,
@@ -13,6 +14,7 @@ from fleetpulse.llm import (
     packing,
     pii,
     quality_rules,
+    seed_extend,
     suffix_dedup,
     toxicity,
 )
@@ -36,6 +38,8 @@ OPERATORS = {
     "digests": digests.compare_edited,
     "html": lambda d: html_text.extract(pages(d.sparkSession, d)),
     "suffix": suffix_dedup.dedup,
+    "alignment": alignment.align,
+    "seed_extend": seed_extend.dedup,
     "language": lambda d: language_id.fuse(language_id.document_evidence(d), language_id.learn(d)),
 }
 
@@ -55,6 +59,46 @@ def test_empty_table(spark, name):
     assert OPERATORS[name](empty).count() == 0
 
 
+def blanks(spark):
+    """Blank texts in partitions of their own, and two texts after them."""
+    rows = [(i, text, "en", "s", 0) for i, text in enumerate([None, "", " ", "\n", "a", "é", "", None])]
+    parts = [spark.createDataFrame([row], odd.SCHEMA).coalesce(1) for row in rows]
+    parts.append(spark.createDataFrame([(90, odd.PLAIN, "en", "t", 1), (91, odd.LONG, "de", "t", 1)],
+                                       odd.SCHEMA).coalesce(1))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_blank_partitions(spark, name):
+    docs = blanks(spark)
+    assert docs.rdd.getNumPartitions() >= 9
+    assert OPERATORS[name](docs).count() == docs.count()
+    assert OPERATORS[name](docs.filter("doc_id < 90")).count() == 8
+
+
+def test_identify_blank_and_odd_pages(spark):
+    docs = blanks(spark)
+    odd_pages = spark.createDataFrame(
+        [(1, None, None), (2, "", ""), (3, "no address", "<p>"), (None, "http://a.example.com/en/x", None),
+         (4, "http://a.example.com", "<html lang='en'><p>" + odd.PLAIN)],
+        "page_id long, url string, html string")
+    for some in (docs, docs.filter("doc_id < 90"), docs.limit(0)):
+        got = language_id.identify(odd.with_extra(some), odd.with_extra(odd_pages))
+        assert got.count() == some.count() + 5
+        assert language_id.identify(some, odd_pages.limit(0)).count() == some.count()
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_stage_on_blanks(spark, sf_dir, stage):
+    step = dict(corpus_pipeline.STAGES)[stage]
+    for docs in (blanks(spark), blanks(spark).filter("doc_id < 90")):
+        kept = {r.doc_id for r in step(spark, docs, sf_dir).select("doc_id").collect()}
+        assert kept <= {r.doc_id for r in docs.collect()}
+
+
 def test_packing_of_odd_rows(spark):
     docs = odd.odd_documents(spark)
     got = odd.rows(packing.pack(odd.with_extra(docs)), "doc_id", "piece", "start", "length")

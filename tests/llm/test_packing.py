@@ -1,5 +1,6 @@
 """Packing: token ids, pieces, places in sequences, and the search."""
 
+import itertools
 import zlib
 
 import numpy as np
@@ -99,3 +100,37 @@ def test_search_never_worsens(seed):
     fills = np.bincount(place, weights=sizes)
     assert fills.max() <= 100 and fills.sum() == sizes.sum()
     assert (fills > 0).sum() <= len(start)
+
+
+@pytest.mark.parametrize("low,high,most", [(600, 760, 1.03), (450, 560, 1.02), (640, 730, 1.06)])
+def test_hard_sizes(low, high, most):
+    """Lengths in a narrow band around a part of the capacity, where best fit wastes much."""
+    sizes = np.random.default_rng(low).integers(low, high + 1, 2_000)
+    place = packing.pack_group(sizes)
+    fills = np.bincount(place, weights=sizes)
+    used = np.count_nonzero(fills)
+    assert fills.max() <= packing.CAPACITY
+    assert used <= 0.96 * len(packing.best_fit(sizes, packing.CAPACITY))
+    assert used <= most * sizes.sum() / packing.CAPACITY
+
+
+def test_search_ends_where_no_exchange_helps():
+    """Of every pair of underfull bins, no move, one for one or two for one raises the squares."""
+    sizes = np.random.default_rng(3).integers(20, 45, 60)
+    capacity = 100
+    place = packing.pack_group(sizes, capacity)
+    fill = np.bincount(place, weights=sizes, minlength=place.max() + 1).astype(int)
+    if np.count_nonzero(fill) == -(-int(sizes.sum()) // capacity):
+        return
+    bins = [sizes[place == b] for b in range(len(fill))]
+    open_bins = [b for b in range(len(fill)) if 0 < fill[b] < capacity]
+    for a in open_bins:
+        outs = [(x,) for x in bins[a]] + list(itertools.combinations(bins[a], 2))
+        for b in open_bins:
+            if a == b:
+                continue
+            for out in outs:
+                for into in [0, *bins[b]] if len(out) == 1 else bins[b]:
+                    gained = sum(out) - into
+                    fits = 0 < gained <= capacity - fill[b]
+                    assert not fits or fill[b] + gained <= fill[a]
