@@ -59,8 +59,12 @@ class Topic:
             limit = {"maxOffsetsPerTrigger": str(self.batch_rows)} if stream else {}
             return topics.kafka_topic(
                 spark, self.servers, self.name, self.start, {**limit, **self.options}, stream)
-        start = self.start if isinstance(self.start, datetime) else None
-        return topics.file_topic(spark, self.name, start, self.files_per_trigger, stream)
+        return topics.file_topic(spark, self.name, self.start_time, self.files_per_trigger, stream)
+
+    @property
+    def start_time(self) -> datetime | None:
+        """The record time from which the topic is read, if it is a time."""
+        return self.start if isinstance(self.start, datetime) else None
 
 
 def day_before(as_of: date) -> datetime:
@@ -109,7 +113,8 @@ def workflow_statistics(
     """Deltas to ``store``; with ``records`` also one record per statistic and day there."""
     rows = topics.messages(topic.read(spark), schemas.WORKFLOW_MESSAGE)
     return wf_stream.statistics_stream(
-        wf.reshape(rows, ["record_ts"]), store, checkpoint, as_of, records=records)
+        wf.reshape(rows, ["record_ts"]), store, checkpoint, as_of, records=records,
+        start=topic.start_time)
 
 
 def bag_statistics(
@@ -118,7 +123,8 @@ def bag_statistics(
 ) -> DataStreamWriter:
     rows = topics.messages(topic.read(spark), schemas.BAG_MESSAGE)
     return bag_stream.statistics_stream(
-        bag_stats.reshape(rows, extra=["record_ts"]), store, checkpoint, as_of, records)
+        bag_stats.reshape(rows, extra=["record_ts"]), store, checkpoint, as_of, records,
+        topic.start_time)
 
 
 def _to_table(df: DataFrame, target: str, checkpoint: str) -> DataStreamWriter:

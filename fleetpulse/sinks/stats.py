@@ -1,16 +1,26 @@
 """The statistics table: one record per (name, 'daily', stat_date).
 
-Streams write change rows ``(stat_date, name, path, value)`` in one partition per run and micro-batch;
-the statistics are their sum. A run is a checkpoint: its batch numbers count on from a restart, so a
-repeated micro-batch replaces its own partition. A new checkpoint is a new run that reads the topic again
-from some day on; it takes the place of the older runs on every day that it writes, so that nothing is
-counted twice.
+Streams write change rows ``(stat_date, hour, name, path, value)`` in one partition per day, run and
+micro-batch; the statistics are their sum. A run is a checkpoint: its batch numbers count on from a
+restart, so a repeated micro-batch replaces its own partition. A new checkpoint is a new run, which may
+read again what an older one has read. Each run has a coverage interval, the record times between its
+start and the last record it has seen, and each day is served by intervals that don't overlap:
+
+* by the newest run whose interval covers the day whole, from its beginning to the end of the day after
+  it (or to the last record that any run has seen, while that is earlier);
+* where no run does, by the newest run from its start on, and before that by the older ones. A run that
+  is still catching up with one that began no later serves nothing.
+
+So a run takes a day over only once it has read the day whole, and nothing is counted twice.
 """
 
 from __future__ import annotations
 
+from datetime import date, datetime, time, timedelta
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.nested import add_at_path
@@ -21,6 +31,13 @@ STATE_DAYS = "days"
 STATE_DELTAS = "deltas"
 STATE_RUNS = "runs"
 RUN = "run"
+HOUR = "hour"
+
+_RUNS = f"checkpoint string, {RUN} bigint, start timestamp"
+_DAYS = f"newest_day date, first timestamp, last timestamp, {RUN} bigint, {BATCH} bigint"
+_DELTAS = (f"{HOUR} timestamp, name string, path array<string>, value double, "
+           f"stat_date date, {RUN} bigint, {BATCH} bigint")
+_PARTS = ["stat_date", RUN, BATCH]
 
 
 def _read(spark: SparkSession, folder: str, schema: str) -> DataFrame | None:
@@ -32,72 +49,170 @@ def _read(spark: SparkSession, folder: str, schema: str) -> DataFrame | None:
         raise
 
 
-def run_of(spark: SparkSession, store: str, checkpoint: str) -> int:
-    """The number of the run that has this checkpoint; a new checkpoint gets the next number."""
-    schema = f"checkpoint string, {RUN} bigint"
-    known = _read(spark, f"{store}/{STATE_RUNS}", schema)
+def run_of(
+    spark: SparkSession, store: str, checkpoint: str, start: datetime | None = None
+) -> int:
+    """The number of the run that has this checkpoint; a new checkpoint gets the next number.
+
+    ``start`` is the record time from which a new run reads, if it was set; else its coverage begins
+    with the first record that it sees.
+    """
+    known = _read(spark, f"{store}/{STATE_RUNS}", _RUNS)
     if known is not None:
         row = known.agg(F.max(RUN), F.max(F.when(
             F.col("checkpoint") == checkpoint, F.col(RUN)))).first()
         if row[1] is not None:
             return row[1]
     number = 0 if known is None else (row[0] or 0) + 1
-    append(spark.createDataFrame([(checkpoint, number)], schema), f"{store}/{STATE_RUNS}")
+    append(spark.createDataFrame([(checkpoint, number, start)], _RUNS), f"{store}/{STATE_RUNS}")
     return number
 
 
-def _write(df: DataFrame, target: str, batch_id: int, run: int) -> None:
+def _write(df: DataFrame, target: str, batch_id: int, run: int, parts: list[str]) -> None:
     overwrite_parts(df.withColumns({RUN: F.lit(run).cast("bigint"),
-                                    BATCH: F.lit(batch_id).cast("bigint")}), target, [RUN, BATCH])
+                                    BATCH: F.lit(batch_id).cast("bigint")}), target, parts)
+
+
+def arrival(df: DataFrame) -> Column:
+    """When a row arrived: its record time, or the beginning of its day where it has none."""
+    day = F.col("stat_date").cast("timestamp")
+    return F.coalesce(F.col("record_ts"), day) if "record_ts" in df.columns else day
 
 
 def write_deltas(deltas: DataFrame, store: str, batch_id: int, run: int = 0) -> None:
-    summed = add_at_path(deltas, ["stat_date", "name"]).select("stat_date", "name", "path", "value")
-    _write(summed, f"{store}/{STATE_DELTAS}", batch_id, run)
+    """Sum a micro-batch's deltas. ``hour`` is the hour of arrival; without it a row is of its
+    day's first hour."""
+    if HOUR not in deltas.columns:
+        deltas = deltas.withColumn(HOUR, F.col("stat_date").cast("timestamp"))
+    summed = add_at_path(deltas, ["stat_date", HOUR, "name"])
+    _write(summed.select(HOUR, "name", "path", "value", "stat_date"),
+           f"{store}/{STATE_DELTAS}", batch_id, run, _PARTS)
 
 
-def write_newest_day(day, spark: SparkSession, store: str, batch_id: int, run: int = 0) -> None:
-    row = spark.range(1).select(F.lit(day).cast("date").alias("newest_day"))
-    _write(row, f"{store}/{STATE_DAYS}", batch_id, run)
+def write_progress(
+    spark: SparkSession, store: str, batch_id: int, newest_day: date, first: datetime,
+    last: datetime, run: int = 0,
+) -> None:
+    """What a micro-batch has seen: its newest day, and its first and last record times."""
+    row = spark.createDataFrame(
+        [(newest_day, first, last)], "newest_day date, first timestamp, last timestamp")
+    _write(row, f"{store}/{STATE_DAYS}", batch_id, run, [RUN, BATCH])
 
 
 def newest_day(spark: SparkSession, store: str, before_batch: int, run: int = 0):
     """The newest day that earlier micro-batches of the run have seen, or None."""
-    rows = _read(spark, f"{store}/{STATE_DAYS}", f"newest_day date, {RUN} bigint, {BATCH} bigint")
+    rows = _read(spark, f"{store}/{STATE_DAYS}", _DAYS)
     if rows is None:
         return None
     return rows.filter((F.col(RUN) == run) & (F.col(BATCH) < before_batch)).agg(
         F.max("newest_day")).first()[0]
 
 
-def _valid(spark: SparkSession, store: str) -> DataFrame:
-    """The deltas of each day's newest run."""
-    deltas = spark.read.parquet(f"{store}/{STATE_DELTAS}").drop(BATCH)
-    newest = deltas.groupBy(F.col("stat_date").alias("_day")).agg(F.max(RUN).alias("_run"))
-    return deltas.join(newest, (F.col("stat_date") == F.col("_day"))
-                       & (F.col(RUN) == F.col("_run")), "left_semi")
+class Coverage(NamedTuple):
+    """The record times that a run has read, in the session's zone as days are."""
 
+    run: int
+    first: datetime
+    last: datetime
 
-def read_statistics(spark: SparkSession, store: str, days: list | None = None) -> DataFrame:
-    deltas = _valid(spark, store)
+
+def coverages(spark: SparkSession, store: str) -> list[Coverage]:
+    """The interval of every run, the newest first: one row per checkpoint."""
+    seen = _read(spark, f"{store}/{STATE_DAYS}", _DAYS)
+    if seen is None:
+        return []
+    seen = seen.groupBy(RUN).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    runs = _read(spark, f"{store}/{STATE_RUNS}", _RUNS)
+    if runs is not None:
+        # several rows of one run only if its writer was repeated
+        starts = runs.groupBy(RUN).agg(F.min("start").alias("start"))
+        seen = seen.join(starts, RUN, "left").withColumn("first", F.least("start", "first"))
+    wall = [F.col(c).cast("timestamp_ntz") for c in ("first", "last")]
+    return [Coverage(*r) for r in seen.orderBy(F.desc(RUN)).select(RUN, *wall).collect()]
+
+
+def _hour_after(at: datetime) -> datetime:
+    whole = at.replace(minute=0, second=0, microsecond=0)
+    return whole if whole == at else whole + timedelta(hours=1)
+
+
+def served(day: date, runs: list[Coverage]) -> list[tuple[int, datetime | None, datetime | None]]:
+    """Which run serves which hours of arrival of a day: (run, from, to), None for no bound.
+
+    ``runs`` are the newest first. An hour in which a run begins is left to the older run if that has
+    read the hour whole; if the older one ended in it, both count if they don't overlap, else the
+    older one has the hour.
+    """
+    begin = datetime.combine(day, time())
+    seen = max((r.last for r in runs), default=begin)
+    end = min(begin + timedelta(days=2), seen)
+    for r in runs:
+        if r.first <= begin and r.last >= end:
+            return [(r.run, None, None)]
+    out, to = [], None
+    for place, r in enumerate(runs):
+        older = runs[place + 1:]
+        if any(o.first <= r.first and o.last > r.last for o in older):
+            continue
+        if to is not None and r.first >= to:
+            continue
+        first_hour = _hour_after(r.first)
+        since = first_hour
+        reached = max((o.last for o in older if o.first < r.first), default=None)
+        if reached is None or reached < r.first:  # nothing older, or it ended before
+            since = first_hour - timedelta(hours=1) if first_hour != r.first else first_hour
+            out.append((r.run, since if older else None, to))
+            to = first_hour  # what the older run has of the same hour counts too
+            continue
+        out.append((r.run, since, to))
+        to = since
+    return out
+
+
+def _valid(spark: SparkSession, store: str, days: list | None = None) -> DataFrame:
+    """The deltas that count, of some days or all."""
+    deltas = spark.read.schema(_DELTAS).parquet(f"{store}/{STATE_DELTAS}")
     if days is not None:
         deltas = deltas.filter(F.col("stat_date").isin(days))
-    return add_at_path(deltas, ["stat_date", "name"]).select("stat_date", "name", "path", "value")
+    else:
+        days = [r[0] for r in deltas.select("stat_date").distinct().collect()]
+    runs = coverages(spark, store)
+    if len(runs) < 2:
+        return deltas
+    # one row for each day and run
+    plan = spark.createDataFrame(
+        [(day, *part) for day in days for part in served(day, runs)],
+        "_day date, _run bigint, _from timestamp_ntz, _to timestamp_ntz")
+    hour = F.col(HOUR).cast("timestamp_ntz")
+    counts = ((F.col("stat_date") == F.col("_day")) & (F.col(RUN) == F.col("_run"))
+              & F.coalesce(hour >= F.col("_from"), F.lit(True))
+              & F.coalesce(hour < F.col("_to"), F.lit(True)))
+    return deltas.join(plan, counts, "left_semi")
+
+
+def read_statistics(spark: SparkSession, store: str, days: list | None = None) -> DataFrame:
+    """The statistics of some days or all; of some days, only their partitions are read."""
+    return add_at_path(_valid(spark, store, days), ["stat_date", "name"]).select(
+        "stat_date", "name", "path", "value")
 
 
 def compact(spark: SparkSession, store: str, fresh: str) -> None:
     """Sum a store's deltas into a new store, as batch -1 of their runs; the stream must be stopped.
 
-    The new store knows the same runs, so a stream goes on there with the checkpoint it has.
+    The new store knows the same runs, so a stream goes on there with the checkpoint it has. Every
+    run keeps its rows: one that serves nothing yet may do so later.
     """
-    summed = add_at_path(_valid(spark, store), ["stat_date", "name", RUN]).withColumn(
+    deltas = spark.read.schema(_DELTAS).parquet(f"{store}/{STATE_DELTAS}")
+    summed = add_at_path(deltas, ["stat_date", HOUR, "name", RUN]).withColumn(
         BATCH, F.lit(-1).cast("bigint"))
-    overwrite_parts(summed.select("stat_date", "name", "path", "value", RUN, BATCH),
-                    f"{fresh}/{STATE_DELTAS}", [RUN, BATCH])
-    days = spark.read.parquet(f"{store}/{STATE_DAYS}").groupBy(RUN).agg(
-        F.max("newest_day").alias("newest_day")).withColumn(BATCH, F.lit(-1).cast("bigint"))
-    overwrite_parts(days.select("newest_day", RUN, BATCH), f"{fresh}/{STATE_DAYS}", [RUN, BATCH])
-    runs = _read(spark, f"{store}/{STATE_RUNS}", f"checkpoint string, {RUN} bigint")
+    overwrite_parts(summed.select(HOUR, "name", "path", "value", *_PARTS),
+                    f"{fresh}/{STATE_DELTAS}", _PARTS)
+    days = spark.read.schema(_DAYS).parquet(f"{store}/{STATE_DAYS}").groupBy(RUN).agg(
+        F.max("newest_day").alias("newest_day"), F.min("first").alias("first"),
+        F.max("last").alias("last")).withColumn(BATCH, F.lit(-1).cast("bigint"))
+    overwrite_parts(days.select("newest_day", "first", "last", RUN, BATCH),
+                    f"{fresh}/{STATE_DAYS}", [RUN, BATCH])
+    runs = _read(spark, f"{store}/{STATE_RUNS}", _RUNS)
     if runs is not None:
         append(runs, f"{fresh}/{STATE_RUNS}")
 

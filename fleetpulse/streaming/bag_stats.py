@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
@@ -14,10 +14,10 @@ from fleetpulse.streaming.workflow_stats import arrival_order, write_changes
 
 def statistics_stream(
     bags: DataFrame, store: str, checkpoint: str, as_of: date | None = None,
-    records: str | None = None,
+    records: str | None = None, start: datetime | None = None,
 ) -> DataStreamWriter:
     """``bags`` is a streaming :func:`bag_stats.reshape` with ``seq``."""
-    run = stats.run_of(bags.sparkSession, store, checkpoint)
+    run = stats.run_of(bags.sparkSession, store, checkpoint, start)
     write = write_changes(store, as_of, bag_stats.deltas, run, records, arrival_order(bags))
     return (
         bags.writeStream.outputMode("append").foreachBatch(write)

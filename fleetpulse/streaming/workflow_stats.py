@@ -142,12 +142,15 @@ def write_changes(
     def apply(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist()
         try:
-            newest = rows.agg(F.max("stat_date")).first()[0]
+            at = stats.arrival(rows)
+            newest, first, last = rows.agg(F.max("stat_date"), F.min(at), F.max(at)).first()
             if newest is None:
                 return
             kept = open_rows(rows, store, batch_id, as_of, run, order)
-            stats.write_deltas(to_deltas(kept), store, batch_id, run)
-            stats.write_newest_day(newest, batch.sparkSession, store, batch_id, run)
+            # deltas hand the column seq on: the hour of arrival takes its place
+            deltas = to_deltas(kept.withColumn("seq", F.date_trunc("hour", at)))
+            stats.write_deltas(deltas.withColumnRenamed("seq", stats.HOUR), store, batch_id, run)
+            stats.write_progress(batch.sparkSession, store, batch_id, newest, first, last, run)
             if records:
                 # at most the two open days of each day that the batch saw as today
                 days = [r[0] for r in kept.select("stat_date").distinct().collect()]
@@ -159,10 +162,13 @@ def write_changes(
 
 def statistics_stream(
     events: DataFrame, store: str, checkpoint: str, as_of: date | None = None,
-    retract_key: str = "type", records: str | None = None,
+    retract_key: str = "type", records: str | None = None, start: datetime | None = None,
 ) -> DataStreamWriter:
-    """Deltas into ``store`` and, if given, the records of every touched day into ``records``."""
-    run = stats.run_of(events.sparkSession, store, checkpoint)
+    """Deltas into ``store`` and, if given, the records of every touched day into ``records``.
+
+    ``start`` is the record time from which ``events`` begin, if that was set.
+    """
+    run = stats.run_of(events.sparkSession, store, checkpoint, start)
     write = write_changes(
         store, as_of, lambda rows: change_deltas(rows, retract_key), run, records,
         arrival_order(events))

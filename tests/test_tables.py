@@ -74,7 +74,8 @@ def test_statistics_store(spark, tmp_path):
     for batch in (0, 1, 1):
         delta = spark.createDataFrame([(day, "n", ["p"], 1.0), (day, "n", ["p"], 2.0)], schema)
         stats.write_deltas(delta, store, batch)
-        stats.write_newest_day(day + timedelta(days=batch), spark, store, batch)
+        at = datetime(2024, 1, 1 + batch)
+        stats.write_progress(spark, store, batch, day + timedelta(days=batch), at, at)
     assert [r.value for r in stats.read_statistics(spark, store).collect()] == [6.0]
     assert stats.newest_day(spark, store, 1) == day
     assert stats.newest_day(spark, store, 2) == day + timedelta(days=1)
