@@ -86,7 +86,7 @@ def test_search_empties_bins():
     """A start that wastes a bin, which exchanges can save."""
     sizes = np.array([6, 4, 5, 5, 3, 7])
     search = packing.Search(sizes, [[0, 4], [1, 2], [3], [5]], 10)
-    place = search.run(4)
+    place = search.run()
     fills = np.bincount(place, weights=sizes)
     assert sorted(fills[fills > 0].tolist()) == [10, 10, 10]
 
