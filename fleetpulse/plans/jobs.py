@@ -6,6 +6,7 @@ Streaming jobs return writers; the caller picks the trigger and starts them. Bat
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
@@ -330,16 +331,17 @@ def retention(
 ) -> None:
     """Delete the workflows of the day that left the retention period, results first.
 
-    The ids are written to the staging folder first, so a repeated run still knows them. ``parts`` are
-    the partitions of a folder: days of a copied one, ``bucket`` of a replicated one.
+    A repeated run finds the workflows that are still there: they go last, once all their results are
+    gone. Within a run their ids are read once, into the staging folder. ``parts`` are the partitions
+    of a copied folder; a replicated one needs none.
     """
     start, end = transfer.retention_bounds(as_of, keep_days)
     old = transfer.in_range(F.col("create_time"), start, end)
     ids = lake.lake_table(spark, parent_table).filter(old).select("workflow_id")
     if staging:
-        staging = f"{staging}/{as_of}"
-        ids.write.mode("ignore").parquet(f"{staging}/ids")
-        ids = spark.read.parquet(f"{staging}/ids")
+        chosen = f"{staging}/ids/{as_of}-{uuid.uuid4().hex}"
+        ids.write.parquet(chosen)
+        ids = spark.read.parquet(chosen)
     tables.delete_keys(
         spark, child_table, ids.select(F.col("workflow_id").alias("workflow_id_id")),
         "workflow_id_id", list(parts), staging and f"{staging}/children")

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fleetpulse.operators.replication import latest_images
+from fleetpulse.sinks import keyed
+from fleetpulse.sources.keyed import Files, is_keyed
 from fleetpulse.sources.lake import is_path, lake_table
 
 BATCH = "batch_id"
-BUCKET = "bucket"
-#: Parts of an upserted folder; a batch rewrites those that it has keys of.
-FOLDER_BUCKETS = 64
 
 
 def append(df: DataFrame, target: str) -> None:
@@ -78,20 +79,17 @@ def merge_sql(target: str, view: str, columns: list[str], keys: list[str], seq:
             f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})")
 
 
-def upsert(
-    df: DataFrame, target: str, keys: list[str], seq: str, buckets: int = FOLDER_BUCKETS
-) -> None:
+def upsert(df: DataFrame, target: str, keys: list[str], seq: str) -> None:
     """Apply one batch of changes, newest row per key; the table always holds the current rows.
 
-    A catalog table gets a MERGE. A Parquet folder is cut into ``buckets`` by key (column ``bucket``); those
-    with a change are merged, written aside, and replaced as whole partitions. Applying a batch again
-    changes nothing, which also repairs one that was interrupted.
+    A catalog table gets a MERGE, a folder a new run (see ``sinks.keyed``). Applying a batch again
+    changes nothing, also after a writer that stopped anywhere.
     """
-    newest = latest_images(df, keys, seq)
-    spark = df.sparkSession
     if is_path(target):
-        _merge_buckets(spark, newest, target, keys, seq, buckets)
+        keyed.upsert(df, target, keys, seq)
         return
+    newest = latest_images(df, keys, seq)
+    spark = df.sparkSession
     view = f"_changes_{uuid.uuid4().hex}"
     newest.createOrReplaceTempView(view)
     try:
@@ -100,38 +98,9 @@ def upsert(
         spark.catalog.dropTempView(view)
 
 
-def _merge_buckets(
-    spark: SparkSession, newest: DataFrame, target: str, keys: list[str], seq: str, buckets: int
-) -> None:
-    rows = newest.withColumn(
-        BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist()
-    try:
-        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
-        if not touched:
-            return
-        merged = rows
-        if path_exists(spark, target):
-            old = spark.read.schema(rows.schema).parquet(target)
-            merged = latest_images(
-                old.filter(F.col(BUCKET).isin(touched)).unionByName(rows), keys, seq)
-        aside = f"{target}-merging"
-        name = uuid.uuid4().hex
-        merged.select(*rows.columns).repartition(BUCKET).write.partitionBy(BUCKET).parquet(
-            f"{aside}/{name}")
-        overwrite_parts(spark.read.schema(rows.schema).parquet(f"{aside}/{name}"), target, [BUCKET])
-        _drop_parts(spark, aside, [name])
-    finally:
-        rows.unpersist()
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def current(spark: SparkSession, target: str) -> DataFrame:
     """The rows of an upserted table."""
-    return lake_table(spark, target).drop(BUCKET)
+    return lake_table(spark, target)
 
 
 def delete_keys(
@@ -140,9 +109,10 @@ def delete_keys(
 ) -> None:
     """Delete the rows whose key is in ``ids``.
 
-    A catalog table gets a DELETE. In a partitioned Parquet folder only partitions that hold such
-    rows are rewritten, from a copy in a folder of this run's own under ``staging``, so that nothing of
-    an earlier run comes back; a partition left without rows keeps none.
+    A catalog table gets a DELETE, a keyed folder a run of deletions. In any other partitioned Parquet
+    folder the partitions that hold such rows are replaced: what they keep is first written whole to a
+    folder of its own under ``staging``, which then gets the mark ``ready``. A run that stops
+    while it replaces partitions is finished from there by the next one, so no row is lost.
     """
     if not is_path(target):
         view = f"_deleted_{uuid.uuid4().hex}"
@@ -152,24 +122,46 @@ def delete_keys(
         finally:
             spark.catalog.dropTempView(view)
         return
+    if is_keyed(spark, target):
+        keyed.delete(spark, target, ids, key)
+        return
     if staging is None:
         raise ValueError("a Parquet target needs a staging folder")
-    staging = f"{staging}/{uuid.uuid4().hex}"
+    finish_deletes(spark, target, staging, parts)
+    files = Files(spark, staging)
+    own = uuid.uuid4().hex
     rows = lake_table(spark, target)
     wanted = ids.select(F.col(key).alias("_gone")).distinct()
     touched = rows.join(wanted, F.col(key) == F.col("_gone"), "left_semi").select(*parts).distinct()
     affected = rows.join(touched, parts, "left_semi")
     kept = affected.join(wanted, F.col(key) == F.col("_gone"), "left_anti")
     kept.hint("rebalance", *parts).write.option("partitionOverwriteMode", "static").partitionBy(
-        *parts).parquet(f"{staging}/kept")
-    touched.write.parquet(f"{staging}/touched")
-    _replace_parts(spark, target, staging, parts)
+        *parts).parquet(f"{staging}/{own}/kept")
+    touched.write.parquet(f"{staging}/{own}/touched")
+    spark.createDataFrame([(rows.schema.json(),)], "layout string").coalesce(1).write.text(
+        f"{staging}/{own}/layout")
+    files.write(f"{own}/writing", "")
+    files.rename(f"{own}/writing", f"{own}/ready")
+    finish_deletes(spark, target, staging, parts)
+
+
+def finish_deletes(spark: SparkSession, target: str, staging: str, parts: list[str]) -> None:
+    """Replace the partitions of every run that is ready under ``staging``, and drop what it staged.
+
+    What runs that never became ready have left is dropped too: they have changed nothing.
+    """
+    files = Files(spark, staging)
+    for own in files.names(""):
+        if files.exists(f"{own}/ready"):
+            _replace_parts(spark, target, f"{staging}/{own}", parts)
+        files.delete(own)
 
 
 def _replace_parts(spark: SparkSession, target: str, staging: str, parts: list[str]) -> None:
-    kept = spark.read.schema(lake_table(spark, target).schema).parquet(f"{staging}/kept")
+    layout = StructType.fromJson(json.loads(spark.read.text(f"{staging}/layout").first()[0]))
+    kept = spark.read.schema(layout).parquet(f"{staging}/kept")
     overwrite_parts(kept, target, parts)
-    # partitions that lost all their rows: replace them by an empty file set
+    # partitions that lost all their rows
     emptied = spark.read.parquet(f"{staging}/touched").join(
         kept.select(*parts).distinct(), parts, "left_anti")
     _drop_parts(spark, target, [

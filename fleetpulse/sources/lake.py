@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetpulse.sources.keyed import is_keyed, keyed_rows
+
 
 def is_path(name: str) -> bool:
     return "/" in name
 
 
 def lake_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.read.parquet(name) if is_path(name) else spark.table(name)
-
-
-def statistics_sides(spark: SparkSession, left: str, right: str) -> tuple[DataFrame, DataFrame]:
-    return lake_table(spark, left), lake_table(spark, right)
+    """The rows of a table; of a keyed folder, those of its newest version."""
+    if not is_path(name):
+        return spark.table(name)
+    return keyed_rows(spark, name) if is_keyed(spark, name) else spark.read.parquet(name)

@@ -134,7 +134,7 @@ def test_replicated_folders_are_tables(spark, tmp_path):
         [("c", 1, "ra", "2024-01-02"), ("c", 2, "rc", "2024-01-01"), ("c", 3, "rb", "2024-01-05")],
         schemas.RESULT_TABLE, "id", kids)
     as_of = date(2024, 1, 1) + timedelta(days=91)
-    jobs.retention(spark, parents, kids, as_of, str(tmp_path / "staging"), parts=["bucket"])
+    jobs.retention(spark, parents, kids, as_of, str(tmp_path / "staging"))
     assert rows(lake_table(spark, parents), "workflow_id", "seq") == {("a", 9): 1, ("b", 4): 1}
     assert rows(lake_table(spark, kids), "id") == {("ra",): 1, ("rb",): 1}
     counts = jobs.check_counts(

@@ -52,8 +52,8 @@ def test_upsert_replays_and_order(spark, tmp_path):
     schema = "id int, seq bigint, v string"
     batches = [[(1, 1, "a"), (2, 2, "b"), (1, 3, "c")], [(1, 5, "e"), (3, 6, "f")], [(2, 1, "old")]]
     for n in (0, 1, 1, 2, 0):
-        tables.upsert(spark.createDataFrame(batches[n], schema), target, ["id"], "seq", 4)
-        assert spark.read.parquet(target).groupBy("id").count().filter("count > 1").isEmpty()
+        tables.upsert(spark.createDataFrame(batches[n], schema), target, ["id"], "seq")
+        assert tables.current(spark, target).groupBy("id").count().filter("count > 1").isEmpty()
     assert rows(tables.current(spark, target), "id", "seq", "v") == {
         (1, 5, "e"): 1, (2, 2, "b"): 1, (3, 6, "f"): 1}
 
@@ -297,12 +297,14 @@ def test_replay_with_a_new_checkpoint_counts_once(spark, tmp_path):
     for batch in range(3):
         stats.write_deltas(deltas(spark, "m", 1), store, batch, first)
         stats.write_deltas(deltas(spark, "m", 7, day="2023-12-31"), store, 10 + batch, first)
-        stats.write_newest_day(date(2024, 1, 1), spark, store, batch, first)
+        stats.write_progress(spark, store, batch, date(2024, 1, 1), datetime(2023, 12, 31),
+                             datetime(2024, 1, 1), first)
     again = stats.run_of(spark, store, "cp-2")
     assert stats.run_of(spark, store, "cp-1") == first != again
     assert stats.newest_day(spark, store, 99, again) is None
     stats.write_deltas(deltas(spark, "m", 3), store, 0, again)
-    stats.write_newest_day(date(2024, 1, 1), spark, store, 0, again)
+    at = datetime(2024, 1, 1)
+    stats.write_progress(spark, store, 0, date(2024, 1, 1), at, at, again)
 
     def sums(folder):
         return rows(stats.read_statistics(spark, folder).select(
