@@ -51,8 +51,8 @@ def from_epoch_millis_text(c: Column) -> Column:
 
 
 def from_epoch_seconds(c: Column) -> Column:
-    """Fractional epoch seconds, cut to milliseconds."""
-    return F.timestamp_millis((c * 1000).cast("bigint"))
+    """Fractional epoch seconds, cut to milliseconds; null where they are no time."""
+    return F.timestamp_millis((c * 1000).try_cast("bigint"))
 
 
 def epoch_seconds(ts: Column) -> Column:

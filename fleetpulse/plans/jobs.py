@@ -11,12 +11,13 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from fleetpulse import schemas
+from fleetpulse.functions import times
 from fleetpulse.operators import (
     bag_stats,
     bursts,
@@ -31,6 +32,7 @@ from fleetpulse.session import checkpoint_root
 from fleetpulse.sinks import tables
 from fleetpulse.sinks import topics as topic_sinks
 from fleetpulse.sources import changes, jdbc, lake, topics
+from fleetpulse.sources.keyed import Files
 from fleetpulse.streaming import bag_stats as bag_stream
 from fleetpulse.streaming import bursts as burst_stream
 from fleetpulse.streaming import faults as fault_stream
@@ -97,14 +99,25 @@ def decoded_table(
 
 def message_rejects(
     spark: SparkSession, topic: Topic, schema: StructType, target: str, checkpoint: str,
-    time_text: str | None = None,
+    time_field: str | None = None, read_time: Callable[[Column], Column] = times.parse_text,
 ) -> DataStreamWriter:
     """What the jobs on a topic leave out, with the reason: malformed and badly timed messages.
 
     To be run beside each of them: its rows and theirs together are all rows of the topic.
+    ``time_field`` is the field that the job goes by, ``read_time`` how it reads it (see
+    ``MESSAGE_TIMES``).
     """
     rows = topics.decode(topic.read(spark), schema)
-    return _to_table(topics.rejects(rows, time_text), target, checkpoint)
+    return _to_table(topics.rejects(rows, time_field, read_time), target, checkpoint)
+
+
+#: The time field of each kind of message whose job goes by one, and how it is read.
+MESSAGE_TIMES = {
+    "workflow": ("update_time", times.parse_text),
+    "job": ("timestamp", times.from_epoch_millis_text),
+    "node": ("timestamp", times.from_epoch_seconds),
+    "pod": ("job_start_timestamp", times.from_epoch_seconds),
+}
 
 
 def workflow_statistics(
@@ -154,14 +167,13 @@ def burst_monitor(
     spark: SparkSession, topic: Topic, alerts: str, actions: str, checkpoint: str,
     processing_time: bool = False, clear_after: bool = False, lateness: str = "10 minutes",
 ) -> DataStreamWriter:
-    """Alert and action records. ``processing_time`` windows rows by when they are read.
+    """Alert and action records.
 
-    By event time a window is judged ``lateness`` after its end, and what comes later still is not
+    ``processing_time`` windows rows by when they are read and judges a window when the clock passes
+    its end: start it at an interval. By event time a window is judged ``lateness`` after its end, and what comes later still is not
     counted: make it longer than partitions drift apart when the topic is caught up on.
     """
     failures = bursts.failed_replays(topics.messages(topic.read(spark), schemas.JOB_MESSAGE))
-    if processing_time:
-        failures = burst_stream.processing_time(failures)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist()
@@ -173,8 +185,10 @@ def burst_monitor(
         finally:
             rows.unpersist()
 
-    events = burst_stream.burst_events(
-        failures, "10 seconds" if processing_time else lateness, clear_after=clear_after)
+    if processing_time:
+        events = burst_stream.burst_events_by_clock(failures, clear_after=clear_after)
+    else:
+        events = burst_stream.burst_events(failures, lateness, clear_after=clear_after)
     return (events.writeStream.outputMode("append").foreachBatch(tables.each_batch(write))
             .option("checkpointLocation", checkpoint))
 
@@ -254,6 +268,31 @@ class Backfill:
         return jdbc.ranged_table(spark, self.url, query, self.properties, predicates)
 
 
+_STATES = "day date, n bigint, state string, span string"
+PLANNED, WRITTEN, VERIFIED = "planned", "written", "verified"
+
+
+def _mark(spark: SparkSession, states: str, span: str, days: dict[date, int], state: str) -> None:
+    rows = [(day, n, state, span, str(day)) for day, n in days.items()]
+    if rows:
+        tables.overwrite_parts(
+            spark.createDataFrame(rows, f"{_STATES}, part string"), states, ["span", "part"])
+
+
+def _finished(spark: SparkSession, states: str, span: str, planned: dict[date, int]) -> set[date]:
+    """Days that an unfinished run of the span has copied, as far as their counts are the same.
+
+    Where the last run was verified to its end, none: a new run copies all days again.
+    """
+    if not Files(spark, states).exists(""):
+        return set()
+    known = spark.read.schema(f"{_STATES}, part string").parquet(states).filter(
+        F.col("span") == span).select("day", "n", "state").collect()
+    if all(r.state == VERIFIED for r in known):
+        return set()
+    return {r.day for r in known if r.state != PLANNED and planned.get(r.day) == r.n}
+
+
 def backfill(
     spark: SparkSession,
     source: Backfill,
@@ -269,38 +308,71 @@ def backfill(
     The histogram is read once and kept in the checkpoint folder, so the plan and the log are of the
     same counts. Days are copied one after another: the driver holds one day's ranges, at most
     ``DAY_RANGES`` of them (on days with more rows than those can hold, ranges are larger). One task
-    per range; a failed task is tried again by Spark, and a repeated run replaces its days.
+    per range; a failed task is tried again by Spark.
+
+    Each day has a state beside the log: planned, written, verified. A run that was stopped, or whose
+    days differ from the plan, goes on with the days that are not yet written; one after a verified
+    run replaces all days. Days without rows in the source are emptied.
     """
     spark.sparkContext.setCheckpointDir(checkpoint_root(spark, f"{log}-reading"))
     first, last = (datetime(d.year, d.month, d.day) for d in (start, end))
     per_second = source.histogram(spark, first, last).checkpoint()
     day = F.to_date("second")
-    for at, n in sorted(tuple(r) for r in per_second.groupBy(day).agg(F.sum("n")).collect()):
-        plan = transfer.range_plan(
-            per_second.filter(day == F.lit(at)), max(rows, -(-n // DAY_RANGES))).collect()
-        read = source.read(spark, jdbc.range_predicates(plan, source.plan_time, source.page))
-        checked = transfer.require_not_null(read, list(source.not_null))
-        tables.overwrite_days(shape(checked), target, source.plan_time)
-    return log_days(spark, per_second, target, log, start, end)
+    found = dict(tuple(r) for r in per_second.groupBy(day).agg(F.sum("n")).collect())
+    span = [start + timedelta(days=k) for k in range((end - start).days)]
+    planned = {d: found.get(d, 0) for d in span}
+    states, name = f"{log}-states", f"{start}_{end}"
+    done = _finished(spark, states, name, planned)
+    _mark(spark, states, name, {d: n for d, n in planned.items() if d not in done}, PLANNED)
+    for at, n in planned.items():
+        if at in done:
+            continue
+        if n:
+            plan = transfer.range_plan(
+                per_second.filter(day == F.lit(at)), max(rows, -(-n // DAY_RANGES))).collect()
+            read = source.read(spark, jdbc.range_predicates(plan, source.plan_time, source.page))
+            checked = transfer.require_not_null(read, list(source.not_null))
+            tables.overwrite_days(shape(checked), target, source.plan_time)
+        else:
+            tables.drop_days(spark, target, "day", [at])
+        _mark(spark, states, name, {at: n}, WRITTEN)
+    kept, differ = _logged(spark, per_second, target, log, start, end)
+    _mark(spark, states, name, {d: n for d, n in planned.items() if d in differ}, PLANNED)
+    _raise_on(differ, target, log)
+    _mark(spark, states, name, planned, VERIFIED)
+    return kept
+
+
+def _raise_on(differ: set[date], target: str, log: str) -> None:
+    if differ:
+        raise RuntimeError(f"{len(differ)} days differ between the plan and {target}; see {log}")
 
 
 def log_days(
     spark: SparkSession, per_second: DataFrame, target: str, log: str, start: date, end: date
 ) -> DataFrame:
     """Planned and written rows per day, kept in a log table; a difference raises."""
+    kept, differ = _logged(spark, per_second, target, log, start, end)
+    _raise_on(differ, target, log)
+    return kept
+
+
+def _logged(
+    spark: SparkSession, per_second: DataFrame, target: str, log: str, start: date, end: date
+) -> tuple[DataFrame, set[date]]:
+    """The log of the days, and the days whose counts differ."""
     planned = per_second.groupBy(F.date_trunc("day", "second").cast("timestamp_ntz").alias(
         "bucket")).agg(F.sum("n").alias("n"))
-    written = lake.lake_table(spark, target).filter(
-        (F.col("day") >= F.lit(start)) & (F.col("day") < F.lit(end))
-    ).groupBy(F.col("day").cast("timestamp_ntz").alias("bucket")).agg(F.count("*").alias("n"))
+    inside = (F.col("day") >= F.lit(start)) & (F.col("day") < F.lit(end))
+    written = lake.lake_table(spark, target).filter(inside).groupBy(
+        F.col("day").cast("timestamp_ntz").alias("bucket")).agg(F.count("*").alias("n"))
     runs = reconcile.compare_counts(planned, written).withColumn("day", F.to_date("bucket"))
+    days = [start + timedelta(days=k) for k in range((end - start).days)]
     tables.overwrite_parts(runs, log, ["day"])
-    kept = lake.lake_table(spark, log).filter(
-        (F.col("day") >= F.lit(start)) & (F.col("day") < F.lit(end)))
-    bad = kept.filter(~F.col("match")).count()
-    if bad:
-        raise RuntimeError(f"{bad} days differ between the plan and {target}; see {log}")
-    return kept
+    # a day with rows neither here nor there has no line, also if it had one before
+    tables.empty_days(spark, log, "day", runs, days)
+    kept = lake.lake_table(spark, log).filter(inside)
+    return kept, {r[0] for r in kept.filter(~F.col("match")).select("day").collect()}
 
 
 def daily_copy(

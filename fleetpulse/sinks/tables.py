@@ -62,6 +62,15 @@ def empty_days(
     _drop_parts(spark, target, [f"{day}={d}" for d in days if d not in present])
 
 
+def drop_days(spark: SparkSession, target: str, day: str, days: list[date]) -> None:
+    """Empty whole days, whatever they hold."""
+    if is_path(target):
+        _drop_parts(spark, target, [f"{day}={d}" for d in days])
+        return
+    for gone in days:
+        spark.sql(f"DELETE FROM {target} WHERE `{day}` = DATE '{gone}'")
+
+
 def write_batch(df: DataFrame, target: str, batch_id: int) -> None:
     """Rows of one micro-batch; a repeated batch replaces itself."""
     overwrite_parts(df.withColumn(BATCH, F.lit(batch_id).cast("bigint")), target, [BATCH])

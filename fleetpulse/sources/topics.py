@@ -6,10 +6,10 @@ and ``value`` (the message text), so both kinds decode through the same code.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -104,15 +104,19 @@ def corrupt(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col(CORRUPT).isNotNull()).select(*meta, CORRUPT)
 
 
-def rejects(decoded: DataFrame, time_text: str | None = None) -> DataFrame:
+def rejects(
+    decoded: DataFrame, time_field: str | None = None,
+    read_time: Callable[[Column], Column] = parse_text,
+) -> DataFrame:
     """Rows that the jobs can't use, with the reason: malformed, untimed or badly timed ones.
 
-    ``time_text`` is the field that has the message's time as text, if the job goes by it.
+    ``time_field`` is the field that has the message's time, if the job goes by it, and ``read_time``
+    gives the time that the job reads there.
     """
     reason = F.when(F.col(CORRUPT).isNotNull(), "malformed")
-    if time_text:
-        reason = (reason.when(F.col(time_text).isNull(), "no time")
-                  .when(parse_text(F.col(time_text)).isNull(), "bad time"))
+    if time_field:
+        reason = (reason.when(F.col(time_field).isNull(), "no time")
+                  .when(read_time(F.col(time_field)).isNull(), "bad time"))
     fields = [c for c in decoded.columns if c not in ("seq", "record_ts", CORRUPT)]
     return decoded.withColumn("reason", reason).filter("reason IS NOT NULL").select(
         "seq", "record_ts", "reason",

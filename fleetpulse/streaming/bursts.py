@@ -7,6 +7,7 @@ evaluates the sliding windows, the threshold, the cooldown and the once-only act
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
@@ -23,11 +24,6 @@ EVENTS = layout(
 _EVENT = Row(*EVENTS.fieldNames())
 
 
-def processing_time(jobs: DataFrame) -> DataFrame:
-    """Stamp rows with the time they are processed instead of their own time."""
-    return jobs.withColumn("ts", F.current_timestamp())
-
-
 def closed_panes(failures: DataFrame, lateness: str, slide: int = bursts.SLIDE) -> DataFrame:
     """Failures per node and pane, once the watermark has passed the pane."""
     timed = failures.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
@@ -72,30 +68,48 @@ class BurstState(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _advance(self, node, watermark) -> Iterator[Row]:
-        """Evaluate every window that ends by the watermark and was not evaluated yet."""
-        panes = {k[0]: tuple(v) for k, v in self._panes.iterator()}
+    def _advance(self, node, clock) -> Iterator[Row]:
+        """Evaluate every window that ends by the clock and was not evaluated yet.
+
+        The window slides over the panes in order: each pane enters it once and leaves it once, and
+        stretches without panes are skipped, so catching up is linear in the panes.
+        """
+        panes = sorted((k[0], tuple(v)) for k, v in self._panes.iterator())
         if not panes:
             return
         done = self._done.get()[0] if self._done.exists() else 0
-        end = max(done, min(panes)) + self._slide
-        stop = min(watermark // self._slide * self._slide, max(panes) + self._size)
+        stop = min(clock // self._slide * self._slide, panes[-1][0] + self._size)
+        end = max(done, panes[0][0]) + self._slide
+        head = tail = n = 0
+        present: Counter[str] = Counter()
         while end <= stop:
             begin = end - self._size
-            inside = [panes[p] for p in sorted(panes) if begin <= p < end]
-            if sum(p[0] for p in inside) >= self._threshold:
-                yield from self._burst(node, begin, inside)
+            while tail < len(panes) and panes[tail][0] < end:
+                n += panes[tail][1][0]
+                present.update(json.loads(panes[tail][1][3]))
+                tail += 1
+            while head < tail and panes[head][0] < begin:
+                n -= panes[head][1][0]
+                present.subtract(json.loads(panes[head][1][3]))
+                head += 1
+            if head == tail:
+                if tail == len(panes):
+                    break
+                end = panes[tail][0] + self._slide
+                continue
+            if n >= self._threshold:
+                # panes don't overlap in time: the first and last ones hold the first and last rows
+                yield from self._burst(node, begin, n, panes[head][1][1], panes[tail - 1][1][2],
+                                       [w for w, c in present.items() if c > 0])
             done, end = end, end + self._slide
         self._done.update((done,))
-        for p in [p for p in panes if p + self._size <= done]:
+        left = [p for p, _ in panes if p + self._size > done]
+        for p, _ in panes[:len(panes) - len(left)]:
             self._panes.removeKey((p,))
-            del panes[p]
-        if panes:
-            self._handle.registerTimer(max(done, min(panes)) + self._slide)
+        if left:
+            self._handle.registerTimer(max(done, left[0]) + self._slide)
 
-    def _burst(self, node, begin, inside) -> Iterator[Row]:
-        n = sum(p[0] for p in inside)
-        first, last = min(p[1] for p in inside), max(p[2] for p in inside)
+    def _burst(self, node, begin, n, first, last, workflows) -> Iterator[Row]:
         known = self._alert.get()[0] if self._alert.exists() else None
         is_alert = known is None or first - known > self._cooldown
         forget = is_alert and known is not None
@@ -104,7 +118,7 @@ class BurstState(StatefulProcessor):
         if not self._cordoned.exists():
             self._cordoned.update((begin,))
             yield _EVENT(node, begin, "cordon", n, first, last, None, node)
-        for workflow in sorted(self._present(inside)):
+        for workflow in sorted(workflows):
             if not self._raised.containsKey((workflow,)):
                 self._raised.updateValue((workflow,), (begin,))
                 yield _EVENT(node, begin, "raise_priority", n, first, last, None, workflow)
@@ -119,9 +133,27 @@ class BurstState(StatefulProcessor):
         self._raised.clear()
         self._cordoned.clear()
 
-    @staticmethod
-    def _present(inside) -> set[str]:
-        return {w for p in inside for w in json.loads(p[3])}
+
+class ClockBurstState(BurstState):
+    """The same by the clock: a row belongs to the time at which it is read, and a window is judged
+    when the clock passes its end, whether or not anything comes after."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        pane = (now // self._slide * self._slide,)
+        n, first, workflows = 0, now * 1000, set()
+        if self._panes.containsKey(pane):
+            n, first, _, known = self._panes.getValue(pane)
+            workflows.update(json.loads(known))
+        for r in rows:
+            n += 1
+            if r["workflow"] is not None:
+                workflows.add(r["workflow"])
+        self._panes.updateValue(pane, (n, first, now * 1000, json.dumps(sorted(workflows))))
+        yield from self._advance(key[0], now)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._advance(key[0], timerValues.getCurrentProcessingTimeInMs())
 
 
 def burst_events(
@@ -139,6 +171,24 @@ def burst_events(
         processor, EVENTS, "Append", "EventTime")
 
 
+def burst_events_by_clock(
+    failures: DataFrame,
+    threshold: int = bursts.THRESHOLD,
+    cooldown: int = bursts.COOLDOWN,
+    size: int = bursts.WINDOW,
+    slide: int = bursts.SLIDE,
+    clear_after: bool = False,
+) -> DataFrame:
+    """The same rows with windows over the time at which failures are read.
+
+    Timers of the state fire by the clock: to be run at an interval, when micro-batches come without
+    rows too.
+    """
+    processor = ClockBurstState(threshold, cooldown, size, slide, clear_after)
+    return failures.select("node_name", "workflow").groupBy("node_name").transformWithState(
+        processor, EVENTS, "Append", "ProcessingTime")
+
+
 def _ts(c: str, fn=F.timestamp_micros):
     return fn(F.col(c)).cast("timestamp_ntz")
 

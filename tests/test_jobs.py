@@ -1,5 +1,7 @@
 """Jobs end to end on folders: file topics in, tables out."""
 
+import json
+import time
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -63,13 +65,50 @@ def test_monitor_jobs(spark, events, tmp_path):
         ("cordon", None), ("raise_priority", 3)}
 
 
-def test_burst_monitor_by_processing_time(spark, events, tmp_path):
-    work = topic(fx.job_topic(events), tmp_path / "job")
-    writer = jobs.burst_monitor(spark, work, str(tmp_path / "a"), str(tmp_path / "x"),
-                                str(tmp_path / "c"), processing_time=True)
-    query = jobs.start(writer)
-    query.awaitTermination()
-    assert query.exception() is None
+def test_burst_monitor_by_processing_time(spark, tmp_path):
+    """Twenty failures at once and nothing after: the window is judged when the clock passes it."""
+    made = [(i, datetime(2024, 1, 1), json.dumps({
+        "node_name": "n1" if i < 20 else "n2", "job_status": "failed",
+        "job_name": f"a-b-c-wf{i % 3}-replay", "timestamp": "1704067200000"})) for i in range(24)]
+    raw = spark.createDataFrame(made, "seq long, record_ts timestamp, value string")
+    work = topic(raw, tmp_path / "job", 1)
+    alerts = str(tmp_path / "a")
+    query = jobs.start(jobs.burst_monitor(
+        spark, work, alerts, str(tmp_path / "x"), str(tmp_path / "c"), processing_time=True),
+        "1 second")
+    try:
+        until = time.time() + 120
+        while time.time() < until and not list((tmp_path / "x").glob("batch_id=*/*.parquet")):
+            time.sleep(1)
+        assert query.exception() is None
+    finally:
+        query.stop()
+    told = lake_table(spark, alerts).filter("outcome = 'alert'").collect()
+    assert [(r.node_name, r.n) for r in told] == [("n1", 20)]
+    done = lake_table(spark, str(tmp_path / "x"))
+    assert rows(done.filter("kind = 'raise_priority'"), F.explode("targets")) == {
+        (f"wf{k}",): 1 for k in range(3)}
+    assert done.filter("kind = 'cordon'").count() == 1
+
+
+@pytest.mark.parametrize("kind,schema,good", [
+    ("job", schemas.JOB_MESSAGE, ["1704067200000", "1704067201000"]),
+    ("node", schemas.NODE_MESSAGE, [1704067200.5, 1704067201]),
+    ("pod", schemas.POD_MESSAGE, [1704067200.5, 0])])
+def test_rejects_of_numeric_times(spark, tmp_path, kind, schema, good):
+    field, read_time = jobs.MESSAGE_TIMES[kind]
+    values = [*good, "soon", None, 1e300 if kind != "job" else "99x"]
+    made = [(i, datetime(2024, 1, 1), json.dumps({field: v})) for i, v in enumerate(values)]
+    made.append((5, datetime(2024, 1, 1), "broken"))
+    raw = spark.createDataFrame(made, "seq long, record_ts timestamp, value string")
+    source = topic(raw, tmp_path / "in", 1)
+    run_available(jobs.message_rejects(spark, source, schema, str(tmp_path / "r"),
+                                       str(tmp_path / "c"), field, read_time))
+    told = {r.seq: r.reason for r in lake_table(spark, str(tmp_path / "r")).collect()}
+    soon = "bad time" if kind == "job" else "malformed"
+    assert told == {2: soon, 3: "no time", 4: "bad time", 5: "malformed"}
+    used = topics.messages(raw, schema).filter(read_time(F.col(field)).isNotNull())
+    assert used.count() + len(told) == raw.count()
 
 
 def test_pod_and_crash_jobs(spark, events, tmp_path):
@@ -221,6 +260,42 @@ def test_backfill(spark, sf_dir, tmp_path):
                       target, log, date(1996, 1, 1), date(1996, 2, 1))
 
 
+def test_backfill_goes_on_where_it_stopped(spark, sf_dir, tmp_path):
+    table = fx.workflow_table(spark, sf_dir)
+    start, end = date(1997, 1, 1), date(1997, 1, 11)
+    inside = transfer.in_range(F.col("create_time"), datetime(1997, 1, 1), datetime(1997, 1, 11))
+    days = sorted({r[0] for r in table.filter(inside).select(F.to_date("create_time")).collect()})
+
+    class Stopping(FolderBackfill):
+        left = 2
+
+        def read(self, spark, predicates):
+            if self.left == 0:
+                raise InterruptedError
+            self.left -= 1
+            self.days = [*getattr(self, "days", []), predicates[0]]
+            return super().read(spark, predicates)
+
+    target, log = str(tmp_path / "t"), str(tmp_path / "log")
+    args = (start, end, target, log)
+    with pytest.raises(InterruptedError):
+        jobs.backfill(spark, Stopping(table), *args, shape=replication.to_lake_workflow)
+    second = Stopping(table)
+    second.left = 99
+    jobs.backfill(spark, second, *args, shape=replication.to_lake_workflow)
+    assert len(second.days) == len(days) - 2  # the finished days are not read again
+    want = rows(table.filter(inside), "workflow_id")
+    assert rows(lake_table(spark, target), "workflow_id") == want
+    # after a verified run all days are copied again; a day that the source lost is emptied
+    fewer = Stopping(table.filter(F.to_date("create_time") != F.lit(days[0])))
+    fewer.left = 99
+    for _ in range(2):
+        jobs.backfill(spark, fewer, *args, shape=replication.to_lake_workflow)
+    assert len(fewer.days) == 2 * (len(days) - 1)
+    assert lake_table(spark, target).filter(F.col("day") == F.lit(days[0])).count() == 0
+    assert lake_table(spark, target).count() == fewer.table.filter(inside).count()
+
+
 def test_full_copy_and_checks(spark, sf_dir, tmp_path):
     children = fx.result_table(spark, sf_dir)
     jobs.full_copy(children, str(tmp_path / "full"))
