@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -49,6 +50,11 @@ ENDS = {
 IN_HEAD = HIDDEN | {"html", "head", "noscript"}
 #: Tables nested deeper than this are laid out as blocks.
 MOST_NESTED = 40
+#: Characters of a column beyond which a cell's text goes on in another line, and of a whole table
+#: beyond which its cells are not aligned. Both keep a page's text in proportion to the page.
+COLUMN_WIDTH, TABLE_WIDTH = 80, 400
+#: The most columns and rows that a cell can span.
+MOST_COLUMNS, MOST_ROWS = 1000, 65_534
 
 # a quote opens a value only right after the equals sign; elsewhere it is a letter like others
 _VALUE = (r"[ \t\n\r\f]*+=[ \t\n\r\f]*+"
@@ -60,8 +66,9 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(rf"({_NAME})(?:{_VALUE.format('(', ')')})?+")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 _NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-_READ = re.compile(r"style|hidden|open|start", re.I)
+_READ = re.compile(r"style|hidden|open|start|span", re.I)
 _START = re.compile(r"\s*(-?\d{1,9})")
+_SPAN = re.compile(r"\s*\+?(\d{1,9})")
 
 
 class Node:
@@ -249,24 +256,124 @@ def _cells(table: Node) -> tuple[list[list[Node]], list]:
     return rows, others
 
 
+def _span(cell: Node, name: str, most: int, endless: int) -> int:
+    found = _SPAN.match(cell.values().get(name, ""))
+    return 1 if not found else min(int(found[1]), most) or endless
+
+
+def _joined(spans: list[list[int]]) -> list[list[int]]:
+    """Neighbouring or overlapping spans that reach down to the same row as one, in order."""
+    out: list[list[int]] = []
+    for start, end, down in sorted(spans):
+        if out and out[-1][2] == down and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end, down])
+    return out
+
+
+def _grid(rows: list[list[Node]]) -> list[list[tuple[int, int, Node]]]:
+    """The cells of each row with their first column and the column behind their last.
+
+    A cell takes the first column that no cell above reaches down to.
+    """
+    out: list[list[tuple[int, int, Node]]] = []
+    held: list[list[int]] = []  # columns taken from above: first, behind the last, last row
+    for number, row in enumerate(rows):
+        if any(down < number for _, _, down in held):
+            held = _joined([span for span in held if span[2] >= number])
+        cells, column, at, more = [], 0, 0, []
+        for cell in row:
+            while at < len(held) and held[at][0] <= column:
+                column = max(column, held[at][1])
+                at += 1
+            end = column + _span(cell, "colspan", MOST_COLUMNS, 1)
+            down = number + _span(cell, "rowspan", MOST_ROWS, MOST_ROWS) - 1
+            if down > number:
+                more.append([column, end, min(down, len(rows))])
+            cells.append((column, end, cell))
+            column = end
+        if more:
+            held = _joined(held + more)
+        out.append(cells)
+    return out
+
+
+def _wrapped(text: str, width: int) -> list[str]:
+    """The text in lines of at most ``width``; a longer word has a line of its own."""
+    if len(text) <= width:
+        return [text]
+    lines, line, size = [], [], -1
+    for word in text.split(" "):
+        if line and size + 1 + len(word) > width:
+            lines.append(" ".join(line))
+            line, size = [], -1
+        line.append(word)
+        size += 1 + len(word)
+    return [*lines, " ".join(line)]
+
+
+def _widths(rows: list[list[tuple[int, int, str]]], starts: list[int]) -> list[int]:
+    """How wide each column is; cells of several columns widen the last of them if need be."""
+    widths, spanning = [0] * len(starts), []
+    for row in rows:
+        for start, end, text in row:
+            first, last = bisect_left(starts, start), bisect_left(starts, end) - 1
+            if first == last:
+                widths[first] = max(widths[first], min(len(text), COLUMN_WIDTH))
+            else:
+                spanning.append((last - first, first, last, len(text)))
+    for _, first, last, size in sorted(spanning):
+        missing = size - sum(widths[first:last + 1]) - 2 * (last - first)
+        widths[last] = max(widths[last], min(widths[last] + missing, COLUMN_WIDTH))
+    return widths
+
+
 def _lay_table(page: Page, table: Node, nested: int) -> None:
-    """Cells of a column begin at the same place, two spaces after the widest one before."""
-    rows, others = _cells(table)
+    """Cells of a column begin at the same place, two spaces after the widest one before.
+
+    A table with a column in use for each start of a cell; columns that cells only span take no
+    room. One that is wider than ``TABLE_WIDTH`` has its cells side by side, not aligned.
+    """
+    cells, others = _cells(table)
     page.block(2)
     for node in others:
         _walk(page, [node], nested)
         page.block(1)
-    texts = [[_SPACES.sub(" ", render(c.children, nested + 1)) for c in row] for row in rows]
-    widths = [max(len(r[k]) for r in texts if len(r) > k)
-              for k in range(max(map(len, texts), default=0))]
-    for row in texts:
-        line = "  ".join(t.ljust(w) for t, w in zip(row, widths)).rstrip()
-        if line:
+    rows = [[(start, end, _SPACES.sub(" ", render(c.children, nested + 1)))
+             for start, end, c in row] for row in _grid(cells)]
+    starts = sorted({start for row in rows for start, _, _ in row})
+    widths = _widths(rows, starts) if len(starts) <= TABLE_WIDTH else [TABLE_WIDTH]
+    if sum(widths) + 2 * len(widths) > TABLE_WIDTH:
+        lines = ["  ".join(text for _, _, text in row).rstrip() for row in rows]
+    else:
+        offsets = [sum(widths[:k]) + 2 * k for k in range(len(widths) + 1)]
+        lines = [line for row in rows for line in _row_lines(row, starts, offsets)]
+    for line in lines:
+        if line.strip():
             page.block(1)
             page.put(line)
     page.block(2)
 
 
+def _row_lines(row: list[tuple[int, int, str]], starts: list[int],
+               offsets: list[int]) -> Iterator[str]:
+    """The lines of a row, each cell's from the offset of its column."""
+    placed = []
+    for start, end, text in row:
+        first, last = bisect_left(starts, start), bisect_left(starts, end)
+        width = offsets[last] - 2 - offsets[first]
+        placed.append((offsets[first], _wrapped(text, max(width, 1))))
+    for number in range(max((len(lines) for _, lines in placed), default=0)):
+        line = ""
+        for offset, lines in placed:
+            if number < len(lines) and lines[number]:
+                if len(line) + 2 > offset and line:
+                    line += "  "  # a word beyond its column
+                line = line.ljust(offset) + lines[number]
+        yield line
+
+
 def _walk(page: Page, nodes: list, nested: int, pre: bool = False) -> None:
     """Emit the nodes in order; the path is a list of its own, so depth is not bounded."""
     todo: list = [("node", n, pre) for n in reversed(nodes)]
@@ -330,7 +437,9 @@ def visible_text(page: str | None) -> str:
 def extract(pages: DataFrame, id_column: str = "page_id", html_column: str = "html") -> DataFrame:
     """``page_id``, ``text`` and ``n_lines`` of every page; other columns are not read.
 
-    Pages are independent: repeated rows get equal texts, null and empty pages an empty one.
+    Pages are independent: repeated rows get equal texts, null and empty pages an empty one. A very
+    long page is read whole; its text is at most some tens of times as long as the page, where short
+    rows stand far to the right in a table. An empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

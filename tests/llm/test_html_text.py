@@ -1,6 +1,7 @@
 """HTML extraction: implied tags, visibility, layout, odd markup."""
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pytest
@@ -59,6 +60,40 @@ def test_stray_quotes(page, text):
     assert visible_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<table><tr><td>name<td colspan=2>both<td>end<tr><td>x<td>left<td>right<td>z</table>",
+     "name  both         end\nx     left  right  z"),
+    ("<table><tr><td rowspan=2>two rows<td>a<tr><td>b<tr><td>c<td>d</table>",
+     "two rows  a\n          b\nc         d"),
+    ("<table><tr><td rowspan=0>all<td>a<tr><td>b<tr><td>c</table>", "all  a\n     b\n     c"),
+    ("<table><tr><td rowspan=2 colspan=2>big<td>1<tr><td>2<tr><td>x<td>y<td>3</table>",
+     "big   1\n      2\nx  y  3"),
+    ("<table><tr><td colspan=3>a long heading over all<tr><td>a<td>b<td>c</table>",
+     "a long heading over all\na  b  c"),
+    ("<table><tr><td colspan=900>a<td>b<tr><td>c</table>", "a  b\nc"),
+    ("<table><tr><td colspan=0 rowspan=x>a<td>b<tr><td>c<td>d</table>", "a  b\nc  d"),
+    (f"<table><tr><td>k<td>{'word ' * 30}<td>z<tr><td>key<td>v<td>w</table>",
+     f"k    {'word ' * 16}  z\n     {('word ' * 14).strip()}\nkey  v{' ' * 81}w"),
+    (f"<table><tr><td>{'y' * 100}<td>z<tr><td>a<td>b</table>",
+     f"{'y' * 100}  z\na{' ' * 81}b"),
+])
+def test_spans_and_wrapped_cells(page, text):
+    assert visible_text(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<table><tr><td>" + "x " * 50_000 + "".join("<tr><td>a<td>b" for _ in range(1_000)),
+    "<table><tr>" + "<td>" + "y" * 100_000 + "".join("<tr><td>a<td>b" for _ in range(1_000)),
+    "<table><tr>" + "<td>wide cell here" * 3_000 + "<tr>" + "<td>" * 2_999 + "<td>" + "x " * 9_000,
+    "<table><tr>" + "<td rowspan=60000 colspan=1000>" * 900 + "<tr><td>x" * 5_000,
+    "<table><tr>" + "<td rowspan=60000>abcdefgh" * 39 + "<tr><td>x" * 5_000])
+def test_text_in_proportion_to_the_page(page):
+    text = visible_text(page)
+    assert len(text) <= 50 * len(page)
+    want = Counter(c for c in re.sub("<[^>]*>", "", page) if c != " ")
+    assert Counter(c for c in text if c not in " \n") == want
+
+
 def test_deep_and_long_pages():
     assert visible_text("<div>" * 100_000 + "x") == "x"
     assert visible_text("<table><tr><td>" * 200 + "x").split() == ["x"]
