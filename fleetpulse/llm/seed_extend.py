@@ -36,7 +36,7 @@ GROUP_BYTES, BUCKET_BYTES = 3 << 20, 10 << 20
 #: Words that are hashed in one step; a word of so many bytes is hashed on its own.
 HASHED_TOGETHER, LONG_WORD = 1 << 18, 1 << 10
 
-_PLACE_BITS = 28
+_PLACE_BITS = 32  # a cell of a column has fewer words than that
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 _SEEDS = "seed long, member long"  # group in the upper 32 bits, its occurrences (1 or 2) in the lower
@@ -84,8 +84,6 @@ def seeds(runs: Runs, bounds: np.ndarray, length: int, seed: int):
     n = int(bounds[-1])
     if n < length:
         return none, none, none.astype("uint64")
-    if n >= 1 << _PLACE_BITS:
-        raise ValueError("a group of texts has too many words for one step")
     hashes = runs.of(np.arange(n - seed + 1), seed)
     low = np.uint64((1 << _PLACE_BITS) - 1)
     least = (hashes & ~low) | np.arange(len(hashes), dtype="uint64")

@@ -29,8 +29,8 @@ from fleetpulse.llm.arrowtext import span_hashes, text_bytes
 from fleetpulse.llm.common import text_of
 from fleetpulse.llm.window_order import LENGTH, gather, merge_windows, stretches
 
-#: Bytes of text in a group of documents; at most so many groups are made, then they grow.
-GROUP_BYTES, MOST_GROUPS = 3 << 20, 250_000
+#: Bytes of text in a group of documents.
+GROUP_BYTES = 3 << 20
 #: Bytes of text for each bucket of anchors that one task merges.
 BUCKET_BYTES = 10 << 20
 #: Bits of an anchor's hash beyond those that number all anchors: few are equal by chance.
@@ -64,14 +64,15 @@ class _Group:
         if isinstance(texts, pa.ChunkedArray):
             texts = pa.concat_arrays(texts.chunks) if texts.num_chunks else pa.array([], pa.string())
         self.data, self.offsets = text_bytes(texts)
-        first, last, anchor, rows = stretches(self.data, self.offsets)
+        first, last, anchor, at, rows = stretches(self.data, self.offsets)
         taken = ~self.copy[rows]
         self.first, self.last, self.rows = first[taken], last[taken], rows[taken]
+        self.at = at[taken]
         self.anchor = (anchor[taken] >> np.uint64(64 - bits)).astype("int64")
 
     def keep(self, mask: np.ndarray) -> None:
-        self.first, self.last, self.rows, self.anchor = (
-            x[mask] for x in (self.first, self.last, self.rows, self.anchor))
+        self.first, self.last, self.rows, self.anchor, self.at = (
+            x[mask] for x in (self.first, self.last, self.rows, self.anchor, self.at))
 
     def contexts(self):
         """Bytes and offsets of the stretches' contexts, and a key for each."""
@@ -80,7 +81,8 @@ class _Group:
 
 
     def windows(self, mask: np.ndarray):
-        """Places, anchors, rows and keys of the single windows of the stretches in ``mask``."""
+        """Places, anchors and their places, rows and keys of the single windows of the stretches in
+        ``mask``."""
         count = (self.last - self.first + 1)[mask]
         inner = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
         starts = np.repeat(self.first[mask], count) + inner
@@ -89,7 +91,8 @@ class _Group:
             some = starts[a:a + HASHED_TOGETHER]
             data, offsets = gather(self.data, some, np.full(len(some), LENGTH))
             keys[a:a + len(some)] = span_hashes(data, offsets[:-1], offsets[1:]).view("int64")
-        return starts, np.repeat(self.anchor[mask], count), np.repeat(self.rows[mask], count), keys
+        anchor, at, rows = (np.repeat(x[mask], count) for x in (self.anchor, self.at, self.rows))
+        return starts, anchor, at, rows, keys
 
 
 def _right(table: pa.Table, kind: str) -> pa.Table:
@@ -104,21 +107,23 @@ def _firsts(keys: np.ndarray, docs: np.ndarray):
     return place, least, number
 
 
-def _pack(anchor: np.ndarray, least: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> bytes:
+def _pack(anchor: np.ndarray, least: np.ndarray, at: np.ndarray, data: np.ndarray,
+          offsets: np.ndarray) -> bytes:
     """Contexts of one group and bucket as one compressed piece."""
     head = np.array([len(anchor)], dtype="int64")
     lengths = np.diff(offsets).astype("int16")
-    return zlib.compress(b"".join(x.tobytes() for x in (head, anchor, least, lengths, data)), 1)
+    parts = (head, anchor, least, lengths, at.astype("uint8"), data)
+    return zlib.compress(b"".join(x.tobytes() for x in parts), 1)
 
 
 def _unpack(packed: bytes):
-    """Anchors, least documents, lengths and bytes of the contexts of a piece."""
+    """Anchors, least documents, lengths, anchors' places and bytes of the contexts of a piece."""
     raw = np.frombuffer(zlib.decompress(packed), dtype="uint8")
     n = int(raw[:8].view("int64")[0])
-    cuts = 8 + np.cumsum([0, 8 * n, 8 * n, 2 * n])
-    anchor, least, lengths = (raw[a:b].copy().view(t) for a, b, t in zip(
-        cuts[:-1], cuts[1:], ("int64", "int64", "int16")))
-    return anchor, least, lengths.astype("int64"), raw[cuts[-1]:]
+    cuts = 8 + np.cumsum([0, 8 * n, 8 * n, 2 * n, n])
+    anchor, least, lengths, at = (raw[a:b].copy().view(t) for a, b, t in zip(
+        cuts[:-1], cuts[1:], ("int64", "int64", "int16", "uint8")))
+    return anchor, least, lengths.astype("int64"), at.astype("int64"), raw[cuts[-1]:]
 
 
 def _merge_bucket(table: pa.Table) -> pa.Table:
@@ -128,7 +133,7 @@ def _merge_bucket(table: pa.Table) -> pa.Table:
     """
     single = table["bucket"][0].as_py() < 0
     parts = [_unpack(p) for p in table["packed"].to_pylist()]
-    anchors, least, lengths, data = (np.concatenate(x) for x in zip(*parts))
+    anchors, least, lengths, anchor_at, data = (np.concatenate(x) for x in zip(*parts))
     groups = np.repeat(table["grp"].to_numpy(), [len(p[0]) for p in parts])
     offsets = np.r_[0, np.cumsum(lengths)]
     keys = span_hashes(data, offsets[:-1], offsets[1:]).view("int64")
@@ -141,7 +146,8 @@ def _merge_bucket(table: pa.Table) -> pa.Table:
     ends = np.flatnonzero(np.r_[ordered[1:] != ordered[:-1], True]) + 1
     done = np.cumsum(windows)
     begin = 0
-    least_of = np.empty(int(windows.sum()), dtype="int64")  # by context, then window
+    least_of = np.repeat(first_doc, np.diff(offsets) - LENGTH + 1)  # by context, then window
+    number_of = np.cumsum(np.r_[False, ordered[1:] != ordered[:-1]]) if len(ordered) else ordered
     window_at = np.zeros(len(place) + 1, dtype="int64")
     np.cumsum(np.diff(offsets) - LENGTH + 1, out=window_at[1:])
     while begin < len(by_anchor):
@@ -152,10 +158,14 @@ def _merge_bucket(table: pa.Table) -> pa.Table:
         count = np.diff(offsets)[some] - LENGTH + 1
         inner = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
         starts = np.repeat(offsets[:-1][some], count) + inner
-        order, interval = merge_windows(data, starts)
-        docs = np.repeat(first_doc[some], count)[order]
-        low = np.minimum.reduceat(docs, np.flatnonzero(np.r_[True, interval[1:] != interval[:-1]]))
-        least_of[(np.repeat(window_at[some], count) + inner)[order]] = low[interval]
+        order, interval = merge_windows(
+            data, starts, np.repeat(number_of[begin:end] - number_of[begin], count),
+            np.repeat(anchor_at[place][some], count) - inner)
+        if len(order):
+            docs = np.repeat(first_doc[some], count)[order]
+            low = np.minimum.reduceat(
+                docs, np.flatnonzero(np.r_[True, interval[1:] != interval[:-1]]))
+            least_of[(np.repeat(window_at[some], count) + inner)[order]] = low[interval]
         begin = end
     # tell each group of each context the windows whose first document it doesn't hold
     count = (np.diff(offsets) - LENGTH + 1)[number]
@@ -181,7 +191,7 @@ def _covered(group: _Group, replies: pa.Table) -> np.ndarray:
     """Bytes of the group that a string of an earlier document covers."""
     single = replies.filter(pa.compute.less(replies["low"], 0))
     replies = replies.filter(pa.compute.greater_equal(replies["low"], 0))
-    starts, _, rows, keys = group.windows(np.isin(group.anchor, single["anchor"].to_numpy()))
+    starts, _, _, rows, keys = group.windows(np.isin(group.anchor, single["anchor"].to_numpy()))
     told, at = np.unique(single["key"].to_numpy(), return_index=True)
     at = at[np.minimum(np.searchsorted(told, keys), len(told) - 1)] if len(told) else keys
     hit = ((single["key"].to_numpy()[at] == keys)
@@ -229,7 +239,7 @@ def dedup(docs: DataFrame, group_bytes: int = GROUP_BYTES,
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("ord"),
         F.monotonically_increasing_id().alias("row"))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    groups = max(1, min(MOST_GROUPS, math.ceil(size / group_bytes)))
+    groups = max(1, math.ceil(size / group_bytes))
     buckets = max(1, math.ceil(size / bucket_bytes))
     bits = min(62, max(24, math.ceil(math.log2(size + 2)) - 4 + SPARE_BITS))
     grp = F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias("grp")
@@ -266,7 +276,7 @@ def dedup(docs: DataFrame, group_bytes: int = GROUP_BYTES,
         if not left.num_rows:
             return pa.Table.from_arrays([pa.array([], t) for t in types], names=names)
         group = open_group(left, right)
-        starts, anchor, rows, keys = group.windows(
+        starts, anchor, at, rows, keys = group.windows(
             np.isin(group.anchor, _right(right, "hot")["a"].to_numpy()))
         docs = group.doc[rows]
         place, least, number = _firsts(keys, docs)
@@ -275,18 +285,20 @@ def dedup(docs: DataFrame, group_bytes: int = GROUP_BYTES,
         np.maximum.at(most, number, docs)
         place, least = (np.r_[x, y[most > least]] for x, y in ((place, place), (least, most)))
         single = -1 - (keys[place].view("uint64") % np.uint64(buckets)).astype("int64")
-        parts = [(starts[place], np.full(len(place), LENGTH), anchor[place], least, single)]
+        parts = [(starts[place], np.full(len(place), LENGTH), anchor[place], least,
+                  (at - starts)[place], single)]
         group.keep(np.isin(group.anchor, _right(right, "anchor")["a"].to_numpy()))
         place, least, _ = _firsts(group.contexts()[2], group.doc[group.rows])
         anchor = group.anchor[place]
         parts.append((group.first[place], (group.last - group.first)[place] + LENGTH, anchor, least,
-                      anchor % buckets))
-        first, length, anchor, least, bucket = (np.concatenate(x) for x in zip(*parts))
+                      (group.at - group.first)[place], anchor % buckets))
+        first, length, anchor, least, at, bucket = (np.concatenate(x) for x in zip(*parts))
         by_bucket = np.argsort(bucket, kind="stable")
-        first, length, anchor, least, bucket = (
-            x[by_bucket] for x in (first, length, anchor, least, bucket))
+        first, length, anchor, least, at, bucket = (
+            x[by_bucket] for x in (first, length, anchor, least, at, bucket))
         edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
-        packed = [_pack(anchor[a:b], least[a:b], *gather(group.data, first[a:b], length[a:b]))
+        packed = [_pack(anchor[a:b], least[a:b], at[a:b],
+                        *gather(group.data, first[a:b], length[a:b]))
                   for a, b in zip(edges, [*edges[1:], len(bucket)])]
         return pa.Table.from_arrays([
             pa.array(bucket[edges].astype("int32") if len(edges) else [], pa.int32()),

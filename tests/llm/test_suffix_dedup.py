@@ -1,6 +1,7 @@
 """Suffix dedup against every string of every text; merged order against sorted windows."""
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import odd
@@ -84,16 +85,37 @@ def test_runs_of_one_letter(spark):
     assert odd.rows(suffix_dedup.dedup(docs, 100, 200)) == brute(docs)
 
 
-def test_merged_order():
-    rng = np.random.default_rng(0)
-    data = rng.integers(97, 99, 4000).astype("uint8")
-    data[2000:2200] = data[100:300]
-    starts = np.arange(len(data) - 49)
-    order, interval = window_order.merge_windows(data, starts)
+@pytest.mark.parametrize("letters,copies", [(2, 1), (26, 3), (1, 0)])
+def test_merged_order(letters, copies):
+    """Windows with equals come back, equal ones side by side; those alone drop out."""
+    rng = np.random.default_rng(letters)
+    data = rng.integers(97, 97 + letters, 4000).astype("uint8")
+    for k in range(copies):
+        data[2000 + 400 * k:2200 + 400 * k] = data[100:300]
+    first, last, anchor, at, _ = window_order.stretches(data, np.array([0, len(data)]))
+    count = last - first + 1
+    starts = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    numbers = np.unique(anchor, return_inverse=True)[1]
+    order, interval = window_order.merge_windows(
+        data, starts, np.repeat(numbers, count), np.repeat(at, count) - starts)
     windows = [data[s:s + 50].tobytes() for s in starts]
-    assert [windows[i] for i in order] == sorted(windows)
-    numbers = {w: n for n, w in enumerate(sorted(set(windows)))}
-    assert interval.tolist() == [numbers[windows[i]] for i in order]
+    often = {w for w, n in Counter(windows).items() if n > 1}
+    assert sorted(order.tolist()) == [i for i, w in enumerate(windows) if w in often]
+    assert len(set(interval.tolist())) == len(often)
+    assert len({(windows[i], n) for i, n in zip(order, interval.tolist())}) == len(often)
+    assert (np.diff(interval) >= 0).all()
+
+
+def test_many_anchors():
+    """More anchors than one dealing tells apart."""
+    rng = np.random.default_rng(1)
+    data = rng.integers(97, 123, 200_000).astype("uint8")
+    starts = np.arange(0, 199_000, 2)
+    starts = np.r_[starts, starts]
+    numbers = np.r_[np.arange(len(starts) // 2), np.arange(len(starts) // 2)]
+    order, interval = window_order.merge_windows(data, starts, numbers, np.zeros(len(starts), int))
+    assert len(order) == len(starts) and interval[-1] == len(starts) // 2 - 1
+    assert (starts[order[::2]] == starts[order[1::2]]).all()
 
 
 def test_equal_windows_have_equal_anchors():
@@ -103,7 +125,7 @@ def test_equal_windows_have_equal_anchors():
                             rng.integers(97, 123, 30).astype("uint8")]) for n in (0, 13, 57)]
     offsets = np.r_[0, np.cumsum([len(r) for r in rows])]
     data = np.concatenate(rows)
-    first, last, anchor, row = window_order.stretches(data, offsets)
+    first, last, anchor, _, row = window_order.stretches(data, offsets)
     of_window = {}
     for a, b, h in zip(first, last, anchor):
         for s in range(a, b + 1):
