@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 # Rows per range, slice of one plan, lag of the daily copy, retention, in days.
 RANGE_ROWS = 5000
@@ -122,16 +124,36 @@ def page(df: DataFrame, order: list[str], limit: int, offset: int) -> DataFrame:
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
+def _any_value(kind: DataType) -> Column:
+    """A value of a type that is not null."""
+    if isinstance(kind, ArrayType):
+        return F.array().cast(kind)
+    if isinstance(kind, MapType):
+        return F.map_from_arrays(F.array().cast(ArrayType(kind.keyType)),
+                                 F.array().cast(ArrayType(kind.valueType)))
+    if isinstance(kind, StructType):
+        return F.struct(*((F.lit(None).cast(f.dataType) if f.nullable else _any_value(f.dataType))
+                          .alias(f.name) for f in kind.fields))
+    name = kind.typeName()
+    if "timestamp" in name:
+        return F.lit(datetime(1970, 1, 1)).cast(kind)
+    if name == "date":
+        return F.lit(date(1970, 1, 1))
+    if name == "decimal":
+        return F.lit(Decimal(0)).cast(kind)
+    if name == "binary":
+        return F.lit("").cast(kind)
+    return F.lit(0).cast(kind)
+
+
 def require_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Declare columns non-nullable; a null in one of them fails the job.
+    """Declare columns of any type non-nullable; a null in one of them fails the job.
 
     The check and the declaration are one expression: the constant behind it is never reached.
     """
     def checked(c):
         kind = df.schema[c].dataType
         fail = F.raise_error(F.lit(f"null in {c}")).cast(kind)
-        unreached = F.lit(datetime(1970, 1, 1)) if "timestamp" in kind.typeName() else F.lit(0)
-        return F.coalesce(
-            F.when(F.col(c).isNull(), fail).otherwise(F.col(c)), unreached.cast(kind))
+        return F.coalesce(F.when(F.col(c).isNull(), fail).otherwise(F.col(c)), _any_value(kind))
 
     return df.withColumns({c: checked(c) for c in columns})

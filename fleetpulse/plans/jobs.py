@@ -396,6 +396,63 @@ def full_copy(children: DataFrame, target: str) -> None:
     tables.overwrite_parts(text, target, ["day"])
 
 
+@dataclass(frozen=True)
+class Source:
+    """A table (or join) of a database, read in parallel by equal parts of its ``time``.
+
+    ``source`` and ``columns`` are the source's SQL. ``part_rows`` is what one task reads where rows
+    are spread evenly over time.
+    """
+
+    url: str
+    properties: Mapping[str, str]
+    source: str
+    columns: str
+    time: str
+    part_rows: int = 1_000_000
+
+    def _options(self) -> dict[str, str]:
+        return jdbc.jdbc_options(self.url, self.properties)
+
+    def count(self, spark: SparkSession) -> int:
+        return jdbc.count_rows(spark, self._options(), jdbc.count_query(self.source))
+
+    def whole(self, spark: SparkSession) -> DataFrame:
+        """All rows: one task for each ``part_rows`` of them, by equal parts of the time span."""
+        query = f"(SELECT {self.columns} FROM {self.source}) t"
+        parts = -(-self.count(spark) // self.part_rows)
+        span = jdbc.table(spark, self._options(), jdbc.bounds_query(self.source, self.time)).first()
+        if parts < 2 or span is None or span["lower"] is None:
+            return jdbc.table(spark, self._options(), query)
+        lower, upper = (span[c].strftime(jdbc.TIME_LITERAL) for c in ("lower", "upper"))
+        column = self.time.rsplit(".", 1)[-1]
+        return jdbc.split_table(spark, self._options(), query, column, lower, upper, parts)
+
+    def day(self, spark: SparkSession, as_of: date, lag_days: int) -> DataFrame:
+        """The rows of one day; the range and the join run at the source."""
+        first, last = transfer.day_bounds(as_of, lag_days)
+        return jdbc.table(spark, self._options(), jdbc.range_query(
+            self.columns, self.source, self.time, first, last))
+
+
+def full_copy_from(spark: SparkSession, source: Source, target: str) -> DataFrame:
+    """``full_copy`` out of a database; the counts of both sides after it, with ``match``."""
+    full_copy(source.whole(spark), target)
+    return spark.createDataFrame(
+        [(source.count(spark), lake.lake_table(spark, target).count())],
+        "n_source bigint, n_target bigint").withColumn(
+        "match", F.col("n_source") == F.col("n_target"))
+
+
+def daily_copy_from(
+    spark: SparkSession, parents: Source, children: Source, parent_target: str, child_target: str,
+    as_of: date, lag_days: int = transfer.COPY_LAG_DAYS,
+) -> None:
+    """``daily_copy`` out of a database: ``children`` is the join with its parents, by their time."""
+    daily_copy(parents.day(spark, as_of, lag_days), children.day(spark, as_of, lag_days),
+               parent_target, child_target, as_of, lag_days)
+
+
 def retention(
     spark: SparkSession, parent_table: str, child_table: str, as_of: date,
     staging: str | None = None, keep_days: int = transfer.KEEP_DAYS,
@@ -439,6 +496,14 @@ def check_results(source: DataFrame, copy: DataFrame) -> DataFrame:
     return reconcile.compare_fields(source, copy, "id", schemas.RESULT_TABLE.fieldNames())
 
 
+def check_statistics_tables(
+    spark: SparkSession, left: str, right: str, start: str, end: str
+) -> DataFrame:
+    """``check_statistics`` of the statistics tables of two environments, by name or path."""
+    return check_statistics(
+        lake.lake_table(spark, left), lake.lake_table(spark, right), start, end)
+
+
 def check_statistics(left: DataFrame, right: DataFrame, start: str, end: str) -> DataFrame:
     """Two environments' daily statistics of a date range, largest surplus last."""
     return reconcile.worst_last(reconcile.compare_totals(

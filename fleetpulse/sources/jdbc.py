@@ -51,11 +51,18 @@ def table(spark: SparkSession, options: Mapping[str, str], name_or_query: str) -
     return spark.read.format("jdbc").options(**options).option("dbtable", name_or_query).load()
 
 
+def bounds_query(source: str, column: str) -> str:
+    return f"(SELECT MIN({column}) AS lower, MAX({column}) AS upper FROM {source}) t"
+
+
 def split_table(
     spark: SparkSession, options: Mapping[str, str], name_or_query: str,
     column: str, lower: str, upper: str, partitions: int,
 ) -> DataFrame:
-    """Whole table in equal parts of one column, read in parallel."""
+    """Whole table in equal parts of one column, read in parallel.
+
+    Rows with a null there, or beyond the bounds, are in the first and last parts.
+    """
     return (
         spark.read.format("jdbc").options(**options).option("dbtable", name_or_query)
         .option("partitionColumn", column).option("lowerBound", lower)

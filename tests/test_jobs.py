@@ -260,6 +260,53 @@ def test_backfill(spark, sf_dir, tmp_path):
                       target, log, date(1996, 1, 1), date(1996, 2, 1))
 
 
+def test_copies_out_of_a_database(spark, sf_dir, tmp_path, monkeypatch):
+    """The queries and options of whole and daily copies, with tables standing in for the database."""
+    workflows, results = fx.workflow_table(spark, sf_dir), fx.result_table(spark, sf_dir)
+    asked = []
+
+    def table(spark, options, query):
+        asked.append(query)
+        assert options["url"] == "jdbc:x" and options["user"] == "u"
+        rows_in = results if "results" in query else workflows
+        if "COUNT(*)" in query:
+            return rows_in.agg(F.count("*").alias("n"))
+        if "MIN(" in query:
+            return rows_in.agg(F.min("create_time").alias("lower"), F.max("create_time").alias("upper"))
+        first, last = transfer.day_bounds(date(1997, 3, 5), 31)
+        chosen = workflows.filter(transfer.in_range(F.col("create_time"), first, last))
+        return chosen if "results" not in query else transfer.children_in(
+            results, chosen, "workflow_id_id", "workflow_id")
+
+    split = {}
+
+    def split_table(spark, options, query, column, lower, upper, parts):
+        split.update(query=query, column=column, lower=lower, upper=upper, parts=parts)
+        return results
+
+    monkeypatch.setattr(jobs.jdbc, "table", table)
+    monkeypatch.setattr(jobs.jdbc, "split_table", split_table)
+    source = jobs.Source("jdbc:x", {"user": "u"}, "results r", "r.*", "r.create_time", 1_000)
+    counts = jobs.full_copy_from(spark, source, str(tmp_path / "full")).collect()
+    n = results.count()
+    assert [tuple(r) for r in counts] == [(n, n, True)]
+    assert split["column"] == "create_time" and split["parts"] == -(-n // 1_000)
+    assert split["query"] == "(SELECT r.* FROM results r) t" and split["lower"] < split["upper"]
+
+    parents = jobs.Source("jdbc:x", {"user": "u"}, "workflows", "*", "create_time")
+    joined = jobs.Source("jdbc:x", {"user": "u"}, "results r JOIN workflows w ON r.w = w.id", "r.*",
+                         "w.create_time")
+    asked.clear()
+    jobs.daily_copy_from(spark, parents, joined, str(tmp_path / "wf"), str(tmp_path / "res"),
+                         date(1997, 3, 5), 31)
+    first, last = transfer.day_bounds(date(1997, 3, 5), 31)
+    assert all(f"create_time >= '{first:%Y-%m-%d}" in q and f"< '{last:%Y-%m-%d}" in q for q in asked)
+    chosen = workflows.filter(transfer.in_range(F.col("create_time"), first, last))
+    assert chosen.count() == lake_table(spark, str(tmp_path / "wf")).count() > 0
+    kids = transfer.children_in(results, chosen, "workflow_id_id", "workflow_id")
+    assert lake_table(spark, str(tmp_path / "res")).count() == kids.count()
+
+
 def test_backfill_goes_on_where_it_stopped(spark, sf_dir, tmp_path):
     table = fx.workflow_table(spark, sf_dir)
     start, end = date(1997, 1, 1), date(1997, 1, 11)

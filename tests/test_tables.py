@@ -163,6 +163,20 @@ def test_require_not_null(spark):
             transfer.require_not_null(bad, [c]).collect()
 
 
+@pytest.mark.parametrize("kind,value", [
+    ("array<int>", [1]), ("map<string,array<int>>", {"a": [1]}), ("date", date(2024, 1, 1)),
+    ("struct<a:int,b:array<string>>", (1, ["x"])), ("binary", bytearray(b"x")),
+    ("boolean", True), ("decimal(9,2)", None), ("double", 1.5),
+    ("array<struct<a:int not null,b:map<string,int>>>", [(1, {"k": 2})])])
+def test_require_not_null_of_any_type(spark, kind, value):
+    df = spark.createDataFrame([(value,)] if value is not None else [], f"v {kind}")
+    strict = transfer.require_not_null(df, ["v"])
+    assert not strict.schema["v"].nullable
+    assert strict.collect() == df.collect()
+    with pytest.raises(Exception, match="null in v"):
+        transfer.require_not_null(spark.createDataFrame([(None,)], f"v {kind}"), ["v"]).collect()
+
+
 def test_page_is_ordered(spark, sf_dir):
     orders = fx.read(spark, sf_dir, "orders")
     got = [r.o_orderkey for r in transfer.page(
