@@ -158,3 +158,59 @@ def test_a_delete_in_days_that_stops_is_finished(spark, tmp_path, monkeypatch, c
     assert rows(lake_table(spark, target), "id", "day") == {
         (i, "abc"[i % 3]): 1 for i in range(30) if i % 3 and i != 4}
     assert Files(spark, staging).names("") == []
+
+
+class Live:
+    """A source table and its log; a few changes happen at every call."""
+
+    def __init__(self, spark):
+        self.spark, self.r, self.log = spark, random.Random(3), []
+        self.rows = {i: (0, "start") for i in range(60)}
+        self.reads = []
+
+    def change(self, n):
+        for _ in range(n):
+            key, at = self.r.randrange(70), len(self.log) + 1
+            self.rows[key] = (at, f"v{at}")
+            self.log.append((key, at, f"v{at}"))
+
+    def position(self):
+        at = len(self.log)
+        self.change(3)  # between the position and the read
+        return at
+
+    def read(self, lower, upper):
+        self.reads.append(lower)
+        inside = [(k, v) for k, (_, v) in self.rows.items()
+                  if (lower is None or k >= lower) and (upper is None or k < upper)]
+        self.change(4)  # between the read and the next position
+        return self.spark.createDataFrame(inside, "id int, v string")
+
+
+def test_scan_beside_a_live_log(spark, tmp_path):
+    from fleetpulse.sources.changes import images_of_scan, scan_chunks
+    live, target, staging = Live(spark), str(tmp_path / "t"), str(tmp_path / "s")
+    live.change(20)
+    bounds, stop = [15, 30, 45], [3]
+
+    def position():
+        stop[0] -= 1
+        if stop[0] == 0:
+            raise Stopped
+        return live.position()
+
+    with pytest.raises(Stopped):
+        scan_chunks(spark, bounds, live.read, position, staging)
+    stop[0] = 99
+    scan = scan_chunks(spark, bounds, live.read, position, staging)
+    assert live.reads == [None, 15, 30, 45]  # the first chunk was not read again
+    lows = [r[0] for r in scan.select("low").distinct().collect()]
+    assert len(lows) == 4 and scan.filter("high <= low").isEmpty()
+    live.change(10)
+    after = [c for c in live.log if c[1] > min(lows)]
+    # the log may be applied in part before the scan, and again after it
+    tables.upsert(batch(spark, after[:15]), target, ["id"], "seq")
+    tables.upsert(images_of_scan(scan).select("id", "seq", "v"), target, ["id"], "seq")
+    tables.upsert(batch(spark, after), target, ["id"], "seq")
+    assert {r.id: r.v for r in lake_table(spark, target).collect()} == {
+        k: v for k, (_, v) in live.rows.items()}
