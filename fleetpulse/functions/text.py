@@ -12,6 +12,9 @@ LOG_MARKERS = ("A", "B", "C")
 LOG_FALLBACK = "D"
 PROBE_ERROR_MARK = "err!"
 GROUP_ALIASES = {"cp": "CP"}
+FAULT_SENTENCE = "FAULT! %s on machine %s in cluster %s found at %s."
+RECOVERY_SENTENCE = (
+    "Recovery! %s on machine %s in cluster %s recovered at %s. Fault duration: %d minutes.")
 
 
 def first_match_tag(
@@ -39,16 +42,13 @@ def name_part(c: Column, index: int, sep: str = "-") -> Column:
 
 
 def fault_text(fault_type: Column, node: Column, cluster: Column, at: Column) -> Column:
-    return F.format_string("FAULT! %s on machine %s in cluster %s found at %s.",
-                           fault_type, node, cluster, at)
+    return F.format_string(FAULT_SENTENCE, fault_type, node, cluster, at)
 
 
 def recovery_text(
     fault_type: Column, node: Column, cluster: Column, at: Column, minutes: Column
 ) -> Column:
-    return F.format_string(
-        "Recovery! %s on machine %s in cluster %s recovered at %s. Fault duration: %d minutes.",
-        fault_type, node, cluster, at, minutes)
+    return F.format_string(RECOVERY_SENTENCE, fault_type, node, cluster, at, minutes)
 
 
 def percent_difference(left: Column, right: Column) -> Column:

@@ -21,6 +21,8 @@ DONE = "successed"
 KIND = "replay"
 WORKFLOW_PART, KIND_PART = 3, 4
 RAISED_PRIORITY = 3
+# The words of a window's result.
+ALERT_WORDS, COOLING_WORDS, NORMAL_WORDS = "alert: ", "cooling, last: ", "normal: "
 
 DAY = 86_400
 
@@ -168,9 +170,9 @@ def outcome_text(outcome, n, last_alert):
     """The one-line result of a window."""
     at = times.to_text(last_alert)
     return (
-        F.when(outcome == "alert", F.concat(F.lit("alert: "), at))
-        .when(outcome == "cooling", F.concat(F.lit("cooling, last: "), at))
-        .otherwise(F.concat(F.lit("normal: "), n.cast("string")))
+        F.when(outcome == "alert", F.concat(F.lit(ALERT_WORDS), at))
+        .when(outcome == "cooling", F.concat(F.lit(COOLING_WORDS), at))
+        .otherwise(F.concat(F.lit(NORMAL_WORDS), n.cast("string")))
     )
 
 

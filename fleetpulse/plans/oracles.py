@@ -370,6 +370,15 @@ ORACLES: dict[str, str] = {
     "burst_actions": _actions("upto"),
     "burst_actions_clear_after": _actions(
         "greatest(upto - CASE outcome WHEN 'alert' THEN 1 ELSE 0 END - 1, 0)"),
+    "burst_action_records": f"""SELECT node_name, window_start, kind,
+        string_agg(target, ',' ORDER BY target) AS targets FROM ({_actions("upto")}) GROUP BY ALL""",
+    "burst_alert_records": f"""WITH RECURSIVE {_JOB}, {_CHAIN}
+        SELECT node_name, window_start, outcome,
+          CASE outcome WHEN 'alert' THEN 'burst' END AS level,
+          CASE outcome WHEN 'alert' THEN last_ts END AS time,
+          CASE outcome WHEN 'alert' THEN 'node ' || node_name || ': ' || n
+            || ' failed replays from ' || strftime(first_ts, '%Y-%m-%d %H:%M:%S') || ' to '
+            || strftime(last_ts, '%Y-%m-%d %H:%M:%S') END AS info FROM al""",
     "failures_per_day_offset": f"""SELECT
         date_trunc('day', ts + INTERVAL 8 HOUR) - INTERVAL 8 HOUR AS window_start,
         {_STATUS} AS status, count(*) AS n FROM events

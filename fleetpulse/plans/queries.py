@@ -175,6 +175,18 @@ def burst_actions_clear_after(spark, sf_dir):
     return bursts.burst_actions(failures, alerts, clear_after=True)
 
 
+def burst_action_records(spark, sf_dir):
+    """One record per node, window and kind, with all its targets."""
+    records = bursts.action_records(burst_actions(spark, sf_dir))
+    return records.withColumn("targets", F.array_join("targets", ","))
+
+
+def burst_alert_records(spark, sf_dir):
+    """Alerts with their level, time and text; windows in the cooldown have none."""
+    return bursts.alert_records(burst_alerts(spark, sf_dir)).select(
+        "node_name", "window_start", "outcome", "level", "time", "info")
+
+
 def failures_per_day_offset(spark, sf_dir):
     pods = summary.with_event_time(fx.pod_messages(spark, sf_dir))
     return summary.failures_per_window(pods).withColumn(
@@ -376,6 +388,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "burst_results": burst_results,
     "burst_actions": burst_actions,
     "burst_actions_clear_after": burst_actions_clear_after,
+    "burst_action_records": burst_action_records,
+    "burst_alert_records": burst_alert_records,
     "failures_per_day_offset": failures_per_day_offset,
     "log_tags": log_tags,
     "probe_levels": probe_levels,
