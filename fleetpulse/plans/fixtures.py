@@ -178,11 +178,15 @@ def _typed(df: DataFrame, schema, fields: dict[str, Column]) -> DataFrame:
         fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def workflow_table(spark, sf_dir, prepare=lambda df: df) -> DataFrame:
-    orders = prepare(read(spark, sf_dir, "orders"))
-    segment = read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+def workflow_table(spark, sf_dir, prepare=lambda df: df, category: bool = True) -> DataFrame:
+    """Workflows from orders; ``category`` costs a join, which can be left out (then it is null)."""
+    rows = prepare(read(spark, sf_dir, "orders"))
     status = F.col("o_orderstatus")
-    rows = orders.join(segment, F.col("o_custkey") == F.col("c_custkey"), "left")
+    if category:
+        segment = read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+        rows = rows.join(segment, F.col("o_custkey") == F.col("c_custkey"), "left")
+    else:
+        rows = rows.withColumn("c_mktsegment", F.lit(None).cast("string"))
     return _typed(rows, schemas.WORKFLOW_TABLE, {
         "workflow_id": F.col("o_orderkey"),
         "workflow_type": F.lit("replay"),
@@ -238,10 +242,10 @@ def altered_results(results: DataFrame) -> DataFrame:
     })
 
 
-def lake_copy(spark, sf_dir) -> DataFrame:
+def lake_copy(spark, sf_dir, category: bool = True) -> DataFrame:
     """The lake side of the workflow table with gaps, changes and rows of its own."""
     key = F.col("workflow_id").cast("bigint")
-    lake = replication.to_lake_workflow(workflow_table(spark, sf_dir))
+    lake = replication.to_lake_workflow(workflow_table(spark, sf_dir, category=category))
     altered = (
         lake.withColumn("bag_nums", F.when(key % 89 == 0, F.col("bag_nums") + 1)
                         .otherwise(F.col("bag_nums")))

@@ -136,7 +136,7 @@ def bag_last_duration(spark, sf_dir):
 def retention_as_of(spark, sf_dir):
     """Workflows that are kept on a given day."""
     kept = transfer.retained(
-        fx.workflow_table(spark, sf_dir), fx.result_table(spark, sf_dir),
+        fx.workflow_table(spark, sf_dir, category=False), fx.result_table(spark, sf_dir),
         *transfer.retention_bounds(RETAIN_AS_OF, transfer.KEEP_DAYS))
     return kept[0].select("workflow_id", "workflow_status", "create_time")
 
@@ -217,7 +217,8 @@ def cdc_latest(spark, sf_dir):
 
 def cdc_snapshot_then_log(spark, sf_dir):
     log = changes.snapshot_then_changes(
-        fx.workflow_table(spark, sf_dir), fx.change_log(spark, sf_dir), schemas.WORKFLOW_TABLE)
+        fx.workflow_table(spark, sf_dir, category=False), fx.change_log(spark, sf_dir),
+        schemas.WORKFLOW_TABLE)
     return replication.current_rows(log, ["workflow_id"]).groupBy("workflow_status").agg(
         F.count("*").alias("n"), F.round(F.sum("upload_ttl"), 3).alias("ttl"))
 
@@ -230,7 +231,7 @@ def times_as_text(spark, sf_dir):
 
 def _parents(spark, sf_dir):
     chosen = transfer.in_range(F.col("create_time"), RANGE_START, RANGE_END)
-    return fx.workflow_table(spark, sf_dir).filter(chosen)
+    return fx.workflow_table(spark, sf_dir, category=False).filter(chosen)
 
 
 def inner_child_rows(spark, sf_dir):
@@ -247,7 +248,7 @@ def semi_child_rows(spark, sf_dir):
 
 def _copy(spark, sf_dir):
     return transfer.incremental(
-        fx.workflow_table(spark, sf_dir), fx.result_table(spark, sf_dir), AS_OF)
+        fx.workflow_table(spark, sf_dir, category=False), fx.result_table(spark, sf_dir), AS_OF)
 
 
 def incremental_parents(spark, sf_dir):
@@ -260,12 +261,12 @@ def incremental_children(spark, sf_dir):
 
 
 def range_plan(spark, sf_dir):
-    seconds = transfer.histogram(fx.workflow_table(spark, sf_dir), "create_time")
+    seconds = transfer.histogram(fx.workflow_table(spark, sf_dir, category=False), "create_time")
     return transfer.range_plan(seconds, PLAN_ROWS, "month")
 
 
 def range_rows(spark, sf_dir):
-    table = fx.workflow_table(spark, sf_dir)
+    table = fx.workflow_table(spark, sf_dir, category=False)
     seconds = transfer.labelled_seconds(
         transfer.histogram(table, "create_time"), PLAN_ROWS, "month")
     placed = transfer.assign_ranges(table, seconds, "create_time", ["workflow_id"])
@@ -274,7 +275,8 @@ def range_rows(spark, sf_dir):
 
 def _kept(spark, sf_dir):
     return transfer.retained(
-        fx.workflow_table(spark, sf_dir), fx.result_table(spark, sf_dir), RANGE_START, RANGE_END)
+        fx.workflow_table(spark, sf_dir, category=False), fx.result_table(spark, sf_dir),
+        RANGE_START, RANGE_END)
 
 
 def retention_parents(spark, sf_dir):
@@ -286,14 +288,14 @@ def retention_children(spark, sf_dir):
 
 
 def recon_counts(spark, sf_dir):
-    left = reconcile.bucket_counts(fx.workflow_table(spark, sf_dir), "create_time")
-    right = reconcile.bucket_counts(fx.lake_copy(spark, sf_dir), "create_time")
+    left = reconcile.bucket_counts(fx.workflow_table(spark, sf_dir, category=False), "create_time")
+    right = reconcile.bucket_counts(fx.lake_copy(spark, sf_dir, category=False), "create_time")
     return reconcile.compare_counts(left, right)
 
 
 def recon_child_counts(spark, sf_dir):
     """Children counted by their parent's day on one side, by their own day on the other."""
-    children, parents = fx.result_table(spark, sf_dir), fx.workflow_table(spark, sf_dir)
+    children, parents = fx.result_table(spark, sf_dir), fx.workflow_table(spark, sf_dir, category=False)
     days = parents.select(F.col("workflow_id").alias("_pk"), F.col("create_time").alias("day"))
     joined = children.join(days, F.col("workflow_id_id") == F.col("_pk")).select("day")
     return reconcile.compare_counts(
@@ -352,7 +354,7 @@ def time_buckets(spark, sf_dir):
 
 
 def page_rows(spark, sf_dir):
-    table = fx.workflow_table(spark, sf_dir).select("workflow_id", "create_time")
+    table = fx.workflow_table(spark, sf_dir, category=False).select("workflow_id", "create_time")
     return transfer.page(table, ["create_time", "workflow_id"], 100, 200)
 
 
