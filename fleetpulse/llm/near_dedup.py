@@ -12,20 +12,23 @@ From candidates to classes without all pairs of a bucket:
 2. of the nodes that share a band with another node, a shingle that no other such node has can't be
    matched; a node with too many of them can't reach the threshold with any partner and is left out;
 3. in each band bucket all nodes are compared with the one whose shingles are most widely shared;
-4. nodes of a bucket that are still in different components are compared if they share a shingle among
-   the rarest of each, without which they can't reach the threshold. Pairs within a component
-   can't change it.
+4. nodes of a bucket that are still in different components meet in tiles of two bounded parts of the
+   nodes of their bucket's lead. What the parts share is counted by matrix products, and only links
+   that connect components leave the task. Pairs within a component can't change it.
 
-So every proposed pair is settled: by comparison, by a bound, or by lying within one component.
+So every proposed pair is settled: by comparison, by a bound, or by lying within one component. Rows grow
+with the nodes, not with their pairs; the work within tiles grows with the pairs only where many texts
+of one family are below the threshold to each other and to their leads.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.arrowtext import (
@@ -45,6 +48,8 @@ WIDTH = 5
 THRESHOLD = (4, 5)
 BANDS = 24
 BAND_ROWS = 4
+#: Nodes and tokens of a part of a tile, and columns of a matrix that one product takes.
+TILE_ROWS, TILE_TOKENS, COLUMNS = 1024, 2_000_000, 4096
 #: Ids of nodes to compare are sent to all tasks up to this number; more are joined by shuffle.
 BROADCAST_NODES = 500_000
 
@@ -188,49 +193,131 @@ def _settle(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> Da
             .select("a", "b"))
 
 
-def _across(apart: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) of ``apart`` (node, component, w) in different components that may be linked.
+def overlaps(left: np.ndarray, of_left: np.ndarray, right: np.ndarray, of_right: np.ndarray,
+             rows: tuple[int, int]) -> np.ndarray:
+    """How many tokens each row of the left has in common with each of the right.
 
-    Shingles are put in one order, rare ones first. Two bags that reach the threshold share so many
-    that each of them has a shared one among its first few, as many as the pair's sizes leave to
-    spare; so pairs meet by those. Of the nodes that meet by a shingle, only those outside its
-    largest component look for partners.
+    ``left`` and ``right`` are the tokens, ``of_…`` the row of each. Tokens of both sides are counted by
+    products of incidence matrices, some columns at a time. If the sides are the same rows, what a row
+    has in common with itself is not counted whole.
+    """
+    if left is right:
+        common, often = np.unique(left, return_counts=True)
+        common = common[often > 1]  # the others tell no two rows alike
+    else:
+        common = np.intersect1d(left, right)
+    out = np.zeros(rows, dtype="float32")
+    for begin in range(0, len(common), COLUMNS):
+        some = common[begin:begin + COLUMNS]
+        sides = []
+        for tokens, of, n in ((left, of_left, rows[0]), (right, of_right, rows[1])):
+            at = np.minimum(np.searchsorted(some, tokens), len(some) - 1)
+            hit = some[at] == tokens
+            matrix = np.zeros((n, len(some)), dtype="float32")
+            matrix[of[hit], at[hit]] = 1
+            sides.append(matrix)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _forest(a: np.ndarray, b: np.ndarray, component: np.ndarray) -> list[int]:
+    """Numbers of the pairs that connect components not yet connected by the pairs before."""
+    parent = {c: c for c in component.tolist()}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    kept = []
+    for n, (x, y) in enumerate(zip(component[a].tolist(), component[b].tolist())):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[x] = y
+            kept.append(n)
+    return kept
+
+
+def _settle_tile(table: pa.Table, threshold: tuple[int, int]) -> pa.Table:
+    """Links between rows of a tile in different components, as many as connect them.
+
+    A tile holds one part of a lead's nodes, or two, of which only rows of different parts are
+    compared.
     """
     over, under = threshold
-    tokens = (sets.join(apart, "node").select("node", "component", "w",
-                                              F.explode("tokens").alias("token")))
-    often = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
-    # a shingle without a second node takes a place among the rare ones, but can't be met by
-    lone = F.col("w") - F.count("*").over(Window.partitionBy("node"))
-    place = F.row_number().over(Window.partitionBy("node").orderBy("n", "token"))
-    ahead = tokens.join(often, "token").withColumn("at", lone + place)
-    # the smallest partner that can reach the threshold leaves most to spare
-    ahead = ahead.filter(under * (F.col("w") - F.col("at") + 1) >= over * F.col("w"))
-    ahead = checkpoint(ahead.select("token", "node", "component", "w", "at"))
-    parts = ahead.groupBy("token", "component").count()
-    main = (parts.groupBy("token").agg(F.count("*").alias("parts"),
-                                       F.max(F.struct("count", "component")).alias("top"))
-            .filter("parts > 1").select("token", F.col("top.component").alias("main")))
-    met = ahead.join(main, "token")
-    minor = met.filter("component <> main").select(
-        "token", *(F.col(c).alias(f"{c}_") for c in ("node", "component", "w", "at")))
-    once = (F.col("component") == F.col("main")) | (F.col("node") < F.col("node_"))
-    needed = F.lit(over) * (F.col("w") + F.col("w_"))
-    spare = F.least(F.col("w") - F.col("at"), F.col("w_") - F.col("at_")) + 1
-    return (met.join(minor, "token")
-            .filter((F.col("component") != F.col("component_")) & once
-                    & ((over + under) * spare >= needed))
-            .select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b"))
+    node, component, part = (table[c].to_numpy() for c in ("node", "component", "part"))
+    lists = table["tokens"].combine_chunks()
+    lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+    tokens, w = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+    of = np.repeat(np.arange(len(node)), w)
+    ones = part == part.min()
+    others = ~ones if not ones.all() else ones
+    rows = np.flatnonzero(ones), np.flatnonzero(others)
+    place = np.empty(len(node), dtype="int64")
+    sides = []
+    for some, mask in zip(rows, (ones, others)):
+        place[some] = np.arange(len(some))
+        sides += [tokens[mask[of]], place[of[mask[of]]]]
+    if others is ones:
+        sides[2:] = sides[:2]
+    common = overlaps(*sides, (len(rows[0]), len(rows[1])))
+    needed = over * (w[rows[0]][:, None] + w[rows[1]][None, :])
+    linked = ((over + under) * common >= needed) & (
+        component[rows[0]][:, None] != component[rows[1]][None, :])
+    i, j = np.nonzero(linked)
+    i, j = rows[0][i], rows[1][j]
+    kept = _forest(i, j, component)
+    a, b = node[i[kept]], node[j[kept]]
+    return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+
+def _across(apart: DataFrame, sets: DataFrame, threshold: tuple[int, int],
+            tile_rows: int) -> DataFrame:
+    """Links between nodes of a lead's buckets that are in different components.
+
+    ``apart`` has lead, node, component and w. The nodes of a lead are dealt to parts of some
+    ``tile_rows`` nodes and ``TILE_TOKENS`` tokens; each two parts meet in a tile, and what they share
+    is counted there in bounded memory. Only links that connect components leave a tile, never its
+    pairs. Small leads share a task.
+    """
+    # how much of a part one node takes
+    room = F.greatest(F.lit(1.0 / tile_rows), F.col("w") / TILE_TOKENS)
+    sizes = apart.groupBy("lead").agg(F.sum(room).alias("room"), F.min("component").alias("low"),
+                                      F.max("component").alias("high")).filter("low <> high")
+    sizes = checkpoint(sizes.select("lead", F.ceil("room").alias("parts"), "room"))
+    bins = max(1, math.ceil(sizes.agg(F.sum("room")).first()[0] or 0))
+    dealt = apart.join(sizes, "lead").withColumn(
+        "part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("node"), F.col("parts"))).otherwise(0))
+    tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "lead", "node", "component", "part", F.least("part", "other").alias("one"),
+        F.greatest("part", "other").alias("two"),
+        F.when(F.col("parts") > 1, F.xxhash64("lead", F.least("part", "other"),
+                                              F.greatest("part", "other")))
+        .otherwise(F.pmod(F.xxhash64("lead"), F.lit(bins))).alias("tile"))
+
+    def settle(table: pa.Table) -> pa.Table:
+        keys = np.stack([table[c].to_numpy() for c in ("lead", "one", "two")], axis=1)
+        order = np.lexsort(keys.T[::-1])
+        edges = np.flatnonzero(np.r_[True, (np.diff(keys[order], axis=0) != 0).any(axis=1)])
+        return pa.concat_tables([_settle_tile(table.take(some), threshold)
+                                 for some in np.split(order, edges[1:])])
+
+    nodes = dealt.select("node").distinct()
+    if nodes.count() <= BROADCAST_NODES:
+        nodes = F.broadcast(nodes)
+    wanted = sets.join(nodes, "node", "left_semi")
+    return (tiles.join(wanted, "node").groupBy("tile").applyInArrow(settle, "a long, b long")
             .distinct())
 
 
 def classes(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = THRESHOLD,
-            bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
+            bands: int = BANDS, band_rows: int = BAND_ROWS,
+            tile_rows: int = TILE_ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, weight, n_links.
 
     ``class_id`` is the least doc_id of the texts that are linked with this one, over any number of
-    steps; ``n_links`` counts the links found to other texts (0 for a text alone or with equal copies
-    only), ``weight`` the shingles. Texts are linked if their bags of shingles have a weighted
+    steps; ``n_links`` counts the links that connect the class (0 for a text alone or with equal copies
+    only; not every link of a class is looked for), ``weight`` the shingles. Texts are linked if their bags of shingles have a weighted
     Jaccard similarity of at least ``threshold``. A text of fewer than ``width`` words is one
     shingle; a null text or one without words is linked to nothing and is its own class. A row
     without doc_id gets class null. Rows that share a doc_id are one document. Other columns of
@@ -280,10 +367,11 @@ def classes(docs: DataFrame, width: int = WIDTH, threshold: tuple[int, int] = TH
     mixed = (sorted_out.groupBy("bucket").agg(F.min("component").alias("low"),
                                               F.max("component").alias("high"))
              .filter("low <> high").select("bucket"))
-    apart = checkpoint(sorted_out.join(mixed, "bucket", "left_semi")
-                       .select("node", "component", "w").distinct())
-    cross = _across(apart, sets, threshold)
-    links = checkpoint(first_links.union(_settle(cross, sets, threshold)).distinct())
+    # the lead has been compared with all of them
+    apart = checkpoint(sorted_out.join(mixed, "bucket", "left_semi").join(lead, "bucket")
+                       .filter("node <> lead").select("lead", "node", "component", "w").distinct())
+    links = checkpoint(first_links.union(
+        _across(apart, sets, threshold, tile_rows)).distinct())
     whole = components(links)
     degree = (links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node")
               .agg(F.count("*").alias("n_links")))

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import odd
 import oracle
+import pytest
 
 from fleetpulse.llm import links, near_dedup
 from fleetpulse.llm.queries import ORACLES, REGISTRY
@@ -65,6 +66,67 @@ def test_group_of_edited_copies(spark):
     assert got == all_pairs(texts)
 
 
+def edited(rng, copies, words, edits):
+    """Copies of one text with words of their own at a few places."""
+    text = [f"w{i}" for i in range(words)]
+    out = []
+    for k in range(copies):
+        changed = list(text)
+        for at in rng.choice(words, edits(), replace=False):
+            changed[at] = f"x{k}_{at}"
+        out.append(" ".join(changed))
+    return out
+
+
+def by_matrix(texts):
+    """Classes of texts without repeated shingles, by products of an incidence matrix."""
+    bags = [bag(t) for t in texts]
+    number = {x: n for n, x in enumerate({x for b in bags for x in b})}
+    often = Counter(x for b in bags for x in b)
+    matrix = np.zeros((len(bags), len(number)), dtype="float32")
+    for i, b in enumerate(bags):
+        matrix[i, [number[x] for x in b if often[x] > 1]] = 1
+    w = np.array([len(b) for b in bags])
+    linked = 9 * (matrix @ matrix.T) >= 4 * (w[:, None] + w[None, :])
+    found = np.arange(len(bags))
+    while True:
+        lower = np.where(linked, found[None, :], len(bags)).min(axis=1)
+        lower = np.minimum(lower, found)
+        if (lower == found).all():
+            return found
+        found = lower
+
+
+@pytest.mark.parametrize("edits,tile_rows", [((4, 5), 1024), ((1, 8), 300)])
+def test_two_thousand_edited_copies(spark, monkeypatch, edits, tile_rows):
+    """Some are linked to nothing, though each shares most of its shingles with all: no table that
+    is made on the way has more rows than a few for each band of each text."""
+    rng = np.random.default_rng(11)
+    texts = edited(rng, 2_000, 300, lambda: rng.integers(*edits))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    counts, plain = [], near_dedup.checkpoint
+
+    def counted(df):
+        out = plain(df)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "checkpoint", counted)
+    got = {r.doc_id: r.class_id for r in near_dedup.classes(docs, tile_rows=tile_rows).collect()}
+    assert max(counts) <= 2_000 * near_dedup.BANDS
+    assert got == dict(enumerate(by_matrix(texts).tolist()))
+
+
+def test_overlaps(monkeypatch):
+    rng = np.random.default_rng(2)
+    monkeypatch.setattr(near_dedup, "COLUMNS", 7)
+    bags = [np.unique(rng.integers(0, 60, rng.integers(0, 30))) for _ in range(25)]
+    sides = bags[:10], bags[10:]
+    flat = [(np.concatenate(s), np.repeat(np.arange(len(s)), [len(x) for x in s])) for s in sides]
+    got = near_dedup.overlaps(*flat[0], *flat[1], (10, 15))
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sides[1]] for a in sides[0]]
+
+
 def test_odd_rows(spark):
     docs = odd.odd_documents(spark)
     got = near_dedup.classes(docs).collect()
