@@ -39,10 +39,6 @@ def steps(batches: Iterable[pa.RecordBatch], column: str = "text",
             first = last
 
 
-def schema_of(fields: dict[str, pa.DataType]) -> pa.Schema:
-    return pa.schema(list(fields.items()))
-
-
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _ODD = np.uint64(0x9E3779B97F4A7C15)

@@ -19,12 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all machines share: ``spark.checkpoint.dir``, or what the context has.
 
-    Only where the session names none and none was set, a temporary folder is used, as in tests.
+    Where the session names none and none was set, it is a folder in the warehouse, which all
+    machines share too; only a session on one machine gets a temporary folder, as in tests.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         root = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="checkpoint-"))
+        if not root and context.master.startswith("local["):
+            root = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return context.getCheckpointDir()
 
 

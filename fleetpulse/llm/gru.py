@@ -75,8 +75,8 @@ def read_words(data: np.ndarray, offsets: np.ndarray) -> Words:
 def windows(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, first word and end of every window: each ``STRIDE`` words, the last one at the end.
 
-    All overlapping windows of whole rows; a row of up to ``WINDOW`` words has one, one without
-    words none.
+    Windows overlap by half and cover whole rows, so a phrase of up to ``WINDOW - STRIDE + 1`` words is
+    whole in one of them; a row of up to ``WINDOW`` words has one window, one without words none.
     """
     n = np.diff(bounds)
     count = np.where(n > 0, np.maximum(-(-(n - WINDOW) // STRIDE), 0) + 1, 0)

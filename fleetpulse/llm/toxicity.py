@@ -1,4 +1,4 @@
-"""Toxicity (operator 2): a recurrent network scores all overlapping windows of every whole text.
+"""Toxicity (operator 2): a recurrent network scores overlapping windows that cover every whole text.
 
 Labels are of documents, toxic words are few: a document's score is that of its worst window. The
 network learns the same way, from the worst window of each labelled document under the weights so far.
@@ -113,7 +113,9 @@ def score(docs: DataFrame, network: gru.Network | None, id_column: str = "doc_id
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Learn from the labelled rows that are not held out, score all: doc_id, held_out, score, predicted.
 
-    A null doc_id is not held out.
+    A null doc_id is not held out. Null and empty texts score as texts without words; a very long text
+    is scored window by window in bounded memory. Repeated rows get equal scores. Without labelled rows
+    to learn from, all scores are equal. Other columns are not read; an empty table gives no rows.
     """
     share = labels.filter("toxic IN (0, 1)").filter(~held_out()).agg(
         F.avg("toxic")).first()[0] or 0.5
