@@ -8,8 +8,8 @@ start and the last record it has seen, and each day is served by intervals that
 
 * by the newest run whose interval covers the day whole, from its beginning to the end of the day after
   it (or to the last record that any run has seen, while that is earlier);
-* where no run does, by the newest run from its start on, and before that by the older ones. A run that
-  is still catching up with one that began no later serves nothing.
+* where no run does, hour by hour of arrival: by a run that has read from the day's beginning if there
+  is one, else by the one that began first (see ``served``).
 
 So a run takes a day over only once it has read the day whole, and nothing is counted twice.
 """
@@ -131,42 +131,66 @@ def coverages(spark: SparkSession, store: str) -> list[Coverage]:
     return [Coverage(*r) for r in seen.orderBy(F.desc(RUN)).select(RUN, *wall).collect()]
 
 
-def _hour_after(at: datetime) -> datetime:
-    whole = at.replace(minute=0, second=0, microsecond=0)
-    return whole if whole == at else whole + timedelta(hours=1)
+def _begins(runs: list[Coverage]) -> list[datetime]:
+    """From when on each run has all there is: the hour of its first record, unless an older run
+    began before that record; then, the record."""
+    out = []
+    for place, r in enumerate(runs):
+        joined = any(o.first < r.first for o in runs[place + 1:])
+        out.append(r.first if joined else r.first.replace(minute=0, second=0, microsecond=0))
+    return out
+
+
+def _of_hour(
+    hour: datetime, begin: datetime, end: datetime, seen: datetime,
+    runs: list[tuple[datetime, Coverage]],
+) -> list[Coverage]:
+    """The runs that serve what came in an hour; ``end`` is up to where a day must be read."""
+    after = hour + timedelta(hours=1)
+    covering = [(b, r) for b, r in runs if b <= hour and r.last >= min(after, seen)]
+    whole = [r for b, r in covering if b <= begin]
+    complete = [r for r in whole if r.last >= end]
+    if complete:
+        return complete[:1]
+    if whole:
+        return [max(whole, key=lambda r: (r.last, r.run))]
+    if covering:
+        return [min(covering, key=lambda x: (x[0], -x[1].run))[1]]
+    # nobody has it all: the parts that don't overlap
+    out: list[Coverage] = []
+    for r in sorted((r for _, r in runs if r.first < after and r.last >= hour),
+                    key=lambda r: r.first):
+        if not out or r.first > out[-1].last:
+            out.append(r)
+    return out
 
 
 def served(day: date, runs: list[Coverage]) -> list[tuple[int, datetime | None, datetime | None]]:
     """Which run serves which hours of arrival of a day: (run, from, to), None for no bound.
 
-    ``runs`` are the newest first. An hour in which a run begins is left to the older run if that has
-    read the hour whole; if the older one ended in it, both count if they don't overlap, else the
-    older one has the hour.
+    ``runs`` are the newest first. Records of a day come on that day and the next. An hour goes to the
+    newest run that has read the day whole; else, of those that have read from its beginning, to the one
+    that has come furthest; else to the one that began first. In an hour that no run has read whole
+    all parts count that don't overlap.
     """
     begin = datetime.combine(day, time())
     seen = max((r.last for r in runs), default=begin)
     end = min(begin + timedelta(days=2), seen)
-    for r in runs:
-        if r.first <= begin and r.last >= end:
-            return [(r.run, None, None)]
-    out, to = [], None
-    for place, r in enumerate(runs):
-        older = runs[place + 1:]
-        if any(o.first <= r.first and o.last > r.last for o in older):
-            continue
-        if to is not None and r.first >= to:
-            continue
-        first_hour = _hour_after(r.first)
-        since = first_hour
-        reached = max((o.last for o in older if o.first < r.first), default=None)
-        if reached is None or reached < r.first:  # nothing older, or it ended before
-            since = first_hour - timedelta(hours=1) if first_hour != r.first else first_hour
-            out.append((r.run, since if older else None, to))
-            to = first_hour  # what the older run has of the same hour counts too
-            continue
-        out.append((r.run, since, to))
-        to = since
-    return out
+    known = list(zip(_begins(runs), runs))
+    parts: list[list] = []
+    open_parts: dict[int, list] = {}
+    hour = begin
+    while hour < begin + timedelta(days=2) and hour <= max(seen, begin):
+        after = hour + timedelta(hours=1)
+        for r in _of_hour(hour, begin, end, seen, known):
+            part = open_parts.get(r.run)
+            if part is None or part[2] != hour:
+                part = open_parts[r.run] = [r.run, hour, hour]
+                parts.append(part)
+            part[2] = after
+        hour = after
+    return [(run, None if since == begin else since, None if to == hour else to)
+            for run, since, to in parts]
 
 
 def _valid(spark: SparkSession, store: str, days: list | None = None) -> DataFrame:

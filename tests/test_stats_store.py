@@ -1,6 +1,7 @@
 """The statistics store: runs that read a topic again, and what each of them serves."""
 
 import json
+import re
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -85,13 +86,27 @@ def test_a_replay_under_way_serves_nothing_yet(spark, tmp_path):
 
 def test_only_the_asked_days_are_read(spark, tmp_path):
     store = run(spark, topic(spark, tmp_path / "in", [3, 3, 3, 3]), tmp_path, "first")
-    files = stats._valid(spark, store, [date(2024, 3, 2)]).inputFiles()
-    assert files and all("stat_date=2024-03-02" in f for f in files)
+    plan = stats._valid(spark, store, [date(2024, 3, 2)])._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*stat_date", plan)
 
 
 H = timedelta(hours=1)
 
 
+def test_the_first_hour():
+    """A run's first record is not at midnight sharp; one that joins an older run adds to it."""
+    old, late = DAY + timedelta(minutes=3), DAY + timedelta(minutes=40)
+    day = DAY.date()
+    alone = Coverage(0, old, DAY + 60 * H)
+    assert served(day, [alone]) == [(0, None, None)]
+    assert served(day, [Coverage(1, DAY, DAY + 9 * H), alone]) == [(0, None, None)]
+    assert served(day, [Coverage(1, DAY, DAY + 61 * H), alone]) == [(1, None, None)]
+    stopped = Coverage(0, old, DAY + timedelta(minutes=20))
+    assert served(day, [Coverage(1, late, DAY + 60 * H), stopped]) == [
+        (0, None, DAY + H), (1, None, None)]
+    assert served(day, []) == []
+
+
 def brute(day, runs, rows):
     """Rows (arrival, row id) that count when each hour goes to the runs that serve it."""
     out = []
