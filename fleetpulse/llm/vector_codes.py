@@ -27,8 +27,9 @@ from fleetpulse.llm.common import written
 PARTS, ENTRIES, ROUNDS, SCALE = 16, 64, 2, 256
 #: Components are held within this many steps of 0, so that a vector's error fits in a long.
 FARTHEST = 1 << 26
-#: Vectors whose parts are packed together, and members of one entry and salt.
-PACKED_TOGETHER, OWNED = 1 << 10, 1 << 16
+#: Vectors whose parts are packed together, parts that are compared in one step, and members of one
+#: entry and salt.
+PACKED_TOGETHER, COMPARED_TOGETHER, OWNED = 1 << 13, 1 << 13, 1 << 16
 
 _MEMBERS = ("position int, entry int, salt long, moved boolean, ids binary, parts binary")
 _SUMS = "position int, entry int, component int, total long, members long"
@@ -37,12 +38,16 @@ _CODES = "row long, position int, entry int, distance long"
 
 def nearest(parts: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The entry of ``book`` nearest to each part, the lowest of equals, and its squared distance."""
-    distance = np.zeros((len(parts), len(book)), dtype="int64")
-    for k in range(parts.shape[1]):
-        gap = parts[:, k, None].astype("int64") - book[None, :, k]
-        distance += gap * gap
-    entry = np.argmin(distance, axis=1)
-    return entry, distance[np.arange(len(parts)), entry]
+    entry, least = np.empty(len(parts), dtype="int64"), np.empty(len(parts), dtype="int64")
+    for begin in range(0, len(parts), COMPARED_TOGETHER):
+        some = slice(begin, begin + COMPARED_TOGETHER)
+        distance = np.zeros((len(parts[some]), len(book)), dtype="int64")
+        for k in range(parts.shape[1]):
+            gap = parts[some, k, None].astype("int64") - book[None, :, k]
+            distance += gap * gap
+        entry[some] = np.argmin(distance, axis=1)
+        least[some] = distance[np.arange(len(distance)), entry[some]]
+    return entry, least
 
 
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
@@ -53,21 +58,32 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
         names=["position", "entry", "salt", "moved", "ids", "parts"])
 
 
-def _dealt(position: int, entry: np.ndarray, salt: int, moved: bool, ids: np.ndarray,
+def _dealt(position: int, entry: np.ndarray, salt: np.ndarray, moved: bool, ids: np.ndarray,
            parts: np.ndarray) -> Iterator[tuple]:
-    """A packed row for each entry."""
-    order = np.argsort(entry, kind="stable")
-    edges = np.flatnonzero(np.r_[True, np.diff(entry[order]) != 0]) if len(order) else order
-    for some in np.split(order, edges[1:]) if len(order) else ():
-        yield (position, int(entry[some[0]]), salt, moved, ids[some].tobytes(),
-               parts[some].tobytes())
+    """A packed row for each entry and salt."""
+    if not len(entry):
+        return
+    order = np.lexsort((entry, salt))
+    entry, salt, ids, parts = entry[order], salt[order], ids[order], parts[order]
+    edges = np.flatnonzero(np.r_[True, (entry[1:] != entry[:-1]) | (salt[1:] != salt[:-1]), True])
+    for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        yield (position, int(entry[begin]), int(salt[begin]), moved, ids[begin:end].tobytes(),
+               parts[begin:end].tobytes())
 
 
 def _unpacked(batch: pa.RecordBatch, width: int) -> Iterator[tuple]:
-    for position, entry, salt, ids, parts in zip(*(
-            batch.column(c).to_pylist() for c in ("position", "entry", "salt", "ids", "parts"))):
-        yield (position, entry, salt, np.frombuffer(ids, "int64"),
-               np.frombuffer(parts, "int32").reshape(-1, width))
+    """For each position in the batch: entries, salts, ids and parts of its members."""
+    of = {c: batch.column(c).to_pylist() for c in ("position", "entry", "salt", "ids", "parts")}
+    rows: dict[int, list[int]] = {}
+    for row, position in enumerate(of["position"]):
+        rows.setdefault(position, []).append(row)
+    for position, some in rows.items():
+        ids = np.frombuffer(b"".join([of["ids"][r] for r in some]), "int64")
+        parts = np.frombuffer(b"".join([of["parts"][r] for r in some]), "int32")
+        count = [len(of["ids"][r]) // 8 for r in some]
+        entry, salt = (np.repeat(np.array([of[c][r] for r in some], dtype="int64"), count)
+                       for c in ("entry", "salt"))
+        yield position, entry, salt, ids, parts.reshape(-1, width)
 
 
 def _members(vectors: DataFrame, books: np.ndarray, salts: int) -> DataFrame:
@@ -80,7 +96,7 @@ def _members(vectors: DataFrame, books: np.ndarray, salts: int) -> DataFrame:
                 some = batch.slice(begin, PACKED_TOGETHER)
                 ids = some.column(0).to_numpy()
                 parts = some.column(1).flatten().to_numpy().reshape(len(ids), n_parts, width)
-                salt = hash(int(ids[0])) % salts
+                salt = np.full(len(ids), hash(int(ids[0])) % salts)
                 yield _packed([row for p in range(n_parts) for row in _dealt(
                     p, nearest(parts[:, p], books[p])[0], salt, False, ids, parts[:, p])])
 
@@ -102,7 +118,8 @@ def _reassigned(resident: DataFrame, books: np.ndarray) -> DataFrame:
             for position, entry, salt, ids, parts in _unpacked(batch, width):
                 to = nearest(parts, books[position])[0]
                 for moved, mask in ((False, to == entry), (True, to != entry)):
-                    rows.extend(_dealt(position, to[mask], salt, moved, ids[mask], parts[mask]))
+                    rows.extend(_dealt(
+                        position, to[mask], salt[mask], moved, ids[mask], parts[mask]))
             yield _packed(rows)
 
     return resident.mapInArrow(run, _MEMBERS)
@@ -116,9 +133,9 @@ def _sums(resident: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
         total = np.zeros(shape, dtype="int64")
         members = np.zeros((n_parts, entries), dtype="int64")
         for batch in batches:
-            for position, entry, _, ids, parts in _unpacked(batch, width):
-                total[position, entry] += parts.sum(axis=0, dtype="int64")
-                members[position, entry] += len(ids)
+            for position, entry, _, _, parts in _unpacked(batch, width):
+                np.add.at(total[position], entry, parts.astype("int64"))
+                members[position] += np.bincount(entry, minlength=entries)
         at = np.argwhere(np.repeat(members[:, :, None] > 0, width, axis=2))
         p, e, k = at.T
         yield pa.RecordBatch.from_arrays(
