@@ -61,14 +61,10 @@ def test_empty_table(spark, name):
 
 def blanks(spark):
     """Blank texts in partitions of their own, and two texts after them."""
-    rows = [(i, text, "en", "s", 0) for i, text in enumerate([None, "", " ", "\n", "a", "é", "", None])]
-    parts = [spark.createDataFrame([row], odd.SCHEMA).coalesce(1) for row in rows]
-    parts.append(spark.createDataFrame([(90, odd.PLAIN, "en", "t", 1), (91, odd.LONG, "de", "t", 1)],
-                                       odd.SCHEMA).coalesce(1))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
-    return out
+    rows = [(i, text, "en", "s", 0) for i, text in enumerate(
+        [None, "", " ", "\n", "a", "é", "", None])]
+    rows += [(90, odd.PLAIN, "en", "t", 1), (91, odd.LONG, "de", "t", 1)]
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), odd.SCHEMA)
 
 
 @pytest.mark.parametrize("name", sorted(OPERATORS))
