@@ -158,6 +158,8 @@ class Pair:
         self.good = _Growing("bool")
 
     def _ids(self, side: int, text: str) -> np.ndarray:
+        if side and text == " ":  # a text's last space alone; B puts no space ahead of nothing
+            return np.array([self.b.piece_to_id("▁")], dtype="int64")
         if side:
             return np.array(self.b.encode(text[1:]), dtype="int64")
         try:

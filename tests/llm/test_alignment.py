@@ -9,6 +9,7 @@ import odd
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from fleetpulse.llm import alignment
@@ -88,6 +89,37 @@ def test_all_documents(spark, sf_dir):
     assert any(r[1] == 0 for r in want) and sum(r[3] for r in want) > 1000
 
 
+def test_texts_that_end_with_one_space(spark):
+    texts = ["x ", " x ", "\n x ", "the mill  by the river ", "你 好 ", "a\xa0b ", "x", "x  ", "x\n ",
+             "x▁ ", " ", "  "]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    want = brute([*enumerate(texts)])
+    assert [r[0] for r in want if r[1] == 0] == [texts.index("x▁ ")]
+    assert odd.rows(alignment.align(docs), *COLUMNS) == want
+    # a slice may end right before the space
+    assert odd.rows(alignment.align(docs, slice_chars=2), *COLUMNS) == want
+    spelled = {r.doc_id: r.end for r in alignment.groups(docs).groupBy("doc_id").agg(
+        F.max("end").alias("end")).collect()}
+    assert spelled == {i: len(f" {t}".encode()) for i, t in enumerate(texts) if "▁" not in t}
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_words_have_the_tokens_of_the_whole_text(seed):
+    r = random.Random(seed)
+    pair = alignment.pair_of(alignment.TOKENIZER_A, alignment.TOKENIZER_B)
+    for _ in range(60):
+        text = "".join(r.choice([" ", " ", "  ", "\n", "\t", "\x1c", "\u2003", "'s", "-", "12", "é",
+                                 "the", "River", "你好"]) for _ in range(r.randrange(1, 40)))
+        found = ([], [])
+        for words in alignment.segments(text, r.randrange(1, 30)):
+            numbers = pair.numbers(words)
+            assert pair.good.filled()[numbers].all()
+            for side in (0, 1):
+                found[side].extend(pair.tokens(side, numbers)[0].tolist())
+        assert found[0] == pair.a.exact.encode(" " + text, add_special_tokens=False).ids
+        assert found[1] == pair.b.encode(text)
+
+
 def test_groups_are_the_digest(spark):
     docs = odd.odd_documents(spark).filter("doc_id in (1, 9, 10, 13)").dropDuplicates(["doc_id"])
     told = {r.doc_id: r.groups_sha256 for r in alignment.align(docs).collect()}
